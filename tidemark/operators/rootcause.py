@@ -85,7 +85,7 @@ def carrier_periods(shipments: DataFrame, days: DataFrame) -> DataFrame:
     )
     added = ["n", *sources, *[f"{name}_n" for name in sources]]
     return (
-        cells.join(days, [HUB, "report_date"])
+        days.join(cells, [HUB, "report_date"], "left")
         .groupBy(INCIDENT, "period", "carrier_id", "carrier_name")
         .agg(*[F.sum(c).alias(c) for c in added])
     )
