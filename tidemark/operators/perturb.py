@@ -1,0 +1,133 @@
+"""Controlled disturbances of a table, for exercising the detectors.
+
+Every choice hangs on a hash of the row key, so it is the same on any partitioning and on a retry.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.functions.banding import lookup
+from tidemark.functions.calendar import shift_hours
+from tidemark.functions.numeric import clip, flag, hash_share, round_to
+from tidemark.operators.derive import case_times
+
+# Share of a shipment's extra delay that reaches each event type.
+DELAY_FACTORS = {
+    "SHIPMENT_CREATED": 0.00,
+    "PICKED_UP": 0.10,
+    "ORIGIN_SCAN": 0.15,
+    "IN_TRANSIT": 0.55,
+    "TRANSIT_CHECKPOINT": 0.70,
+    "OUT_FOR_DELIVERY": 0.90,
+    "DELIVERED": 1.00,
+    "LOST": 1.00,
+}
+OTHER_FACTOR = 0.50
+DROP_SHARE = 0.42
+NULL_SHARE = 0.45
+
+
+def between(key: Column | str, salt: str, low: float, high: float) -> Column:
+    """A repeatable value in [low, high) per row key."""
+    return F.lit(low) + hash_share(key, salt) * F.lit(high - low)
+
+
+def drop_rows(df: DataFrame, mask: Column, key: str, share: float = DROP_SHARE) -> DataFrame:
+    """Remove about ``share`` of the masked rows."""
+    hit = F.coalesce(mask, F.lit(False)) & (hash_share(key, "drop") < share)
+    return df.where(~hit)
+
+
+def null_values(df: DataFrame, mask: Column, key: str, column: str, share: float = NULL_SHARE) -> DataFrame:
+    """Blank one column in about ``share`` of the masked rows."""
+    hit = F.coalesce(mask, F.lit(False)) & (hash_share(key, "null") < share)
+    return df.withColumn(column, F.when(~hit, F.col(column)))
+
+
+def extra_delay(key: Column | str = "shipment_id") -> Column:
+    """Extra hours of a disturbed shipment, between 10 and 28, to the cent."""
+    return round_to(between(key, "delay", 10.0, 28.0), 2)
+
+
+def degrade_shipments(shipments: DataFrame, mask: Column) -> DataFrame:
+    """Overload the masked shipments: load above capacity, and later delivery unless lost."""
+    hit = F.coalesce(mask, F.lit(False))
+    late = hit & (F.col("lost_flag") == 0)
+    load = F.greatest(F.col("network_load_factor"), between("shipment_id", "load", 1.03, 1.16))
+    hours = F.when(late, extra_delay()).otherwise(0.0)
+    moved = shipments.withColumn("_late", late).withColumns(
+        {
+            "network_load_factor": F.when(hit, round_to(load, 4)).otherwise(F.col("network_load_factor")),
+            "actual_transit_hours": F.when(late, round_to(F.col("actual_transit_hours") + hours, 2)).otherwise(
+                F.col("actual_transit_hours")
+            ),
+            "delivery_ts": F.when(late, shift_hours("delivery_ts", hours)).otherwise(F.col("delivery_ts")),
+        }
+    )
+    over = F.greatest(F.col("actual_transit_hours") - F.col("sla_hours"), F.lit(0.0))
+    return moved.withColumns(
+        {
+            "delay_hours": F.when(F.col("_late"), round_to(over, 2)).otherwise(F.col("delay_hours")),
+            "delayed_flag": F.when(F.col("_late"), 1).otherwise(F.col("delayed_flag")),
+            "sla_met": F.when(F.col("_late"), 0).otherwise(F.col("sla_met")),
+        }
+    ).drop("_late")
+
+
+def shift_tracking(tracking: DataFrame, shipments: DataFrame, mask: Column) -> DataFrame:
+    """Move the events of the masked shipments by their extra delay times the factor of the event."""
+    hit = shipments.where(mask).select("shipment_id").distinct().withColumn("_hit", F.lit(1))
+    factor = lookup("event_type", DELAY_FACTORS, OTHER_FACTOR)
+    moved = shift_hours("event_ts", extra_delay() * factor)
+    return (
+        tracking.join(hit, "shipment_id", "left")
+        .withColumn("event_ts", F.when(F.col("_hit") == 1, moved).otherwise(F.col("event_ts")))
+        .drop("_hit")
+    )
+
+
+def degrade_cases(cases: DataFrame, shipments: DataFrame, mask: Column) -> DataFrame:
+    """Slow the cases of the masked shipments: longer times, SLA checked again, CSAT one lower."""
+    hit = shipments.where(mask).select("shipment_id").distinct().withColumn("_hit", F.lit(1))
+    rows = cases.join(hit, "shipment_id", "left").withColumn("_hit", F.col("_hit").isNotNull())
+    slower = {
+        "first_response_minutes": between("case_id", "response", 1.35, 1.85),
+        "resolution_hours": between("case_id", "resolution", 1.40, 2.00),
+    }
+    rows = rows.withColumns(
+        {
+            name: F.when(F.col("_hit"), round_to(F.col(name) * factor, 2)).otherwise(F.col(name))
+            for name, factor in slower.items()
+        }
+    )
+    timed = case_times(rows)
+    response = flag(F.col("first_response_minutes") <= F.col("response_sla_minutes"))
+    resolution = flag(F.col("resolution_hours") <= F.col("resolution_sla_hours"))
+    changed = {
+        "response_sla_met": response,
+        "resolution_sla_met": resolution,
+        "support_sla_met": response * resolution,
+        "csat_score": clip(F.col("csat_score") - 1, 1, 5).cast("int"),
+    }
+    keep = {
+        name: F.when(F.col("_hit"), value).otherwise(F.col(name)).cast(cases.schema[name].dataType)
+        for name, value in changed.items()
+    }
+    return timed.withColumns(keep).drop("_hit").select(*cases.columns)
+
+
+def before_after(before: DataFrame, after: DataFrame, mask: Column, metrics: dict[str, Column]) -> DataFrame:
+    """The same masked metrics on both states of a table, one row per metric."""
+
+    def long(df: DataFrame, side: str) -> DataFrame:
+        row = df.where(mask).agg(*[m.cast("double").alias(name) for name, m in metrics.items()])
+        items = [F.struct(F.lit(name).alias("metric"), F.col(name).alias("value")) for name in metrics]
+        return row.select(F.lit(side).alias("side"), F.inline(F.array(*items)))
+
+    both = long(before, "before").unionByName(long(after, "after"))
+    return both.groupBy("metric").agg(
+        F.max(F.when(F.col("side") == "before", F.col("value"))).alias("before_value"),
+        F.max(F.when(F.col("side") == "after", F.col("value"))).alias("after_value"),
+    )

@@ -67,13 +67,17 @@ def logistics_daily(shipments: DataFrame) -> DataFrame:
     )
 
 
-def support_daily(cases: DataFrame) -> DataFrame:
-    return cases.groupBy(F.col("case_date").alias("report_date")).agg(
+def _support_rates() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("support_cases"),
         flag_pct("support_sla_met").alias("support_sla_pct"),
         round_to(F.avg("csat_score"), 2).alias("avg_csat"),
         flag_pct("escalated_flag").alias("escalation_rate_pct"),
-    )
+    ]
+
+
+def support_daily(cases: DataFrame) -> DataFrame:
+    return cases.groupBy(F.col("case_date").alias("report_date")).agg(*_support_rates())
 
 
 # --- executive -------------------------------------------------------------------------------------
@@ -105,11 +109,8 @@ def _executive_logistics(shipments: DataFrame) -> DataFrame:
 
 
 def _executive_support(cases: DataFrame) -> DataFrame:
-    return support_daily(cases).join(
-        cases.groupBy(F.col("case_date").alias("report_date")).agg(
-            flag_pct("reopened_flag").alias("reopen_rate_pct")
-        ),
-        "report_date",
+    return cases.groupBy(F.col("case_date").alias("report_date")).agg(
+        *_support_rates(), flag_pct("reopened_flag").alias("reopen_rate_pct")
     )
 
 
