@@ -36,13 +36,13 @@ def between(key: Column | str, salt: str, low: float, high: float) -> Column:
 
 def drop_rows(df: DataFrame, mask: Column, key: str, share: float = DROP_SHARE) -> DataFrame:
     """Remove about ``share`` of the masked rows."""
-    hit = F.coalesce(mask, F.lit(False)) & (hash_share(key, "drop") < share)
+    hit = F.coalesce(mask & (hash_share(key, "drop") < share), F.lit(False))
     return df.where(~hit)
 
 
 def null_values(df: DataFrame, mask: Column, key: str, column: str, share: float = NULL_SHARE) -> DataFrame:
     """Blank one column in about ``share`` of the masked rows."""
-    hit = F.coalesce(mask, F.lit(False)) & (hash_share(key, "null") < share)
+    hit = F.coalesce(mask & (hash_share(key, "null") < share), F.lit(False))
     return df.withColumn(column, F.when(~hit, F.col(column)))
 
 
@@ -54,7 +54,7 @@ def extra_delay(key: Column | str = "shipment_id") -> Column:
 def degrade_shipments(shipments: DataFrame, mask: Column) -> DataFrame:
     """Overload the masked shipments: load above capacity, and later delivery unless lost."""
     hit = F.coalesce(mask, F.lit(False))
-    late = hit & (F.col("lost_flag") == 0)
+    late = hit & F.coalesce(F.col("lost_flag") == 0, F.lit(False))
     load = F.greatest(F.col("network_load_factor"), between("shipment_id", "load", 1.03, 1.16))
     hours = F.when(late, extra_delay()).otherwise(0.0)
     moved = shipments.withColumn("_late", late).withColumns(
@@ -102,17 +102,22 @@ def degrade_cases(cases: DataFrame, shipments: DataFrame, mask: Column) -> DataF
             for name, factor in slower.items()
         }
     )
-    timed = case_times(rows)
+    times = ["first_response_ts", "resolved_ts"]
+    timed = case_times(rows.withColumns({f"_{c}": F.col(c) for c in times}))
     response = flag(F.col("first_response_minutes") <= F.col("response_sla_minutes"))
     resolution = flag(F.col("resolution_hours") <= F.col("resolution_sla_hours"))
     changed = {
+        "first_response_ts": F.col("first_response_ts"),
+        "resolved_ts": F.col("resolved_ts"),
         "response_sla_met": response,
         "resolution_sla_met": resolution,
         "support_sla_met": response * resolution,
         "csat_score": clip(F.col("csat_score") - 1, 1, 5).cast("int"),
     }
     keep = {
-        name: F.when(F.col("_hit"), value).otherwise(F.col(name)).cast(cases.schema[name].dataType)
+        name: F.when(F.col("_hit"), value)
+        .otherwise(F.col(f"_{name}" if name in times else name))
+        .cast(cases.schema[name].dataType)
         for name, value in changed.items()
     }
     return timed.withColumns(keep).drop("_hit").select(*cases.columns)
