@@ -77,7 +77,7 @@ def pass_through(frames: dict[str, DataFrame], changed: dict[str, DataFrame]) ->
     return {**frames, **changed}
 
 
-def append_inventory(inventory: DataFrame, name: str = "meta.table_inventory") -> None:
+def save_inventory(inventory: DataFrame, name: str = "meta.table_inventory") -> None:
     """Replace the inventory table with this load's rows, stamped with the load time."""
     inventory.withColumn("loaded_at", F.current_timestamp()).write.mode("overwrite").saveAsTable(name)
 
