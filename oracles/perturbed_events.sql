@@ -1,0 +1,7 @@
+-- needs: r_events
+SELECT event_id, session_id, event_type, event_ts, customer_id, order_id,
+       CASE WHEN hit AND CAST('0x' || substr(md5('null:' || event_id), 1, 4) AS INTEGER) / 65536 < 0.45 THEN NULL
+            ELSE event_value_eur END AS event_value_eur
+FROM (SELECT *, event_type = 'purchase' AND CAST(event_ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' AS hit
+      FROM r_events)
+WHERE NOT (hit AND CAST('0x' || substr(md5('drop:' || event_id), 1, 4) AS INTEGER) / 65536 < 0.42)

@@ -1,0 +1,2 @@
+-- needs: r_shipments
+SELECT * FROM r_shipments
