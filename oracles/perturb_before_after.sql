@@ -1,0 +1,16 @@
+-- needs: r_shipments r_overloaded perturb_degrade
+WITH sides AS (
+    SELECT 'before' AS side, delayed_flag, sla_met, network_load_factor, actual_transit_hours
+    FROM r_shipments WHERE shipment_id IN (SELECT shipment_id FROM r_overloaded)
+    UNION ALL
+    SELECT 'after', delayed_flag, sla_met, network_load_factor, actual_transit_hours
+    FROM perturb_degrade WHERE shipment_id IN (SELECT shipment_id FROM r_overloaded)
+), wide AS (
+    SELECT side, CAST(count(*) AS DOUBLE) AS shipments, round(avg(delayed_flag) * 100, 2) AS delay_rate_pct,
+           round(avg(sla_met) * 100, 2) AS sla_pct,
+           round(CAST(sum(CAST(network_load_factor AS DECIMAL(18, 4))) AS DOUBLE) / count(*) * 100, 2) AS avg_load_pct,
+           round(CAST(sum(CAST(actual_transit_hours AS DECIMAL(18, 2))) AS DOUBLE) / count(*), 2) AS avg_transit_hours
+    FROM sides GROUP BY 1
+), long AS (UNPIVOT wide ON shipments, delay_rate_pct, sla_pct, avg_load_pct, avg_transit_hours INTO NAME metric VALUE v)
+SELECT metric, max(v) FILTER (side = 'before') AS before_value, max(v) FILTER (side = 'after') AS after_value
+FROM long GROUP BY 1

@@ -1,0 +1,23 @@
+-- needs: r_cases r_overloaded
+WITH slowed AS (
+    SELECT c.*, o.shipment_id IS NOT NULL AS hit,
+           CASE WHEN o.shipment_id IS NULL THEN first_response_minutes
+                ELSE round(first_response_minutes * (CAST(1.35 AS DOUBLE)
+                     + CAST('0x' || substr(md5('response:' || case_id), 1, 4) AS INTEGER) / 65536
+                       * (CAST(1.85 AS DOUBLE) - CAST(1.35 AS DOUBLE))), 2) END AS minutes,
+           CASE WHEN o.shipment_id IS NULL THEN resolution_hours
+                ELSE round(resolution_hours * (CAST(1.40 AS DOUBLE)
+                     + CAST('0x' || substr(md5('resolution:' || case_id), 1, 4) AS INTEGER) / 65536
+                       * (CAST(2.00 AS DOUBLE) - CAST(1.40 AS DOUBLE))), 2) END AS hours
+    FROM r_cases AS c LEFT JOIN r_overloaded AS o ON c.shipment_id = o.shipment_id
+)
+SELECT * EXCLUDE (hit, minutes, hours) REPLACE (
+    minutes AS first_response_minutes, hours AS resolution_hours,
+    created_ts + to_microseconds(CAST(round(minutes * 60000000) AS BIGINT)) AS first_response_ts,
+    created_ts + to_microseconds(CAST(round(minutes * 60000000) AS BIGINT))
+        + to_microseconds(CAST(round(hours * 3600000000) AS BIGINT)) AS resolved_ts,
+    CASE WHEN minutes <= response_sla_minutes THEN 1 ELSE 0 END AS response_sla_met,
+    CASE WHEN hours <= resolution_sla_hours THEN 1 ELSE 0 END AS resolution_sla_met,
+    CASE WHEN minutes <= response_sla_minutes AND hours <= resolution_sla_hours THEN 1 ELSE 0 END AS support_sla_met,
+    CASE WHEN hit THEN CAST(greatest(csat_score - 1, 1) AS INTEGER) ELSE csat_score END AS csat_score)
+FROM slowed

@@ -1,0 +1,20 @@
+-- needs: r_shipments r_overloaded
+WITH masked AS (
+    SELECT s.* EXCLUDE (shipment_date), o.shipment_id IS NOT NULL AS hit,
+           round(10 + CAST('0x' || substr(md5('delay:' || s.shipment_id), 1, 4) AS INTEGER) / 65536 * 18, 2) AS extra,
+           CAST(1.03 AS DOUBLE) + CAST('0x' || substr(md5('load:' || s.shipment_id), 1, 4) AS INTEGER) / 65536
+               * (CAST(1.16 AS DOUBLE) - CAST(1.03 AS DOUBLE)) AS raised
+    FROM r_shipments AS s LEFT JOIN r_overloaded AS o ON s.shipment_id = o.shipment_id
+)
+SELECT * EXCLUDE (hit, extra, raised) REPLACE (
+    CASE WHEN hit THEN round(greatest(network_load_factor, raised), 4) ELSE network_load_factor END AS network_load_factor,
+    CASE WHEN hit AND lost_flag = 0 THEN round(actual_transit_hours + extra, 2) ELSE actual_transit_hours END
+        AS actual_transit_hours,
+    CASE WHEN hit AND lost_flag = 0 THEN delivery_ts + to_microseconds(CAST(round(extra * 3600000000) AS BIGINT))
+         ELSE delivery_ts END AS delivery_ts,
+    CASE WHEN hit AND lost_flag = 0
+         THEN round(greatest(round(actual_transit_hours + extra, 2) - sla_hours, CAST(0 AS DOUBLE)), 2)
+         ELSE delay_hours END AS delay_hours,
+    CASE WHEN hit AND lost_flag = 0 THEN 1 ELSE delayed_flag END AS delayed_flag,
+    CASE WHEN hit AND lost_flag = 0 THEN 0 ELSE sla_met END AS sla_met)
+FROM masked

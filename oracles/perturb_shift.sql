@@ -1,0 +1,9 @@
+-- needs: r_tracking r_overloaded
+SELECT t.* REPLACE (
+    CASE WHEN o.shipment_id IS NULL THEN event_ts
+         ELSE event_ts + to_microseconds(CAST(round(round(
+                  round(10 + CAST('0x' || substr(md5('delay:' || t.shipment_id), 1, 4) AS INTEGER) / 65536 * 18, 2)
+                  * CASE event_type WHEN 'SHIPMENT_CREATED' THEN 0 WHEN 'IN_TRANSIT' THEN CAST(0.55 AS DOUBLE)
+                         WHEN 'OUT_FOR_DELIVERY' THEN CAST(0.9 AS DOUBLE) ELSE 1 END * 3600, 6) * 1000000) AS BIGINT))
+    END AS event_ts)
+FROM r_tracking AS t LEFT JOIN r_overloaded AS o ON t.shipment_id = o.shipment_id

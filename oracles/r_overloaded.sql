@@ -1,0 +1,4 @@
+-- needs: r_shipments
+SELECT shipment_id FROM r_shipments
+WHERE (origin_warehouse_id = 'HUB-7' OR destination_warehouse_id = 'HUB-7')
+  AND shipment_date BETWEEN DATE '1998-03-01' AND DATE '1998-03-14'

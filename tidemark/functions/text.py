@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.numeric import round_to
+
 # Characters read as a hyphen or a blank, number words, and phrase lists.
 HYPHENS = "\u2010\u2011\u2012\u2013\u2014\u2212"
 BLANKS = "\u00a0\u202f"
@@ -78,10 +80,9 @@ def join_list(items: Column | str) -> Column:
 
 def number(value: Column | str, places: int = 2, signed: bool = False) -> Column:
     """A number with a fixed count of decimals, rounded as everywhere else; 'n/a' for NULL."""
-    from tidemark.functions.numeric import round_to
-
-    pattern = f"%{'+' if signed else ''}.{places}f"
-    return F.coalesce(F.format_string(pattern, round_to(value, places)), F.lit("n/a"))
+    rounded = round_to(value, places)
+    text = F.format_string(f"%{'+' if signed else ''}.{places}f", rounded)
+    return F.when(rounded.isNotNull(), text).otherwise("n/a")
 
 
 def place(city: Column | str, country: Column | str) -> Column:

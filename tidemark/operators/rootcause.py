@@ -341,5 +341,5 @@ def cause_reports(
         "carrier_spread_pct",
         nested("baseline", support_fields).alias("baseline_support"),
         nested("incident", support_fields).alias("incident_support"),
-        cause_evidence().alias("evidence"),
+        F.when(F.col("rca_status") == "ANALYZED", cause_evidence()).alias("evidence"),
     )
