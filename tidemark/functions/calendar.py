@@ -59,3 +59,11 @@ def shift_hours(ts: Column | str, hours: Column) -> Column:
     ts = F.col(ts) if isinstance(ts, str) else ts
     seconds = F.round(hours * F.lit(3600.0), 6).cast("decimal(18,6)")
     return ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
+def wall_micros(ts: Column | str) -> Column:
+    """Microseconds of the wall-clock time since 1970, whatever the session time zone."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    seconds = F.hour(ts) * 3600 + F.minute(ts) * 60
+    micros = (F.extract(F.lit("SECOND"), ts) * 1000000).cast("bigint")
+    return (F.unix_date(F.to_date(ts)).cast("bigint") * 86400 + seconds) * 1000000 + micros

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.banding import lookup
+from tidemark.functions.calendar import wall_micros
 from tidemark.functions.numeric import count_where, round_to, safe_ratio
 from tidemark.operators.joins import missing_keys, missing_names, one_row_per_key
 
@@ -149,13 +150,19 @@ def amount_control(
 
 
 def last_terminal_event(tracking: DataFrame, terminal: tuple[str, ...] = ("DELIVERED", "LOST")) -> DataFrame:
-    """Latest terminal event type of every shipment, by event time and then sequence."""
-    latest = F.max_by("event_type", F.struct("event_ts", "event_sequence"))
-    return (
-        tracking.where(F.col("event_type").isin(*terminal))
-        .groupBy("shipment_id")
-        .agg(latest.alias("terminal_event"))
+    """Latest terminal event type of every shipment, by event time and then sequence.
+
+    Time, sequence and type are packed into one decimal: its maximum is a plain hash aggregate, where
+    ``max_by`` over a struct would sort all events.
+    """
+    code = F.array_position(F.array(*[F.lit(t) for t in terminal]), F.col("event_type"))
+    moment = wall_micros("event_ts").cast("decimal(20,0)")
+    packed = moment * F.lit(10**15).cast("decimal(16,0)") + F.col("event_sequence") * 10 + code
+    latest = tracking.where(F.col("event_type").isin(*terminal)).groupBy("shipment_id").agg(
+        F.max(packed.cast("decimal(38,0)")).alias("_last")
     )
+    chosen = F.element_at(F.array(*[F.lit(t) for t in terminal]), (F.col("_last") % 10).cast("int"))
+    return latest.select("shipment_id", chosen.alias("terminal_event"))
 
 
 def terminal_control(shipments: DataFrame, tracking: DataFrame) -> DataFrame:

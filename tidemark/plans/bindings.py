@@ -21,12 +21,28 @@ from tidemark.operators import anomaly, briefs, quality, reconciliation, registr
 from tidemark.operators.derive import case_times, case_triage, route_distance, sla_evaluation, sla_hours
 from tidemark.operators.perturb import drop_rows, null_values
 from tidemark.plans import silver
-from tidemark.session import materialize
-
-TABLE_NAMES = [
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
-    "pages", "benchmark", "labels", "conversations",
-]
+from tidemark.session import materialize, spread
+
+# Declared schemas of the tables, so that opening one reads no file footer.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
 # Required and NULL-free columns of the role tables. Lines carry no unit price, so that control fails.
 ORDER_FIELDS = ["order_id", "customer_id", "order_ts", "order_total_eur", "order_status"]
 ITEM_FIELDS = ["order_item_id", "order_id", "product_id", "quantity", "unit_price_eur"]
@@ -60,14 +76,27 @@ def hub_id(key: str) -> Column:
 
 
 class Tables:
-    """Role frames over the tables of one folder."""
+    """Role frames over the tables of one folder.
+
+    Frames named ``stored_*`` and those that say so are written once under ``spark.checkpoint.dir``
+    and shared by everything that reads this object.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._opened:
+            reader = self.spark.read.schema(SCHEMAS[name])
+            self._opened[name] = reader.parquet(f"{self.folder}/{name}.parquet")
+        return self._opened[name]
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        """Order lines, the largest table, over all cores."""
+        return spread(self.raw("lineitem"), "l_orderkey")
 
     # --- dimensions ---
 
@@ -160,7 +189,7 @@ class Tables:
     @cached_property
     def order_items(self) -> DataFrame:
         discount = round_to(F.col("l_extendedprice") * F.col("l_discount"), 2)
-        return self.raw("lineitem").select(
+        return self.lines.select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_item_id"),
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
@@ -175,8 +204,7 @@ class Tables:
     def payments(self) -> DataFrame:
         net = round_to(F.col("l_extendedprice") - round_to(F.col("l_extendedprice") * F.col("l_discount"), 2), 2)
         per_order = (
-            self.raw("lineitem")
-            .groupBy("l_orderkey")
+            self.lines.groupBy("l_orderkey")
             .agg(
                 F.min("l_shipdate").alias("payment_ts"),
                 F.max("l_linestatus").alias("line_status"),
@@ -208,8 +236,7 @@ class Tables:
             for side in ("origin", "destination")
         }
         wide = (
-            self.raw("lineitem")
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            self.lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
             .join(people, F.col("o_custkey") == F.col("c_custkey"))
             .join(ends["origin"], hub_id("s_nationkey") == F.col("origin_warehouse_id"))
@@ -275,14 +302,24 @@ class Tables:
         ).drop("l_linestatus")
 
     @cached_property
-    def dated_shipments(self) -> DataFrame:
-        """Shipments with their date, the input of detection and root-cause analysis."""
-        return self.shipments.withColumn("shipment_date", F.to_date("shipment_created_ts"))
+    def stored_shipments(self) -> DataFrame:
+        """Dated shipments as a stored table.
+
+        Controls, detection, root causes and marts scan shipments many times and few columns each;
+        without the table every scan would repeat the joins that put a shipment together.
+        """
+        dated = self.shipments.withColumn("shipment_date", F.to_date("shipment_created_ts"))
+        return materialize(dated, "shipments")
 
     @cached_property
     def tracking(self) -> DataFrame:
+        """Tracking events as a stored table."""
+        return materialize(self.derived_tracking, "tracking")
+
+    @cached_property
+    def derived_tracking(self) -> DataFrame:
         """Three events per shipment; the last one is DELIVERED for closed lines, LOST for lost ones."""
-        status = self.raw("lineitem").select(
+        status = self.lines.select(
             F.concat_ws(
                 "-",
                 "l_orderkey",
@@ -313,14 +350,18 @@ class Tables:
 
     @cached_property
     def cases(self) -> DataFrame:
+        """Support cases as a stored table."""
+        return materialize(self.derived_cases, "cases")
+
+    @cached_property
+    def derived_cases(self) -> DataFrame:
         """One case per returned line, triaged and evaluated."""
         orders = self.raw("orders").select("o_orderkey", "o_custkey")
         people = self.raw("customer").select("c_custkey", "c_mktsegment", "c_nationkey")
         suppliers = self.raw("supplier").select("s_suppkey", "s_nationkey")
         nations = self.raw("nation").select("n_nationkey", "n_name")
         lines = (
-            self.raw("lineitem")
-            .where(F.col("l_returnflag") == "R")
+            self.lines.where(F.col("l_returnflag") == "R")
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
             .join(people, F.col("o_custkey") == F.col("c_custkey"))
@@ -400,13 +441,22 @@ class Tables:
     def orders_enriched(self) -> DataFrame:
         return silver.orders_enriched(self.orders, self.customers, self.payments, self.order_items)
 
+    @cached_property
+    def stored_orders(self) -> DataFrame:
+        """Enriched orders as a stored table: marts then read only the columns they need."""
+        return materialize(self.orders_enriched, "orders_enriched")
+
     @cached_property
     def shipments_enriched(self) -> DataFrame:
-        return silver.shipments_enriched(self.shipments, self.orders_enriched, self.hubs, self.carriers)
+        return silver.shipments_enriched(self.stored_shipments, self.stored_orders, self.hubs, self.carriers)
+
+    @cached_property
+    def stored_enriched(self) -> DataFrame:
+        return materialize(self.shipments_enriched, "shipments_enriched")
 
     @cached_property
     def support_enriched(self) -> DataFrame:
-        return silver.support_enriched(self.cases, self.shipments_enriched)
+        return silver.support_enriched(self.cases, self.stored_enriched)
 
     @cached_property
     def funnel(self) -> DataFrame:
@@ -419,15 +469,15 @@ class Tables:
         """Controls of the logistics domains, stored once: the trust verdict reads only these."""
         shipments = quality.TableRules(["shipment_id"], SHIPMENT_FIELDS, SHIPMENT_FIELDS)
         tracking = quality.TableRules(["event_id"], TRACKING_FIELDS, TRACKING_FIELDS)
-        ordered = self.shipments.join(self.orders.select("order_id", "order_ts"), "order_id")
+        ordered = self.stored_shipments.join(self.orders.select("order_id", "order_ts"), "order_id")
         steps = ["order_ts", "shipment_created_ts", "delivery_ts"]
         reference = quality.reference_control
         frames = [
-            quality.table_controls(self.shipments, "shipments", shipments),
+            quality.table_controls(self.stored_shipments, "shipments", shipments),
             quality.table_controls(self.tracking, "tracking_events", tracking),
-            reference(self.shipments, "order_id", self.orders, "order_id", "shipments", "orders"),
-            reference(self.tracking, "shipment_id", self.shipments, "shipment_id", "tracking_events", "shipments"),
-            quality.terminal_control(self.shipments, self.tracking),
+            reference(self.stored_shipments, "order_id", self.orders, "order_id", "shipments", "orders"),
+            reference(self.tracking, "shipment_id", self.stored_shipments, "shipment_id", "tracking_events", "shipments"),
+            quality.terminal_control(self.stored_shipments, self.tracking),
             quality.chronology_control(ordered, steps, "SHIPMENT_CHRONOLOGY", "shipments"),
         ]
         return materialize(quality.union_controls(frames), "logistics_controls")
@@ -445,7 +495,7 @@ class Tables:
             quality.table_controls(self.cases, "support_cases", rules(["case_id"], CASE_FIELDS, CASE_FIELDS)),
             quality.table_controls(self.observed_events, "app_events", rules(["event_id"], EVENT_FIELDS, EVENT_FIELDS)),
             reference(self.payments, "order_id", self.orders, "order_id", "payments", "orders"),
-            reference(self.cases, "shipment_id", self.shipments, "shipment_id", "support_cases", "shipments"),
+            reference(self.cases, "shipment_id", self.stored_shipments, "shipment_id", "support_cases", "shipments"),
             reference(linked, "order_id", self.orders, "order_id", "app_events", "orders"),
             quality.amount_control(self.orders, self.payments),
             quality.chronology_control(self.cases, ["created_ts", "first_response_ts", "resolved_ts"]),
@@ -462,7 +512,7 @@ class Tables:
 
     @cached_property
     def windows(self) -> DataFrame:
-        return anomaly.scored_windows(self.dated_shipments, RULES)
+        return anomaly.scored_windows(self.stored_shipments, RULES)
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -473,7 +523,7 @@ class Tables:
     @cached_property
     def incidents(self) -> DataFrame:
         """Business incidents with their support impact, stored once."""
-        records = anomaly.incident_records(self.candidates, self.hubs, self.dated_shipments, self.cases)
+        records = anomaly.incident_records(self.candidates, self.hubs, self.stored_shipments, self.cases)
         return materialize(records, "incidents")
 
     @cached_property
@@ -483,7 +533,7 @@ class Tables:
     @cached_property
     def carrier_facts(self) -> DataFrame:
         """Additive facts per incident, period and carrier, stored once for three consumers."""
-        return materialize(rootcause.carrier_periods(self.dated_shipments, self.analysis_days), "carriers")
+        return materialize(rootcause.carrier_periods(self.stored_shipments, self.analysis_days), "carriers")
 
     @cached_property
     def period_metrics(self) -> DataFrame:
@@ -495,14 +545,14 @@ class Tables:
         scores = rootcause.cause_scores(
             self.period_metrics,
             rootcause.carrier_spread(contribution),
-            rootcause.network_seasonality(self.dated_shipments, self.analysis_days),
+            rootcause.network_seasonality(self.stored_shipments, self.analysis_days),
             self.logistics_trust,
         )
         return rootcause.cause_verdict(scores)
 
     @cached_property
     def support_periods(self) -> DataFrame:
-        return rootcause.support_periods(self.dated_shipments, self.cases, self.analysis_days)
+        return rootcause.support_periods(self.stored_shipments, self.cases, self.analysis_days)
 
     @cached_property
     def cause_reports(self) -> DataFrame:
@@ -530,7 +580,7 @@ class Tables:
         """First and last day of orders, shipments and events, one row."""
         days = [
             self.raw("orders").select(F.to_date("o_orderdate").alias("d")),
-            self.raw("lineitem").select(F.to_date("l_shipdate").alias("d")),
+            self.lines.select(F.to_date("l_shipdate").alias("d")),
             self.raw("events").select(F.to_date("ts").alias("d")),
         ]
         every = days[0].unionByName(days[1]).unionByName(days[2])

@@ -17,7 +17,7 @@ from tidemark.operators import rootcause
 from tidemark.operators.ranking import rank_in_buckets
 from tidemark.operators.touches import incident_days, incident_shipments
 from tidemark.plans import gold, staging
-from tidemark.plans.bindings import OVERLOAD, RULES, TABLE_NAMES, Tables
+from tidemark.plans.bindings import OVERLOAD, RULES, SCHEMAS, Tables
 
 Query = Callable[[Tables], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -29,8 +29,22 @@ def query(build: Query) -> Query:
     return build
 
 
+_TABLES: dict[tuple[str, str], Tables] = {}
+
+
+def tables_for(spark: SparkSession, folder: str, fresh: bool = False) -> Tables:
+    """The tables of a folder, one object per session, so stored layers are built once.
+
+    Pass ``fresh=True`` after the files in the folder have changed.
+    """
+    key = (spark.sparkContext.applicationId, folder.rstrip("/"))
+    if fresh or key not in _TABLES:
+        _TABLES[key] = Tables(spark, folder)
+    return _TABLES[key]
+
+
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return CATALOG[name](Tables(spark, folder))
+    return CATALOG[name](tables_for(spark, folder))
 
 
 # --- staging and enriched models -------------------------------------------------------------------
@@ -58,7 +72,7 @@ def stg_shipments(t: Tables) -> DataFrame:
 
 @query
 def stg_support_cases(t: Tables) -> DataFrame:
-    return staging.stage("support_cases", t.cases)
+    return staging.stage("support_cases", t.derived_cases)
 
 
 @query
@@ -96,7 +110,7 @@ def commerce_daily(t: Tables) -> DataFrame:
 
 @query
 def logistics_daily(t: Tables) -> DataFrame:
-    return gold.logistics_daily(staging.stage("shipments", t.shipments))
+    return gold.logistics_daily(staging.stage("shipments", t.stored_shipments))
 
 
 @query
@@ -106,7 +120,7 @@ def support_daily(t: Tables) -> DataFrame:
 
 @query
 def commerce_performance(t: Tables) -> DataFrame:
-    return gold.commerce_performance(t.orders_enriched, "item_gmv_eur", "item_discount_eur")
+    return gold.commerce_performance(t.stored_orders, "item_gmv_eur", "item_discount_eur")
 
 
 @query
@@ -118,7 +132,7 @@ def payment_kpis(t: Tables) -> DataFrame:
 def executive_daily(t: Tables) -> DataFrame:
     cases = staging.stage("support_cases", t.cases)
     return gold.executive_daily(
-        t.orders_enriched, t.dated_shipments, cases, t.funnel, t.reconciliation, t.bounds
+        t.stored_orders, t.stored_shipments, cases, t.funnel, t.reconciliation, t.bounds
     )
 
 
@@ -131,7 +145,7 @@ def dim_date(t: Tables) -> DataFrame:
 
 @query
 def logistics_performance(t: Tables) -> DataFrame:
-    return gold.logistics_performance(t.shipments_enriched, t.hubs, t.incidents)
+    return gold.logistics_performance(t.stored_enriched, t.hubs, t.incidents)
 
 
 @query
@@ -143,13 +157,13 @@ def incident_hub_snapshot(t: Tables) -> DataFrame:
 def customer_experience(t: Tables) -> DataFrame:
     cases = t.cases.join(t.carriers.select("carrier_id", "carrier_name"), "carrier_id", "left")
     cases = cases.withColumn("case_date", F.to_date("created_ts"))
-    return gold.customer_experience(cases, t.dated_shipments, t.incidents)
+    return gold.customer_experience(cases, t.stored_shipments, t.incidents)
 
 
 @query
 def incident_vs_normal(t: Tables) -> DataFrame:
     cases = t.cases.withColumn("case_date", F.to_date("created_ts"))
-    return gold.incident_vs_normal(cases, t.dated_shipments, t.incidents)
+    return gold.incident_vs_normal(cases, t.stored_shipments, t.incidents)
 
 
 # --- quality ---------------------------------------------------------------------------------------
@@ -204,7 +218,7 @@ def column_tests(t: Tables) -> DataFrame:
         "customers": t.customers,
         "orders": t.orders,
         "payments": t.payments,
-        "shipments": t.shipments,
+        "shipments": t.stored_shipments,
         "support_cases": t.cases,
         "app_events": t.app_events,
     }
@@ -221,7 +235,7 @@ def source_assertions(t: Tables) -> DataFrame:
         "payments": t.payments,
         "warehouses": t.hubs,
         "carriers": t.carriers,
-        "shipments": t.shipments,
+        "shipments": t.stored_shipments,
         "tracking_events": t.tracking,
         "support_cases": t.cases,
         "app_events": t.app_events,
@@ -265,17 +279,17 @@ def _overloaded():
 
 @query
 def perturb_degrade(t: Tables) -> DataFrame:
-    return perturb.degrade_shipments(t.shipments, _overloaded())
+    return perturb.degrade_shipments(t.stored_shipments.drop("shipment_date"), _overloaded())
 
 
 @query
 def perturb_shift(t: Tables) -> DataFrame:
-    return perturb.shift_tracking(t.tracking, t.shipments, _overloaded())
+    return perturb.shift_tracking(t.tracking, t.stored_shipments, _overloaded())
 
 
 @query
 def perturb_cases(t: Tables) -> DataFrame:
-    return perturb.degrade_cases(t.cases, t.shipments, _overloaded())
+    return perturb.degrade_cases(t.cases, t.stored_shipments, _overloaded())
 
 
 @query
@@ -287,8 +301,8 @@ def perturb_before_after(t: Tables) -> DataFrame:
         "avg_load_pct": round_to(exact_avg("network_load_factor", 4) * 100, 2),
         "avg_transit_hours": round_to(exact_avg("actual_transit_hours", 2), 2),
     }
-    after = perturb.degrade_shipments(t.shipments, _overloaded())
-    return perturb.before_after(t.shipments, after, _overloaded(), metrics)
+    after = perturb.degrade_shipments(t.stored_shipments, _overloaded())
+    return perturb.before_after(t.stored_shipments, after, _overloaded(), metrics)
 
 
 # --- anomalies -------------------------------------------------------------------------------------
@@ -296,12 +310,12 @@ def perturb_before_after(t: Tables) -> DataFrame:
 
 @query
 def hub_baselines(t: Tables) -> DataFrame:
-    return anomaly.hub_baselines(t.dated_shipments)
+    return anomaly.hub_baselines(t.stored_shipments)
 
 
 @query
 def hub_daily(t: Tables) -> DataFrame:
-    return anomaly.hub_daily(t.dated_shipments)
+    return anomaly.hub_daily(t.stored_shipments)
 
 
 @query
@@ -327,7 +341,7 @@ def hub_summary(t: Tables) -> DataFrame:
 @query
 def incident_shipment_pairs(t: Tables) -> DataFrame:
     days = incident_days(t.incidents)
-    return incident_shipments(t.dated_shipments, days, ["candidate_incident_id", "anomaly_score"])
+    return incident_shipments(t.stored_shipments, days, ["candidate_incident_id", "anomaly_score"])
 
 
 # --- root causes -----------------------------------------------------------------------------------
@@ -355,7 +369,7 @@ def rca_support(t: Tables) -> DataFrame:
 
 @query
 def rca_seasonality(t: Tables) -> DataFrame:
-    return rootcause.network_seasonality(t.dated_shipments, t.analysis_days)
+    return rootcause.network_seasonality(t.stored_shipments, t.analysis_days)
 
 
 @query
@@ -514,21 +528,21 @@ def contract_checks(t: Tables) -> DataFrame:
     """The contracts of every layer over the built tables."""
     sources = {
         "orders": t.orders,
-        "shipments": t.shipments,
+        "shipments": t.stored_shipments,
         "support_cases": t.cases,
         "app_events": t.app_events,
     }
-    shipments, cases = t.dated_shipments, t.cases.withColumn("case_date", F.to_date("created_ts"))
+    shipments, cases = t.stored_shipments, t.cases.withColumn("case_date", F.to_date("created_ts"))
     repeated = (
         incident_shipment_pairs(t).groupBy("shipment_id").agg(F.count(F.lit(1)).alias("incidents"))
     )
     checks = [
-        contracts.silver_contract(t.orders_enriched, t.shipments_enriched, t.support_enriched, t.funnel, sources),
-        contracts.executive_contract(executive_daily(t), t.bounds, t.orders, t.shipments, t.app_events),
+        contracts.silver_contract(t.stored_orders, t.stored_enriched, t.support_enriched, t.funnel, sources),
+        contracts.executive_contract(executive_daily(t), t.bounds, t.orders, t.stored_shipments, t.app_events),
         contracts.logistics_contract(logistics_performance(t), shipments, t.incidents),
         contracts.reliability_contract(data_reliability_daily(t), t.reconciliation, t.data_incidents),
         contracts.customer_contract(customer_experience(t), cases, repeated),
-        contracts.commerce_contract(commerce_performance(t), t.orders_enriched),
+        contracts.commerce_contract(commerce_performance(t), t.stored_orders),
         contracts.command_center_contract(incident_command_center(t), t.registry),
     ]
     return quality.union_controls(checks)
@@ -536,7 +550,7 @@ def contract_checks(t: Tables) -> DataFrame:
 
 @query
 def table_inventory(t: Tables) -> DataFrame:
-    inventory = profile.table_inventory({name: t.raw(name) for name in TABLE_NAMES}, "bronze")
+    inventory = profile.table_inventory({name: t.raw(name) for name in SCHEMAS}, "bronze")
     return inventory.drop("source_path")
 
 
@@ -555,7 +569,7 @@ def order_profile(t: Tables) -> DataFrame:
 @query
 def shipment_profile(t: Tables) -> DataFrame:
     return profile.table_profile(
-        t.shipments,
+        t.stored_shipments,
         "shipments",
         distinct=["carrier_id", "origin_warehouse_id"],
         shares=["cross_border", "sla_met", "delayed_flag", "no_scan_flag", "damaged_flag", "lost_flag"],
@@ -582,7 +596,7 @@ def order_financials(t: Tables) -> DataFrame:
 
 @query
 def line_valuation(t: Tables) -> DataFrame:
-    lines = t.raw("lineitem").select(
+    lines = t.lines.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line"),
         F.col("l_quantity").alias("quantity"),
@@ -601,7 +615,7 @@ def line_valuation(t: Tables) -> DataFrame:
 def shipment_risk(t: Tables) -> DataFrame:
     """Delay risk per shipment, averaged per tier and route scope."""
     hubs = t.hubs.select(F.col("warehouse_id").alias("origin_warehouse_id"), "baseline_reliability")
-    rows = t.shipments.join(t.carriers.select("carrier_id", "reliability_score"), "carrier_id").join(
+    rows = t.stored_shipments.join(t.carriers.select("carrier_id", "reliability_score"), "carrier_id").join(
         hubs, "origin_warehouse_id"
     )
     risk = derive.delay_risk(
@@ -632,12 +646,12 @@ def product_margins(t: Tables) -> DataFrame:
 
 @query
 def load_band_delay(t: Tables) -> DataFrame:
-    return derive.delay_by_load_band(t.shipments)
+    return derive.delay_by_load_band(t.stored_shipments)
 
 
 @query
 def load_bucket_delay(t: Tables) -> DataFrame:
-    return derive.delay_by_load_band(t.shipments, right=False)
+    return derive.delay_by_load_band(t.stored_shipments, right=False)
 
 
 @query
@@ -662,4 +676,4 @@ def contact_number(t: Tables) -> DataFrame:
 
 @query
 def route_counts(t: Tables) -> DataFrame:
-    return derive.route_counts(t.shipments)
+    return derive.route_counts(t.stored_shipments)

@@ -45,3 +45,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{_shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Distribute a table that arrives in fewer splits than there are cores, by hash of ``key``.
+
+    A table with enough splits is returned as it is, so nothing large is shuffled here.
+    """
+    context = df.sparkSession.sparkContext
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= context.defaultParallelism:
+        return df
+    return df.repartition(context.defaultParallelism, key)
