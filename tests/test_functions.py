@@ -127,8 +127,7 @@ def test_hash_share_is_stable_and_even(spark):
     assert abs(sum(s < 0.42 for s in shares) / 4000 - 0.42) < 0.03
 
 
-def test_measures_have_unique_names():
-    # Needs an active session only for building columns.
+def test_measures_have_unique_names(spark):
     for mart in ("executive", "commerce", "logistics", "reliability", "support", "incidents"):
         assert len(measures(mart)) >= 4
 
