@@ -106,7 +106,7 @@ def test_pass_through_keeps_unchanged_frames(spark):
 def test_materialize_keeps_rows_and_cuts_the_plan(spark):
     df = spark.range(100).withColumn("m", F.create_map(F.lit("k"), F.col("id")))
     stored = session.materialize(df, "t")
-    assert stored.count() == 100 and stored.schema["m"].dataType == df.schema["m"].dataType
+    assert sorted(map(str, stored.collect())) == sorted(map(str, df.collect()))
     assert "Range" not in stored._jdf.queryExecution().optimizedPlan().toString()
 
 
