@@ -117,6 +117,10 @@ def test_brief_contract_and_prompt_packs(spark):
     assert context["incident"]["incident_id"] == "a" and context["incident"]["location"] is None
     assert context["analysis"]["evidence"] == ["one.", "two."]
     assert pack.guardrails.grounded_only and not pack.guardrails.allow_metric_invention
+    preview = briefs.prompt_preview(briefs.prompt_packs(good)).first().markdown
+    assert preview.startswith("## a\n\n**Classification:** DATA_INCIDENT") and "- Limitations required" in preview
+    texts = spark.createDataFrame([("a", "text")], "incident_id string, report string")
+    assert briefs.report_markdown(texts).first().markdown == "# a\n\ntext\n\n---"
     bad = good.withColumns({"classification": F.lit("X"), "confidence_score": F.lit(101.0)})
     assert len(briefs.brief_violations(bad).first().violations) == 2
     assert briefs.brief_violations(good.drop("evidence")).first().violations == ["missing required field: evidence"]

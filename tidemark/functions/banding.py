@@ -46,7 +46,7 @@ def severity_rank(severity: Column | str) -> Column:
     return first_match([(severity == name, rank) for name, rank in SEVERITY_RANK.items()], 1)
 
 
-def lookup(key: Column | str, table: dict[str, object], default: object = None) -> Column:
+def lookup(key: Column | str, table: dict, default: object = None) -> Column:
     """Value of a small fixed table for a key column."""
     key = F.col(key) if isinstance(key, str) else key
     return first_match([(key == name, F.lit(value)) for name, value in table.items()], F.lit(default))

@@ -13,20 +13,18 @@ class CardinalityError(ValueError):
 
 
 def one_row_per_key(df: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """The frame itself, failing at run time when a non-NULL key occurs twice.
+    """The rows with a non-NULL key, failing at run time when a key occurs twice.
 
-    The check rides on a grouping by the join key, so the join that follows reuses its shuffle.
+    The check rides on a grouping by the join key, so the join that follows reuses its shuffle. With
+    one row per key, any value of a column is the value of that row.
     """
     rest = [c for c in df.columns if c not in keys]
-    payload = F.any_value(F.struct(*rest)) if rest else F.lit(None)
-    grouped = df.where(F.expr(" and ".join(f"`{k}` is not null" for k in keys))).groupBy(*keys)
+    keyed = df.where(F.expr(" and ".join(f"`{k}` is not null" for k in keys))).groupBy(*keys)
+    counted = keyed.agg(F.count(F.lit(1)).alias("_n"), *[F.any_value(c).alias(c) for c in rest])
     message = F.concat(F.lit(f"{label}: duplicate key "), F.to_json(F.struct(*keys)))
-    counted = grouped.agg(F.count(F.lit(1)).alias("_n"), payload.alias("_row"))
-    guarded = F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(message))
-    if not rest:
-        kept = F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(message))
-        return counted.where(kept).select(*keys)
-    return counted.withColumn("_row", guarded).select(*keys, "_row.*").select(*df.columns)
+    # A filter, so that the check runs whatever columns are read later.
+    single = F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return counted.where(single).select(*df.columns)
 
 
 def checked_join(

@@ -47,10 +47,7 @@ def business_severity(confidence: Column, shipments: Column) -> Column:
 
 def data_records(incidents: DataFrame, trust: DataFrame) -> DataFrame:
     """Registry rows of the data incidents; ``trust`` is the one-row control summary."""
-    # The trust summary is one row, attached by a constant key.
-    rows = incidents.withColumn("_k", F.lit(1)).join(
-        trust.select(F.lit(1).alias("_k"), "non_app_failures"), "_k", "left"
-    )
+    rows = incidents.withColumn("non_app_failures", trust.select("non_app_failures").scalar())
     coverage, capture = F.col("observed_vs_expected_pct"), F.col("revenue_capture_pct")
     observed = F.greatest(F.col("observed_purchase_events").cast("double"), F.lit(1.0))
     null_rate = F.col("null_purchase_values") / observed * 100

@@ -205,10 +205,8 @@ def cause_scores(
     Incidents without shipments in one of the periods get status ``INSUFFICIENT_DATA`` and no scores.
     """
     rows = metrics.join(spread, INCIDENT, "left").join(seasonality, INCIDENT, "left")
-    # The trust verdict is one row, attached by a constant key.
-    rows = rows.withColumn("_k", F.lit(1)).join(
-        trust.select(F.lit(1).alias("_k"), "checks", "failures", "trusted"), "_k", "left"
-    )
+    # The trust verdict is one row, read as scalar subqueries instead of a join without a key.
+    rows = rows.withColumns({c: trust.select(c).scalar() for c in ("checks", "failures", "trusted")})
     enough = (F.col("baseline_shipments") > 0) & (F.col("incident_shipments") > 0)
 
     def delta(metric: str) -> Column:

@@ -207,8 +207,8 @@ class Tables:
             self.lines.groupBy("l_orderkey")
             .agg(
                 F.min("l_shipdate").alias("payment_ts"),
-                F.max("l_linestatus").alias("line_status"),
-                F.max("l_returnflag").alias("return_flag"),
+                F.max(flag(F.col("l_linestatus") == "O")).alias("open_line"),
+                F.max(lookup("l_returnflag", {"R": 3, "N": 2, "A": 1})).alias("return_rank"),
                 exact_sum(net).alias("payment_amount_eur"),
                 F.max("l_tax").alias("fraud_score"),
             )
@@ -217,8 +217,8 @@ class Tables:
             F.concat(F.lit("PAY-"), F.col("l_orderkey").cast("string")).alias("payment_id"),
             F.col("l_orderkey").alias("order_id"),
             "payment_ts",
-            F.when(F.col("line_status") == "O", "Card").otherwise("Invoice").alias("payment_method"),
-            lookup("return_flag", {"N": "Paid", "R": "Refunded", "A": "Failed"}).alias("payment_status"),
+            F.when(F.col("open_line") == 1, "Card").otherwise("Invoice").alias("payment_method"),
+            lookup("return_rank", {3: "Refunded", 2: "Paid", 1: "Failed"}).alias("payment_status"),
             "payment_amount_eur",
             "fraud_score",
         )
