@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 from tidemark.functions.numeric import exact_sum, flag, pct, round_to, safe_ratio
 from tidemark.operators.quality import Control
 
-# When a day counts as anomalous.
+# When a day counts as anomalous, and the wording of the verdicts.
 MIN_EXPECTED = 20
 MIN_COUNT_RATIO = 0.85
 MAX_NULL_PCT = 20.0
 MIN_REVENUE_RATIO = 0.70
 EVIDENCE = "Operational orders remain present while purchase telemetry is missing and/or incomplete."
+AGREES = "Purchase tracking agrees with operational orders."
+DIFFERS = "Purchase tracking disagrees with operational order records."
+FAILED_MESSAGE = "Purchase telemetry does not reconcile with trusted operational records"
+PASSED_MESSAGE = "Purchase telemetry reconciles with operational records"
 RULES_TEXT = "count ratio >= 0.85; null rate <= 20%; revenue ratio >= 0.70"
 
 
@@ -73,8 +77,8 @@ def reconciliation_control(days: DataFrame) -> DataFrame:
         severity="Critical",
         threshold=RULES_TEXT,
     )
-    agrees = Control(**spec, details="Purchase tracking agrees with operational orders.")
-    differs = Control(**spec, details="Purchase tracking disagrees with operational order records.")
+    agrees = Control(**spec, details=AGREES)
+    differs = Control(**spec, details=DIFFERS)
     text = F.concat(F.col("n").cast("string"), F.lit(" anomalous days"))
     verdict = F.when(F.col("n") == 0, agrees.column(F.col("n"), text)).otherwise(
         differs.column(F.col("n"), text)
@@ -142,9 +146,7 @@ def reliability_daily(days: DataFrame, start=None, end=None) -> DataFrame:
         F.col("incident_flag").alias("data_incident_flag"),
         F.when(bad, "FAILED").otherwise("PASSED").alias("data_trust_status"),
         F.when(critical, "Critical").when(bad, "High").otherwise("Normal").alias("reliability_status"),
-        F.when(bad, "Purchase telemetry does not reconcile with trusted operational records")
-        .otherwise("Purchase telemetry reconciles with operational records")
-        .alias("reliability_message"),
+        F.when(bad, FAILED_MESSAGE).otherwise(PASSED_MESSAGE).alias("reliability_message"),
     )
 
 

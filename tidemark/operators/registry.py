@@ -24,6 +24,10 @@ DATA_ACTION = (
     "Do not use affected purchase-event revenue for decision-making. "
     "Investigate telemetry pipeline, schema changes and purchase event emission."
 )
+DATA_IMPACT = "%d purchase events missing; event revenue captured at %s%% of trusted operational revenue."
+BUSINESS_IMPACT = (
+    "%d shipments evaluated; delay rate %s%% -> %s%%; network load %s%% -> %s%%; %d support cases affected."
+)
 BUSINESS_CAUSE = "Operational Performance Degradation"
 BUSINESS_METRIC = "Delivery SLA / Delay Rate"
 BUSINESS_ACTION = (
@@ -57,12 +61,7 @@ def data_records(incidents: DataFrame, trust: DataFrame) -> DataFrame:
         + clip(null_rate / 30 * 100, 0.0, 100.0) * 0.20
         + F.when(F.coalesce("non_app_failures", F.lit(0)) == 0, 100.0).otherwise(40.0) * 0.10
     )
-    impact = F.concat(
-        F.col("missing_purchase_events").cast("string"),
-        F.lit(" purchase events missing; event revenue captured at "),
-        number(capture),
-        F.lit("% of trusted operational revenue."),
-    )
+    impact = F.format_string(DATA_IMPACT, F.col("missing_purchase_events"), number(capture))
     return rows.select(
         F.lit("DATA_INCIDENT").alias("classification"),
         data_severity(coverage, capture).alias("severity"),
@@ -106,20 +105,9 @@ def business_records(incidents: DataFrame, reports: DataFrame) -> DataFrame:
     )
     rows = incidents.join(facts, "candidate_incident_id", "left")
     confidence = F.coalesce("rca_confidence", "anomaly_score", F.lit(0.0))
-    impact = F.concat(
-        F.col("shipments").cast("string"),
-        F.lit(" shipments evaluated; delay rate "),
-        number("delay_before"),
-        F.lit("% -> "),
-        number("delay_after"),
-        F.lit("%; network load "),
-        number("load_before"),
-        F.lit("% -> "),
-        number("load_after"),
-        F.lit("%; "),
-        F.coalesce("rca_cases", "affected_support_cases", F.lit(0)).cast("string"),
-        F.lit(" support cases affected."),
-    )
+    metrics = [number(c) for c in ("delay_before", "delay_after", "load_before", "load_after")]
+    cases = F.coalesce("rca_cases", "affected_support_cases", F.lit(0).cast("bigint"))
+    impact = F.format_string(BUSINESS_IMPACT, F.col("shipments"), *metrics, cases)
     missing = F.lit(None).cast("double")
     return rows.select(
         F.lit("BUSINESS_INCIDENT").alias("classification"),

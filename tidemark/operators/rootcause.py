@@ -22,6 +22,14 @@ CAUSES = [
     ("route_score", "Route / Distance Mix"),
     ("seasonality_score", "Network Seasonality"),
 ]
+# Evidence sentences.
+LOAD_EVIDENCE = "Warehouse/network load increased by %s pp."
+DELAY_EVIDENCE = "Delay rate changed by %s pp."
+SPREAD_EVIDENCE = "%s%% of carriers present in the incident showed material delay deterioration."
+TRUST_EVIDENCE = {
+    True: "Logistics Data Quality controls passed.",
+    False: "Logistics Data Quality controls did not pass.",
+}
 _RATES = {
     # metric: (sum, non-NULL count, decimals of the summed units, factor)
     "delay_pct": ("delayed", "delayed_n", 0, 100.0),
@@ -278,18 +286,10 @@ def cause_verdict(scores: DataFrame) -> DataFrame:
 def cause_evidence() -> Column:
     """The four evidence sentences of a report, from the verdict columns."""
     return F.array(
-        F.concat(
-            F.lit("Warehouse/network load increased by "), number("load_delta_pp", 2, signed=True), F.lit(" pp.")
-        ),
-        F.concat(F.lit("Delay rate changed by "), number("delay_delta_pp", 2, signed=True), F.lit(" pp.")),
-        F.concat(
-            number("spread_pct_short", 1),
-            F.lit("% of carriers present in the incident showed material delay deterioration."),
-        ),
-        F.concat(
-            F.lit("Logistics Data Quality controls "),
-            F.when(F.col("trusted") == 1, "passed.").otherwise("did not pass."),
-        ),
+        F.format_string(LOAD_EVIDENCE, number("load_delta_pp", 2, signed=True)),
+        F.format_string(DELAY_EVIDENCE, number("delay_delta_pp", 2, signed=True)),
+        F.format_string(SPREAD_EVIDENCE, number("spread_pct_short", 1)),
+        F.when(F.col("trusted") == 1, TRUST_EVIDENCE[True]).otherwise(TRUST_EVIDENCE[False]),
     )
 
 

@@ -459,6 +459,11 @@ def prompt_packs(t: Tables) -> DataFrame:
     return packs.select("incident_id", "system_prompt", "user_prompt", F.to_json("guardrails").alias("guardrails"))
 
 
+@query
+def prompt_preview(t: Tables) -> DataFrame:
+    return briefs.prompt_preview(briefs.prompt_packs(t.briefs))
+
+
 def _validated(t: Tables) -> DataFrame:
     texts = t.reports.withColumn("warnings", grounding.report_warnings(F.col("report")))
     return texts.withColumn("warning_count", F.size("warnings"))
