@@ -40,6 +40,8 @@ def ordered(rows):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [step for step in ("CartesianProduct", "NestedLoop", "Python", "Pandas") if step in plan]
     names = sorted(df.columns)
     cursor = duck.execute(SQL[name])
     found = {d[0]: (i, str(d[1])) for i, d in enumerate(cursor.description)}
