@@ -1,4 +1,4 @@
--- needs: r_customers r_orders r_payments r_shipments r_cases r_events
+-- needs: r_customers r_orders r_payments bronze_shipments bronze_cases r_events
 WITH tests(model, column_name, test, failing_rows) AS (
     SELECT 'stg_customers', 'customer_id', 'not_null', count(*) - count(customer_id) FROM r_customers
     UNION ALL SELECT 'stg_customers', 'customer_id', 'unique', count(*) FROM (SELECT customer_id FROM r_customers GROUP BY 1 HAVING count(*) > 1)
@@ -14,16 +14,16 @@ WITH tests(model, column_name, test, failing_rows) AS (
     UNION ALL SELECT 'stg_payments', 'payment_id', 'unique', count(*) FROM (SELECT payment_id FROM r_payments GROUP BY 1 HAVING count(*) > 1)
     UNION ALL SELECT 'stg_payments', 'payment_status', 'accepted_values', count(*) FROM r_payments
         WHERE payment_status NOT IN ('Paid', 'Refunded', 'Failed', 'Pending')
-    UNION ALL SELECT 'stg_shipments', 'shipment_id', 'not_null', count(*) - count(shipment_id) FROM r_shipments
-    UNION ALL SELECT 'stg_shipments', 'order_id', 'not_null', count(*) - count(order_id) FROM r_shipments
-    UNION ALL SELECT 'stg_shipments', 'carrier_id', 'not_null', count(*) - count(carrier_id) FROM r_shipments
-    UNION ALL SELECT 'stg_shipments', 'shipment_id', 'unique', count(*) FROM (SELECT shipment_id FROM r_shipments GROUP BY 1 HAVING count(*) > 1)
-    UNION ALL SELECT 'stg_shipments', 'shipment_status', 'accepted_values', count(*) FROM r_shipments
+    UNION ALL SELECT 'stg_shipments', 'shipment_id', 'not_null', count(*) - count(shipment_id) FROM bronze_shipments
+    UNION ALL SELECT 'stg_shipments', 'order_id', 'not_null', count(*) - count(order_id) FROM bronze_shipments
+    UNION ALL SELECT 'stg_shipments', 'carrier_id', 'not_null', count(*) - count(carrier_id) FROM bronze_shipments
+    UNION ALL SELECT 'stg_shipments', 'shipment_id', 'unique', count(*) FROM (SELECT shipment_id FROM bronze_shipments GROUP BY 1 HAVING count(*) > 1)
+    UNION ALL SELECT 'stg_shipments', 'shipment_status', 'accepted_values', count(*) FROM bronze_shipments
         WHERE shipment_status NOT IN ('Delivered', 'Delayed', 'In Transit', 'Lost')
-    UNION ALL SELECT 'stg_support_cases', 'case_id', 'not_null', count(*) - count(case_id) FROM r_cases
-    UNION ALL SELECT 'stg_support_cases', 'customer_id', 'not_null', count(*) - count(customer_id) FROM r_cases
-    UNION ALL SELECT 'stg_support_cases', 'case_id', 'unique', count(*) FROM (SELECT case_id FROM r_cases GROUP BY 1 HAVING count(*) > 1)
-    UNION ALL SELECT 'stg_support_cases', 'priority', 'accepted_values', count(*) FROM r_cases
+    UNION ALL SELECT 'stg_support_cases', 'case_id', 'not_null', count(*) - count(case_id) FROM bronze_cases
+    UNION ALL SELECT 'stg_support_cases', 'customer_id', 'not_null', count(*) - count(customer_id) FROM bronze_cases
+    UNION ALL SELECT 'stg_support_cases', 'case_id', 'unique', count(*) FROM (SELECT case_id FROM bronze_cases GROUP BY 1 HAVING count(*) > 1)
+    UNION ALL SELECT 'stg_support_cases', 'priority', 'accepted_values', count(*) FROM bronze_cases
         WHERE priority NOT IN ('Low', 'Medium', 'High', 'Critical')
     UNION ALL SELECT 'stg_app_events', 'event_id', 'not_null', count(*) - count(event_id) FROM r_events
     UNION ALL SELECT 'stg_app_events', 'event_id', 'unique', count(*) FROM (SELECT event_id FROM r_events GROUP BY 1 HAVING count(*) > 1)

@@ -1,13 +1,13 @@
--- needs: r_orders orders_enriched r_shipments r_cases r_events executive_daily logistics_performance data_reliability_daily recon_incident daily_reconciliation incident_shipment_pairs commerce_performance incident_command_center incident_registry hub_incidents r_bounds
+-- needs: r_orders orders_enriched bronze_shipments bronze_cases r_events executive_daily logistics_performance data_reliability_daily recon_incident daily_reconciliation incident_shipment_pairs commerce_performance incident_command_center incident_registry hub_incidents r_bounds
 WITH checks(contract, check_name, expected, observed) AS (
     SELECT 'silver', 'orders', (SELECT count(*) FROM r_orders), count(*) FROM orders_enriched
-    UNION ALL SELECT 'silver', 'shipments', (SELECT count(*) FROM r_shipments), count(*) FROM r_shipments
-    UNION ALL SELECT 'silver', 'cases', (SELECT count(*) FROM r_cases), count(*) FROM r_cases
+    UNION ALL SELECT 'silver', 'shipments', (SELECT count(*) FROM bronze_shipments), count(*) FROM bronze_shipments
+    UNION ALL SELECT 'silver', 'cases', (SELECT count(*) FROM bronze_cases), count(*) FROM bronze_cases
     UNION ALL SELECT 'silver', 'purchases', (SELECT count(*) FROM r_events WHERE event_type = 'purchase'), sum(purchase_events)
         FROM executive_daily
     UNION ALL SELECT 'silver', 'order_duplicates', 0, count(*) - count(DISTINCT order_id) FROM orders_enriched
-    UNION ALL SELECT 'silver', 'shipment_duplicates', 0, count(*) - count(DISTINCT shipment_id) FROM r_shipments
-    UNION ALL SELECT 'silver', 'case_duplicates', 0, count(*) - count(DISTINCT case_id) FROM r_cases
+    UNION ALL SELECT 'silver', 'shipment_duplicates', 0, count(*) - count(DISTINCT shipment_id) FROM bronze_shipments
+    UNION ALL SELECT 'silver', 'case_duplicates', 0, count(*) - count(DISTINCT case_id) FROM bronze_cases
     UNION ALL SELECT 'silver', 'payment_mismatches', 0, count(*) FROM orders_enriched
         WHERE abs(payment_reconciliation_delta_eur) > 0.01
     UNION ALL SELECT 'executive_daily', 'rows', (SELECT end_date - start_date + 1 FROM r_bounds), count(*) FROM executive_daily
@@ -18,14 +18,14 @@ WITH checks(contract, check_name, expected, observed) AS (
     UNION ALL SELECT 'executive_daily', 'max_date', (SELECT end_date - DATE '1970-01-01' FROM r_bounds),
         max(report_date) - DATE '1970-01-01' FROM executive_daily
     UNION ALL SELECT 'executive_daily', 'orders', (SELECT count(*) FROM r_orders), sum(orders) FROM executive_daily
-    UNION ALL SELECT 'executive_daily', 'shipments', (SELECT count(*) FROM r_shipments), sum(shipments) FROM executive_daily
+    UNION ALL SELECT 'executive_daily', 'shipments', (SELECT count(*) FROM bronze_shipments), sum(shipments) FROM executive_daily
     UNION ALL SELECT 'executive_daily', 'purchase_events', (SELECT count(*) FROM r_events WHERE event_type = 'purchase'),
         sum(purchase_events) FROM executive_daily
-    UNION ALL SELECT 'logistics_performance', 'shipment_touches', (SELECT 2 * count(*) FROM r_shipments), sum(shipment_touches)
+    UNION ALL SELECT 'logistics_performance', 'shipment_touches', (SELECT 2 * count(*) FROM bronze_shipments), sum(shipment_touches)
         FROM logistics_performance
-    UNION ALL SELECT 'logistics_performance', 'min_date', (SELECT min(shipment_date) - DATE '1970-01-01' FROM r_shipments),
+    UNION ALL SELECT 'logistics_performance', 'min_date', (SELECT min(shipment_date) - DATE '1970-01-01' FROM bronze_shipments),
         min(report_date) - DATE '1970-01-01' FROM logistics_performance
-    UNION ALL SELECT 'logistics_performance', 'max_date', (SELECT max(shipment_date) - DATE '1970-01-01' FROM r_shipments),
+    UNION ALL SELECT 'logistics_performance', 'max_date', (SELECT max(shipment_date) - DATE '1970-01-01' FROM bronze_shipments),
         max(report_date) - DATE '1970-01-01' FROM logistics_performance
     UNION ALL SELECT 'logistics_performance', 'incident_visible', (SELECT CAST(count(*) > 0 AS INTEGER) FROM hub_incidents),
         CAST(sum(business_incident_flag) > 0 AS INTEGER) FROM logistics_performance
@@ -43,7 +43,7 @@ WITH checks(contract, check_name, expected, observed) AS (
     UNION ALL SELECT 'data_reliability', 'null_values', (SELECT coalesce(sum(null_purchase_values), 0) FROM recon_incident),
         sum(data_incident_flag * purchase_value_null_count) FROM data_reliability_daily
     UNION ALL SELECT 'customer_experience', 'support_cases', count(*), count(*)
-        FROM r_cases LEFT JOIN incident_shipment_pairs USING (shipment_id)
+        FROM bronze_cases LEFT JOIN incident_shipment_pairs USING (shipment_id)
     UNION ALL SELECT 'commerce_performance', 'orders', (SELECT count(*) FROM orders_enriched), sum(orders) FROM commerce_performance
     UNION ALL SELECT 'commerce_performance', 'status_total', (SELECT count(*) FROM orders_enriched),
         sum(completed_orders + returned_orders + cancelled_orders + pending_orders) FROM commerce_performance

@@ -1,12 +1,12 @@
--- needs: r_kept r_shipments r_cases r_hubs
+-- needs: r_kept bronze_shipments bronze_cases r_hubs
 WITH hits AS (
     SELECT DISTINCT k.candidate_incident_id, s.shipment_id
-    FROM r_kept AS k JOIN r_shipments AS s
+    FROM r_kept AS k JOIN bronze_shipments AS s
       ON (s.origin_warehouse_id = k.warehouse_id OR s.destination_warehouse_id = k.warehouse_id)
      AND s.shipment_date BETWEEN k.window_start AND k.window_end
 ), impact AS (
     SELECT candidate_incident_id, count(*) AS cases, avg(support_sla_met) AS sla, avg(csat_score) AS csat
-    FROM hits JOIN r_cases USING (shipment_id) GROUP BY 1
+    FROM hits JOIN bronze_cases USING (shipment_id) GROUP BY 1
 )
 SELECT k.candidate_incident_id, 'BUSINESS_INCIDENT_CANDIDATE' AS classification, 'logistics' AS domain, k.warehouse_id,
        h.city, h.country, window_start AS start_date, window_end AS end_date, window_shipments AS shipments,

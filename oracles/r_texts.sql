@@ -11,10 +11,10 @@ WITH lead AS (
 SELECT t.conv_id, t.turn, t.classification, x.incident_id AS incident_id, x.start_date AS start_date, x.end_date AS end_date,
        x.confidence_score AS confidence_score, x.primary_cause AS primary_cause, x.data_trust_status AS data_trust_status,
        CASE t.turn % 4
-            WHEN 0 THEN text || ' ' || x.incident_id || ': ' || lower(replace(t.classification, '_', ' ')) || ' from '
-                || strftime(x.start_date, '%Y-%m-%d') || ' to ' || strftime(x.end_date, '%Y-%m-%d') || ' with root cause '
-                || x.primary_cause || ' and confidence ' || CAST(round_even(x.confidence_score, 0) AS BIGINT) || '; data trust '
-                || lower(x.data_trust_status)
+            WHEN 0 THEN concat_ws(' ', text, x.incident_id || ':', lower(replace(t.classification, '_', ' ')), 'from',
+                strftime(x.start_date, '%Y-%m-%d'), 'to', strftime(x.end_date, '%Y-%m-%d'), 'with root cause',
+                x.primary_cause, 'and confidence', CAST(CAST(round_even(x.confidence_score, 0) AS BIGINT) AS VARCHAR),
+                '; data trust', lower(x.data_trust_status))
             WHEN 1 THEN text || ' A 7 day window is guaranteed.'
             WHEN 2 THEN text || ' A fourteen' || chr(8209) || 'day period and a 014-day window.'
             ELSE text END AS report

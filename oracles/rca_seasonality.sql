@@ -1,7 +1,7 @@
--- needs: r_periods r_shipments hub_incidents
+-- needs: r_periods bronze_shipments hub_incidents
 WITH rates AS (
     SELECT p.candidate_incident_id, p.period, avg(s.delayed_flag) AS rate
-    FROM r_periods AS p JOIN r_shipments AS s ON s.shipment_date BETWEEN p.s AND p.e GROUP BY 1, 2
+    FROM r_periods AS p JOIN bronze_shipments AS s ON s.shipment_date BETWEEN p.s AND p.e GROUP BY 1, 2
 )
 SELECT i.candidate_incident_id, coalesce((n.rate - b.rate) * 100, 0) AS network_delta
 FROM hub_incidents AS i

@@ -1,4 +1,4 @@
--- needs: r_shipments
+-- needs: bronze_shipments
 SELECT 'shipments' AS table_name,
        unnest(['rows', 'carrier_id.distinct', 'origin_warehouse_id.distinct', 'cross_border.share_pct', 'sla_met.share_pct',
                'delayed_flag.share_pct', 'no_scan_flag.share_pct', 'damaged_flag.share_pct', 'lost_flag.share_pct',
@@ -13,4 +13,4 @@ SELECT 'shipments' AS table_name,
                printf('%.2f', round(CAST(sum(CAST(actual_transit_hours AS DECIMAL(18, 4))) AS DOUBLE) / count(*), 2)),
                printf('%.2f', round(CAST(sum(CAST(network_load_factor AS DECIMAL(18, 4))) AS DOUBLE) / count(*), 2)),
                strftime(min(shipment_created_ts), '%Y-%m-%d'), strftime(max(shipment_created_ts), '%Y-%m-%d')]) AS value
-FROM r_shipments
+FROM bronze_shipments

@@ -1,4 +1,4 @@
--- needs: r_shipments r_carriers r_hubs
+-- needs: bronze_shipments r_carriers r_hubs
 WITH scored AS (
     SELECT s.*, round(least(greatest(
                CAST(0.035 AS DOUBLE) + greatest(network_load_factor - CAST(0.75 AS DOUBLE), 0) * CAST(0.3 AS DOUBLE)
@@ -7,7 +7,7 @@ WITH scored AS (
                + CASE WHEN month(shipment_created_ts) IN (11, 12) THEN CAST(0.03 AS DOUBLE) ELSE 0 END
                + CASE WHEN dayofweek(shipment_created_ts) IN (0, 6) THEN CAST(0.015 AS DOUBLE) ELSE 0 END,
                CAST(0.02 AS DOUBLE)), CAST(0.45 AS DOUBLE)), 6) AS risk
-    FROM r_shipments AS s JOIN r_carriers AS c ON s.carrier_id = c.carrier_id
+    FROM bronze_shipments AS s JOIN r_carriers AS c ON s.carrier_id = c.carrier_id
     JOIN r_hubs AS h ON s.origin_warehouse_id = h.warehouse_id
 )
 SELECT service_tier, cross_border, count(*) AS shipments,

@@ -4,7 +4,9 @@ Every frame is lazy and built from the tables in one folder, so queries prune wh
 
 Orders keep their total; payments are the sum of their lines. Shipments are order lines, sent from
 the supplier's nation (hub) to the customer's nation (hub) by the supplier as carrier. Support cases
-belong to returned lines. App events are the event stream.
+belong to returned lines. App events are the event stream. As in the domain, the stored layer carries
+two known disturbances for the detectors to find: one overloaded hub window, and one week of lost
+purchase telemetry.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from tidemark.functions.calendar import shift_hours
 from tidemark.functions.numeric import clip, exact_sum, flag, round_to
 from tidemark.operators import anomaly, briefs, quality, reconciliation, registry, rootcause
 from tidemark.operators.derive import case_times, case_triage, route_distance, sla_evaluation, sla_hours
-from tidemark.operators.perturb import drop_rows, null_values
+from tidemark.operators.perturb import degrade_cases, degrade_shipments, drop_rows, null_values, shift_tracking
 from tidemark.plans import silver
 from tidemark.session import materialize, spread
 
@@ -75,6 +77,13 @@ def hub_id(key: str) -> Column:
     return F.concat(F.lit("HUB-"), F.col(key).cast("string"))
 
 
+def overloaded() -> Column:
+    """Shipments that touch the overloaded hub in its window."""
+    hub, start, end = OVERLOAD
+    touched = (F.col("origin_warehouse_id") == hub) | (F.col("destination_warehouse_id") == hub)
+    return touched & F.to_date("shipment_created_ts").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+
+
 class Tables:
     """Role frames over the tables of one folder.
 
@@ -303,18 +312,19 @@ class Tables:
 
     @cached_property
     def stored_shipments(self) -> DataFrame:
-        """Dated shipments as a stored table.
+        """Dated shipments with the overloaded hub window, as a stored table.
 
         Controls, detection, root causes and marts scan shipments many times and few columns each;
         without the table every scan would repeat the joins that put a shipment together.
         """
-        dated = self.shipments.withColumn("shipment_date", F.to_date("shipment_created_ts"))
+        degraded = degrade_shipments(self.shipments, overloaded())
+        dated = degraded.withColumn("shipment_date", F.to_date("shipment_created_ts"))
         return materialize(dated, "shipments")
 
     @cached_property
     def tracking(self) -> DataFrame:
-        """Tracking events as a stored table."""
-        return materialize(self.derived_tracking, "tracking")
+        """Tracking events, late where the hub is overloaded, as a stored table."""
+        return materialize(shift_tracking(self.derived_tracking, self.shipments, overloaded()), "tracking")
 
     @cached_property
     def derived_tracking(self) -> DataFrame:
@@ -350,8 +360,8 @@ class Tables:
 
     @cached_property
     def cases(self) -> DataFrame:
-        """Support cases as a stored table."""
-        return materialize(self.derived_cases, "cases")
+        """Support cases, slower where the hub is overloaded, as a stored table."""
+        return materialize(degrade_cases(self.derived_cases, self.shipments, overloaded()), "cases")
 
     @cached_property
     def derived_cases(self) -> DataFrame:

@@ -17,7 +17,7 @@ from tidemark.operators import rootcause
 from tidemark.operators.ranking import rank_in_buckets
 from tidemark.operators.touches import incident_days, incident_shipments
 from tidemark.plans import gold, staging
-from tidemark.plans.bindings import OVERLOAD, RULES, SCHEMAS, Tables
+from tidemark.plans.bindings import RULES, SCHEMAS, Tables, overloaded
 
 Query = Callable[[Tables], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -271,25 +271,19 @@ def reliability_totals(t: Tables) -> DataFrame:
     return recon.incident_totals(recon.reliability_daily(t.reconciliation))
 
 
-def _overloaded():
-    hub, start, end = OVERLOAD
-    touched = (F.col("origin_warehouse_id") == hub) | (F.col("destination_warehouse_id") == hub)
-    return touched & F.to_date("shipment_created_ts").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-
-
 @query
 def perturb_degrade(t: Tables) -> DataFrame:
-    return perturb.degrade_shipments(t.stored_shipments.drop("shipment_date"), _overloaded())
+    return perturb.degrade_shipments(t.shipments, overloaded())
 
 
 @query
 def perturb_shift(t: Tables) -> DataFrame:
-    return perturb.shift_tracking(t.tracking, t.stored_shipments, _overloaded())
+    return perturb.shift_tracking(t.derived_tracking, t.shipments, overloaded())
 
 
 @query
 def perturb_cases(t: Tables) -> DataFrame:
-    return perturb.degrade_cases(t.cases, t.stored_shipments, _overloaded())
+    return perturb.degrade_cases(t.derived_cases, t.shipments, overloaded())
 
 
 @query
@@ -301,8 +295,8 @@ def perturb_before_after(t: Tables) -> DataFrame:
         "avg_load_pct": round_to(exact_avg("network_load_factor", 4) * 100, 2),
         "avg_transit_hours": round_to(exact_avg("actual_transit_hours", 2), 2),
     }
-    after = perturb.degrade_shipments(t.stored_shipments, _overloaded())
-    return perturb.before_after(t.stored_shipments, after, _overloaded(), metrics)
+    after = perturb.degrade_shipments(t.shipments, overloaded())
+    return perturb.before_after(t.shipments, after, overloaded(), metrics)
 
 
 # --- anomalies -------------------------------------------------------------------------------------
