@@ -8,16 +8,47 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, exact_dedup, packing
+from tidemark.llm import attention_quality, chat, exact_dedup, licenses, mixing, packing, pii, quality_rules
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_entropy_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per document: repeated rows of one id, source and size are told apart again."""
+    taken = mixing.copies(table(spark, folder, "documents"))
+    each = taken.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), "times")).alias("nth"))
+    return each.select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "rate"
+    )
+
+
+def op2_certified_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op3_bootstrapped_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(table(spark, folder, "documents"))
+
+
 def op4_content_sort(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, folder, "documents"))
 
 
+def op7_attention_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = attention_quality.fit(docs, table(spark, folder, "labels"))
+    scores = attention_quality.scored(docs, model)
+    return scores.select("doc_id", attention_quality.held_out().alias("held_out"), "score", "predicted")
+
+
+def op8_license_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     fixed = spark.sql(
@@ -42,9 +73,19 @@ def op10_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op4_content_sort, op9_chat_formatting, op10_harmonic_packing)
+    for f in (
+        op1_entropy_mixing,
+        op2_certified_rules,
+        op3_bootstrapped_pii,
+        op4_content_sort,
+        op7_attention_quality,
+        op8_license_rules,
+        op9_chat_formatting,
+        op10_harmonic_packing,
+    )
 }
 
 
 def oracles() -> dict[str, str]:
-    return {p.stem: p.read_text(encoding="utf-8") for p in sorted((Path(__file__).parent / "sql").glob("*.sql"))}
+    sql = {"op8_license_rules": licenses.scan_sql()}
+    return sql | {p.stem: p.read_text(encoding="utf-8") for p in sorted((Path(__file__).parent / "sql").glob("*.sql"))}
