@@ -9,6 +9,8 @@ What is left in open bins at its end (fewer than k pieces of each class) is laid
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,8 +29,10 @@ END_ID = 1
 SLACK = 16
 #: Words whose ids a worker remembers; beyond that it starts anew. Only speed depends on it.
 CACHE_WORDS = 600_000
+CACHE_LETTERS = 1_000_000
 _BATCH_BYTES = 8 << 20
-_SEPARATOR, _SEPARATOR_ID = "<|startoftext|>", 49406
+#: Letters that are one character each in any normal form, and marks that stand together as one token group.
+_PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?|#$%&*()\"-]*)")
 _PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
     "sequence_id bigint, offset bigint"
@@ -39,7 +43,9 @@ class WordTokenizer:
     """Ids of whole texts through a memory of words.
 
     The tokenizer splits at white space before anything else can join, so the ids of a text are those of its words in
-    a row. New words are encoded together, separated by a special token.
+    a row. A word of Latin letters and marks splits again between the two, and upper case does not matter, so most new
+    words need only the ids of their letters; those are encoded many at a time and parted after each token that ends a
+    word. Other words are encoded one by one.
     """
 
     def __init__(self, path: str):
@@ -47,43 +53,64 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = frozenset(i for token, i in vocabulary.items() if token.endswith("</w>"))
         self.known: dict[bytes, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
 
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _learn_letters(self, words: list[str]) -> None:
+        if len(self.letters) + len(words) > CACHE_LETTERS:
+            self.letters.clear()
+        for i in range(0, len(words), 1024):
+            part = words[i : i + 1024]
+            ids = self._encode(" ".join(part))
+            packed = _packed(ids)
+            stops = [4 * n for n, token in enumerate(ids, 1) if token in self.ends]
+            for word, start, stop in zip(part, [0, *stops], stops, strict=False):
+                self.letters[word] = packed[start:stop]
+
     def learn(self, words: set[bytes]) -> None:
-        plain = [w for w in words if b"<|" not in w]
-        for word in words.difference(plain):
-            self.known[word] = _packed(self._encode(word.decode()))
-        for i in range(0, len(plain), 4096):
-            part = plain[i : i + 4096]
-            ids = self._encode(_SEPARATOR.join(w.decode() for w in part))
-            start = 0
-            for word in part[:-1]:
-                stop = ids.index(_SEPARATOR_ID, start)
-                self.known[word] = _packed(ids[start:stop])
-                start = stop + 1
-            self.known[part[-1]] = _packed(ids[start:])
+        """Remember the ids of new words."""
+        if len(self.known) + len(words) > CACHE_WORDS:
+            self.known.clear()
+        plain = []
+        for word in words:
+            text = word.decode()
+            if match := _PLAIN.fullmatch(text):
+                plain.append((word, match[1].lower(), match[2]))
+            else:
+                self.known[word] = _packed(self._encode(text))
+        new = {letters for _, letters, _ in plain}.difference(self.letters)
+        if len(self.letters) + len(new) > CACHE_LETTERS:  # they will be forgotten first
+            new = {letters for _, letters, _ in plain}
+        self._learn_letters(list(new))
+        for word, letters, marks in plain:
+            if marks not in self.marks:
+                self.marks[marks] = _packed(self._encode(marks))
+            self.known[word] = self.letters[letters] + self.marks[marks]
+        if len(self.marks) > CACHE_WORDS:
+            self.marks = {"": b""}
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text, with the end id."""
-        words = [text.split() for text in texts]
-        seen = set().union(*words)
-        new = seen.difference(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = seen
+        rows = [text.split() for text in texts]
+        found = [list(map(self.known.get, row)) for row in rows]
+        new = {w for row, ids in zip(rows, found, strict=True) if None in ids for w, i in zip(row, ids, strict=True) if i is None}
         if new:
             self.learn(new)
         end = _packed([END_ID])
-        known = self.known
-        for row in words:
-            yield b"".join([known[w] for w in row]) + end
+        for row, ids in zip(rows, found, strict=True):
+            if None in ids:
+                ids = [self.known[w] if i is None else i for w, i in zip(row, ids, strict=True)]
+            yield b"".join(ids) + end
 
 
 def _packed(ids: list[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)
