@@ -30,7 +30,7 @@ def check(rows, pieces):
             ids = same[0]
             for p in by_doc[doc_id]:
                 part = b"".join(i.to_bytes(4, "little") for i in ids[p.start : p.start + p.length])
-                assert (p.ids_crc32, p.doc_tokens) == (zlib.crc32(part), len(ids))
+                assert (bytes(p.ids), p.length, p.doc_tokens) == (part, len(part) // 4, len(ids))
         spans = Counter(i for p in by_doc[doc_id] for i in range(p.start, p.start + p.length))
         assert spans == Counter(i for ids in same for i in range(len(ids)))
     padding = 0
@@ -84,3 +84,13 @@ def test_whole_table(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     assert check(rows, pack(docs).collect()) < 0.05
+
+
+def test_query_gives_the_checksum_of_the_ids(spark):
+    from tests.llm.conftest import SMALL
+    from tidemark.llm.queries import QUERIES
+
+    texts = {r.doc_id: whole(r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    for p in QUERIES["op10_harmonic_packing"](spark, SMALL).collect():
+        part = texts[p.doc_id][p.start : p.start + p.length]
+        assert p.ids_crc32 == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in part))

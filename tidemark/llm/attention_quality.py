@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.llm.common import batches_of, text_of, utf8
 
@@ -288,5 +289,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", key: str =
             kept = batch.column(0).filter(pa.array(good))
             yield pa.RecordBatch.from_arrays([kept], names=["row"])
 
-    kinds = f"row {rows.schema['row'].dataType.simpleString()}"
-    return rows.mapInArrow(run, kinds).select("row.*")
+    return rows.mapInArrow(run, StructType([rows.schema["row"]])).select("row.*")

@@ -11,9 +11,9 @@ from __future__ import annotations
 import os
 import re
 import struct
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 import public_tokenizers
@@ -34,8 +34,7 @@ _BATCH_BYTES = 8 << 20
 #: Letters that are one character each in any normal form, and marks that stand together as one token group.
 _PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?|#$%&*()\"-]*)")
 _PIECES = (
-    "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
-    "sequence_id bigint, offset bigint"
+    "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 )
 
 
@@ -143,7 +142,7 @@ def pack_partition(
     def placed(pieces: list[tuple], number: int) -> Iterator[tuple]:
         offset = 0
         for doc_id, start, ids, total in pieces:
-            yield doc_id, start, len(ids) // 4, zlib.crc32(ids), total, number, offset
+            yield doc_id, start, len(ids) // 4, ids, total, number, offset
             offset += len(ids) // 4
 
     for doc_id, ids in documents:
@@ -172,15 +171,15 @@ def pack_partition(
 def pack(
     docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: int = CAPACITY, tokenizer: str | None = None
 ) -> DataFrame:
-    """One row per piece: ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``.
+    """One row per piece: ``doc_id``, ``start``, ``length``, ``ids``, ``doc_tokens``, ``sequence_id``, ``offset``.
 
-    A document is its text's token ids and the end id; a null or empty text is the end id alone, a null id stays null.
+    ``ids`` are little-endian unsigned 32-bit integers; the pieces of a sequence by offset are its content. A document is its text's token ids and the end id; a null or empty text is the end id alone, a null id stays null.
     Each id of each row lies in exactly one piece, a repeated row is packed again, sequences hold at most ``capacity``
     ids without gaps. An empty table gives no rows; other columns are not read.
     """
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
-    fields = [part.split(" ")[0] for part in _PIECES.split(", ")]
-    schema = pa.schema([(name, pa.int64()) for name in fields])
+    names = [part.split(" ")[0] for part in _PIECES.split(", ")]
+    schema = pa.schema([(name, pa.binary() if name == "ids" else pa.int64()) for name in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def documents():
@@ -188,13 +187,9 @@ def pack(
                 ids = batch.column(0).to_pylist()
                 yield from zip(ids, _tokenizer(path).ids(utf8(batch.column(1))), strict=True)
 
-        rows: list[tuple] = []
-        for row in pack_partition(documents(), TaskContext.get().partitionId(), capacity):
-            rows.append(row)
-            if len(rows) >= 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
-                rows = []
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
+        pieces = pack_partition(documents(), TaskContext.get().partitionId(), capacity)
+        while rows := list(islice(pieces, 2000)):
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return docs.select(F.col(key).cast("bigint").alias("doc_id"), text_of(text).alias("text")).mapInArrow(run, _PIECES)

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import attention_quality, chat, exact_dedup, licenses, mixing, packing, pii, quality_rules
+from tidemark.llm import attention_quality, chat, exact_dedup, jaccard_join, licenses, mixing, packing, pii, quality_rules, repeats
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,21 @@ def op4_content_sort(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, folder, "documents"))
 
 
+def op5_run_length_index(spark: SparkSession, folder: str) -> DataFrame:
+    cut = repeats.without_repeats(table(spark, folder, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op6_prefix_tree_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_attention_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = attention_quality.fit(docs, table(spark, folder, "labels"))
@@ -68,7 +83,10 @@ def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"))
+    pieces = packing.pack(table(spark, folder, "documents"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -78,6 +96,8 @@ QUERIES: dict[str, Query] = {
         op2_certified_rules,
         op3_bootstrapped_pii,
         op4_content_sort,
+        op5_run_length_index,
+        op6_prefix_tree_join,
         op7_attention_quality,
         op8_license_rules,
         op9_chat_formatting,
