@@ -31,13 +31,28 @@ def _ordered(name: str, seen: list[str]) -> list[str]:
     return seen
 
 
-def oracle(name: str) -> str:
-    parts = _ordered(name, [])[:-1]
-    ctes = ",\n".join(f"{part} AS MATERIALIZED (\n{_files()[part]}\n)" for part in parts)
-    body = f"SELECT * FROM (\n{_files()[name]}\n) AS result"
-    return f"WITH {ctes}\n{body}" if ctes else body
+def oracle(name: str, instead: dict[str, str] | None = None) -> str:
+    """The full query of a file; ``instead`` gives other files in the place of some parts."""
+    instead = instead or {}
+    parts: list[str] = []
+    for other in instead.values():
+        _ordered(other, parts)
+    own = [part for part in parts if part not in instead.values()]
+    _ordered(name, own)
+    body = {part: _files()[instead.get(part, part)] for part in own}
+    ctes = ",\n".join(f"{part} AS MATERIALIZED (\n{body[part]}\n)" for part in own if part != name)
+    result = f"SELECT * FROM (\n{body[name]}\n) AS result"
+    return f"WITH {ctes}\n{result}" if ctes else result
+
+
+# Queries under a given verdict on the logistics data.
+VARIANTS = {
+    f"{name}_untrusted": (name, {"dq_domain_trust": "r_untrusted"})
+    for name in ("rca_verdict", "decision_briefs", "incident_command_center")
+}
 
 
 def load_oracles() -> dict[str, str]:
     """All full queries by name; the shared parts are among them."""
-    return {name: oracle(name) for name in _files()}
+    variants = {name: oracle(base, instead) for name, (base, instead) in VARIANTS.items()}
+    return {name: oracle(name) for name in _files()} | variants

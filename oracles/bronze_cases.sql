@@ -1,2 +1,2 @@
--- needs: perturb_cases
-SELECT * FROM perturb_cases
+-- needs: r_cases
+SELECT * FROM r_cases

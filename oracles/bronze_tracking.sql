@@ -1,2 +1,2 @@
--- needs: perturb_shift
-SELECT * FROM perturb_shift
+-- needs: r_tracking
+SELECT * FROM r_tracking

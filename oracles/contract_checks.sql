@@ -19,6 +19,7 @@ WITH checks(contract, check_name, expected, observed) AS (
         max(report_date) - DATE '1970-01-01' FROM executive_daily
     UNION ALL SELECT 'executive_daily', 'orders', (SELECT count(*) FROM r_orders), sum(orders) FROM executive_daily
     UNION ALL SELECT 'executive_daily', 'shipments', (SELECT count(*) FROM bronze_shipments), sum(shipments) FROM executive_daily
+    UNION ALL SELECT 'executive_daily', 'support_cases', (SELECT count(*) FROM bronze_cases), sum(support_cases) FROM executive_daily
     UNION ALL SELECT 'executive_daily', 'purchase_events', (SELECT count(*) FROM r_events WHERE event_type = 'purchase'),
         sum(purchase_events) FROM executive_daily
     UNION ALL SELECT 'logistics_performance', 'shipment_touches', (SELECT 2 * count(*) FROM bronze_shipments), sum(shipment_touches)

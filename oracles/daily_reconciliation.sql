@@ -1,13 +1,13 @@
--- needs: r_events perturbed_events
+-- needs: r_payments
 WITH wanted AS (
-    SELECT CAST(event_ts AS DATE) AS date, count(*) AS expected_purchase_count,
-           CAST(sum(CAST(event_value_eur AS DECIMAL(18, 2))) AS DOUBLE) AS expected_revenue_eur
-    FROM r_events WHERE event_type = 'purchase' GROUP BY 1
+    SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS expected_purchase_count,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS expected_revenue_eur
+    FROM orders GROUP BY 1
 ), seen AS (
-    SELECT CAST(event_ts AS DATE) AS date, count(*) AS observed_purchase_count,
-           coalesce(CAST(sum(CAST(event_value_eur AS DECIMAL(18, 2))) AS DOUBLE), 0) AS observed_revenue_eur,
-           count(*) - count(event_value_eur) AS purchase_value_null_count
-    FROM perturbed_events WHERE event_type = 'purchase' GROUP BY 1
+    SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS observed_purchase_count,
+           CAST(sum(CAST(payment_amount_eur AS DECIMAL(18, 2))) AS DOUBLE) AS observed_revenue_eur,
+           count(*) - count(payment_amount_eur) AS purchase_value_null_count
+    FROM orders JOIN r_payments ON order_id = o_orderkey GROUP BY 1
 ), paired AS (
     SELECT date, expected_purchase_count, expected_revenue_eur,
            coalesce(observed_purchase_count, 0) AS observed_purchase_count,
@@ -23,6 +23,6 @@ WITH wanted AS (
            CASE WHEN expected_revenue_eur > 0 THEN observed_revenue_eur / expected_revenue_eur ELSE 1 END AS revenue_ratio
     FROM paired
 )
-SELECT *, CASE WHEN expected_purchase_count >= 20 AND (purchase_count_ratio < 0.85 OR purchase_value_null_pct > 20
+SELECT *, CASE WHEN expected_purchase_count >= 6 AND (purchase_count_ratio < 0.85 OR purchase_value_null_pct > 20
                                                        OR revenue_ratio < 0.70) THEN 1 ELSE 0 END AS incident_flag
 FROM rated

@@ -11,9 +11,12 @@ SELECT incident_id, classification, strftime(detected_start_date, '%Y-%m-%d') AS
                 || 'captured ' || printf('%.2f', revenue_capture_pct) || '% of trusted operational revenue. Operational source '
                 || 'records remain available, so the affected telemetry KPI should not be used for business decisions until '
                 || 'the pipeline is repaired.'
-            ELSE 'A real operational performance incident was detected in ' || location || '. Logistics Data Quality controls '
-                || 'passed, while delivery performance deteriorated together with abnormal network load. The strongest '
-                || 'root-cause hypothesis is ' || primary_cause || '.' END AS executive_summary,
+            ELSE CASE WHEN data_trust_status = 'PASSED'
+                      THEN 'A real operational performance incident was detected in ' || location || '. Logistics Data Quality '
+                          || 'controls passed, while delivery performance deteriorated together with abnormal network load.'
+                      ELSE 'An operational performance incident is suspected in ' || location || '. Logistics Data Quality '
+                          || 'controls did not pass, so the deterioration must be confirmed on sound data before action.' END
+                 || ' The strongest root-cause hypothesis is ' || primary_cause || '.' END AS executive_summary,
        CASE classification
             WHEN 'DATA_INCIDENT' THEN 'Suspend use of purchase-event revenue for reporting and decision-making during the '
                 || 'affected period. | Investigate event emission, schema changes, tracking deployment and ingestion pipeline. '

@@ -1,4 +1,4 @@
--- needs: r_orders r_items r_payments bronze_shipments bronze_tracking bronze_cases r_events perturbed_events daily_reconciliation
+-- needs: r_orders r_items r_payments bronze_shipments bronze_tracking bronze_cases r_events daily_reconciliation
 WITH tests(control_id, domain, check_type, severity, n, details) AS (
     SELECT 'ORDERS_SCHEMA', 'orders', 'Schema', 'High', 0, 'Required schema present'
     UNION ALL SELECT 'ORDERS_PK', 'orders', 'Uniqueness', 'High', count(*) - count(DISTINCT order_id), 'Duplicate order_id values' FROM r_orders
@@ -38,10 +38,10 @@ WITH tests(control_id, domain, check_type, severity, n, details) AS (
             - count(first_response_ts) - count(resolved_ts), 'Null values in critical fields' FROM bronze_cases
     UNION ALL SELECT 'APP_EVENTS_SCHEMA', 'app_events', 'Schema', 'High', 0, 'Required schema present'
     UNION ALL SELECT 'APP_EVENTS_PK', 'app_events', 'Uniqueness', 'High', count(*) - count(DISTINCT event_id),
-        'Duplicate event_id values' FROM perturbed_events
+        'Duplicate event_id values' FROM r_events
     UNION ALL SELECT 'APP_EVENTS_CRITICAL_NULLS', 'app_events', 'Completeness', 'High',
         5 * count(*) - count(event_id) - count(session_id) - count(event_type) - count(event_ts) - count(customer_id),
-        'Null values in critical fields' FROM perturbed_events
+        'Null values in critical fields' FROM r_events
     UNION ALL SELECT 'PAYMENTS_ORDERS_FK', 'payments', 'Referential Integrity', 'High', count(*), 'order_id must exist in orders.order_id'
         FROM r_payments WHERE order_id IS NULL OR order_id NOT IN (SELECT order_id FROM r_orders)
     UNION ALL SELECT 'SHIPMENTS_ORDERS_FK', 'shipments', 'Referential Integrity', 'High', count(*), 'order_id must exist in orders.order_id'
@@ -65,7 +65,7 @@ WITH tests(control_id, domain, check_type, severity, n, details) AS (
     UNION ALL SELECT 'SUPPORT_CHRONOLOGY', 'support_cases', 'Validity', 'High', count(*),
         'created_ts <= first_response_ts <= resolved_ts'
         FROM bronze_cases WHERE first_response_ts < created_ts OR resolved_ts < first_response_ts
-    UNION ALL SELECT 'SHIPMENT_CHRONOLOGY', 'shipments', 'Validity', 'High', count(*),
+    UNION ALL SELECT 'SHIPMENT_CHRONOLOGY', 'orders', 'Validity', 'High', count(*),
         'order_ts <= shipment_created_ts <= delivery_ts'
         FROM bronze_shipments JOIN r_orders USING (order_id)
         WHERE shipment_created_ts < order_ts OR delivery_ts < shipment_created_ts

@@ -1,4 +1,4 @@
--- needs: r_kept bronze_shipments bronze_cases r_hubs
+-- needs: r_kept bronze_shipments bronze_cases r_hubs dq_domain_trust
 WITH hits AS (
     SELECT DISTINCT k.candidate_incident_id, s.shipment_id
     FROM r_kept AS k JOIN bronze_shipments AS s
@@ -16,7 +16,8 @@ SELECT k.candidate_incident_id, 'BUSINESS_INCIDENT_CANDIDATE' AS classification,
        round(load_delta_pp, 2) AS load_increase_pp, round(sla_delta_pp, 2) AS sla_change_pp,
        round(transit_delta_hours, 2) AS transit_increase_hours, round(csat, 2) AS average_csat,
        coalesce(cases, 0) AS affected_support_cases, anomaly_score,
-       'Delivery deterioration coincides with abnormal warehouse/network load while logistics data contracts remain valid.'
-           AS evidence
+       'Delivery deterioration coincides with abnormal warehouse/network load'
+           || CASE WHEN (SELECT trusted FROM dq_domain_trust) = 1 THEN ' while logistics data contracts remain valid.'
+                   ELSE '; logistics data contracts are violated, so the figures need confirmation.' END AS evidence
 FROM r_kept AS k LEFT JOIN r_hubs AS h ON k.warehouse_id = h.warehouse_id
 LEFT JOIN impact AS i ON k.candidate_incident_id = i.candidate_incident_id

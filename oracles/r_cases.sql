@@ -2,10 +2,10 @@ WITH lines AS (
     SELECT *, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-'
                   || strftime(l_shipdate, '%Y%m%d') AS shipment_id
     FROM lineitem
-    JOIN orders ON l_orderkey = o_orderkey
-    JOIN supplier ON l_suppkey = s_suppkey
-    JOIN customer ON o_custkey = c_custkey
-    JOIN nation ON c_nationkey = n_nationkey
+    LEFT JOIN orders ON l_orderkey = o_orderkey
+    LEFT JOIN supplier ON l_suppkey = s_suppkey
+    LEFT JOIN customer ON o_custkey = c_custkey
+    LEFT JOIN nation ON c_nationkey = n_nationkey
     WHERE l_returnflag = 'R'
 ), base AS (
     SELECT 'CASE-' || shipment_id AS case_id, o_custkey AS customer_id, l_orderkey AS order_id, shipment_id,

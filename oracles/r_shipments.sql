@@ -19,11 +19,11 @@ WITH routed AS (
            CASE WHEN l_returnflag = 'A' AND l_linenumber = 7 THEN 1 ELSE 0 END AS lost_flag,
            l_linestatus
     FROM lineitem
-    JOIN orders ON l_orderkey = o_orderkey
-    JOIN supplier ON l_suppkey = s_suppkey
-    JOIN customer ON o_custkey = c_custkey
-    JOIN r_hubs AS a ON 'HUB-' || s_nationkey = a.warehouse_id
-    JOIN r_hubs AS b ON 'HUB-' || c_nationkey = b.warehouse_id
+    LEFT JOIN orders ON l_orderkey = o_orderkey
+    LEFT JOIN supplier ON l_suppkey = s_suppkey
+    LEFT JOIN customer ON o_custkey = c_custkey
+    LEFT JOIN r_hubs AS a ON 'HUB-' || s_nationkey = a.warehouse_id
+    LEFT JOIN r_hubs AS b ON 'HUB-' || c_nationkey = b.warehouse_id
 ), measured AS (
     SELECT *, round(greatest(CAST(12742 AS DOUBLE) * atan2(sqrt(chord), sqrt(1 - chord)), CAST(25 AS DOUBLE)), 1)
                AS distance_km

@@ -1,7 +1,6 @@
 SELECT shipment_id, shipment_id || '-' || seq AS event_id, CAST(seq AS BIGINT) AS event_sequence,
        CASE seq WHEN 1 THEN 'SHIPMENT_CREATED' WHEN 2 THEN 'IN_TRANSIT'
-            ELSE CASE WHEN l_linestatus = 'F' THEN 'DELIVERED' WHEN lost THEN 'LOST' ELSE 'OUT_FOR_DELIVERY' END
-       END AS event_type,
+            ELSE CASE WHEN lost THEN 'LOST' ELSE 'DELIVERED' END END AS event_type,
        l_shipdate + to_microseconds(CAST(round(round(hours * (seq - 1) / 2, 2) * 3600000000) AS BIGINT)) AS event_ts
 FROM (SELECT *, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-'
                     || strftime(l_shipdate, '%Y%m%d') AS shipment_id,

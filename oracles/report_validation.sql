@@ -16,7 +16,8 @@ WITH plain AS (
                        lambda w : words[w])) AS durations
     FROM lowered
 ), checked AS (
-    SELECT conv_id, turn, incident_id, list_concat(list_filter([
+    SELECT conv_id, turn, incident_id,
+           CASE WHEN report IS NULL OR incident_id IS NULL OR classification IS NULL THEN 0 ELSE 1 END AS checked, list_concat(list_filter([
         CASE WHEN NOT contains(t, lower(incident_id)) THEN 'Incident ID is missing from report.' END,
         CASE WHEN NOT (contains(t, lower(classification)) OR contains(t, replace(lower(classification), '_', ' ')))
              THEN 'Incident classification is missing or not stated clearly.' END,
@@ -38,5 +39,6 @@ WITH plain AS (
                                        lambda f : contains(t, f)), lambda f : 'Unsupported certainty language: ''' || f || '''.'))) AS found
     FROM stated
 )
-SELECT conv_id, turn, incident_id, array_to_string(found, ' | ') AS warnings, CAST(len(found) AS INTEGER) AS warning_count
+SELECT conv_id, turn, incident_id, checked, CASE WHEN checked = 1 THEN array_to_string(found, ' | ') ELSE '' END AS warnings,
+       CASE WHEN checked = 1 THEN CAST(len(found) AS INTEGER) ELSE 0 END AS warning_count
 FROM checked

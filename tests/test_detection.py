@@ -142,7 +142,8 @@ def incidents(spark, shipments):
         [(f"s{i}", i % 2, i % 5 + 1, i % 3 == 0) for i in range(0, 900, 3)] + [("s0", 1, 3, False)],
         "shipment_id string, support_sla_met int, csat_score int, e boolean",
     ).select("shipment_id", "support_sla_met", "csat_score", F.col("e").cast("int").alias("escalated_flag"))
-    records = anomaly.incident_records(anomaly.candidate_ids(kept), hubs, shipments, cases).cache()
+    trust = spark.createDataFrame([(10, 0, 1)], "checks bigint, failures bigint, trusted int")
+    records = anomaly.incident_records(anomaly.candidate_ids(kept), hubs, shipments, cases, trust).cache()
     return records, cases
 
 

@@ -112,12 +112,13 @@ def test_brief_contract_and_prompt_packs(spark):
         {"incident_id": "a", "classification": "DATA_INCIDENT", "event_coverage_pct": 1.0, "revenue_capture_pct": 1.0}])
     good = briefs.decision_briefs(df)
     assert briefs.brief_violations(good).first().violations == []
-    pack = briefs.prompt_packs(good).first()
-    context = json.loads(pack.user_prompt.split("EVIDENCE PACKAGE:\n")[1].split("\n\nWrite")[0])
+    pack = briefs.prompt_packs(good, "Report.", "Evidence:").first()
+    assert pack.system_prompt == "Report."
+    context = json.loads(pack.user_prompt.removeprefix("Evidence:\n\n"))
     assert context["incident"]["incident_id"] == "a" and context["incident"]["location"] is None
     assert context["analysis"]["evidence"] == ["one.", "two."]
     assert pack.guardrails.grounded_only and not pack.guardrails.allow_metric_invention
-    preview = briefs.prompt_preview(briefs.prompt_packs(good)).first().markdown
+    preview = briefs.prompt_preview(briefs.prompt_packs(good, "", "")).first().markdown
     assert preview.startswith("## a\n\n**Classification:** DATA_INCIDENT") and "- Limitations required" in preview
     texts = spark.createDataFrame([("a", "text")], "incident_id string, report string")
     assert briefs.report_markdown(texts).first().markdown == "# a\n\ntext\n\n---"
@@ -125,7 +126,7 @@ def test_brief_contract_and_prompt_packs(spark):
     assert len(briefs.brief_violations(bad).first().violations) == 2
     assert briefs.brief_violations(good.drop("evidence")).first().violations == ["missing required field: evidence"]
     with pytest.raises(Exception, match="Unsupported incident classification: X"):
-        briefs.prompt_packs(bad).collect()
+        briefs.prompt_packs(bad, "", "").collect()
 
 
 EVIDENCE = (
@@ -194,8 +195,9 @@ def test_concepts_rollup_and_corrections(spark):
     both = df.withColumn("user_prompt", F.lit("EVIDENCE"))
     total = grounding.warning_rollup(both).first()
     assert (total.reports, total.reports_with_warnings, total.grounding_status) == (2, 1, "REVIEW")
-    request = grounding.correction_requests(both).collect()
+    request = grounding.correction_requests(both, "Mend it.").collect()
     assert len(request) == 1 and "- Incident ID is missing from report.\n- " in request[0].correction_request
+    assert request[0].correction_request.startswith("Mend it.\n\n") and request[0].correction_request.endswith("\n\nEVIDENCE")
     found = df.select(grounding.concept_warnings(F.col("report")).alias("w")).collect()
     # "should not be trusted" is none of the short check's trust words.
     assert found[0].w == [
@@ -203,3 +205,22 @@ def test_concepts_rollup_and_corrections(spark):
         "Data incident report may not clearly communicate failed data trust.",
     ]
     assert len(found[1].w) == 2
+
+
+def test_reports_that_cannot_be_checked_do_not_pass(spark):
+    evidence = spark.createDataFrame([], EVIDENCE)
+    reports = spark.createDataFrame([("INC-009", GOOD), ("INC-009", None), (None, "text")], "incident_id string, report string")
+    rows = grounding.validate_reports(reports, evidence)
+    assert [(r.checked, r.warnings, r.warning_count) for r in rows.collect()] == [(0, [], 0)] * 3
+    total = grounding.warning_rollup(rows).first()
+    assert (total.reports, total.reports_unchecked, total.total_warnings, total.grounding_status) == (3, 3, 0, "REVIEW")
+
+
+def test_business_summary_tells_the_trust_verdict(spark):
+    rows = [
+        {"incident_id": i, "classification": "BUSINESS_INCIDENT", "data_trust_status": trust, "location": "W, P"}
+        for i, trust in (("a", "PASSED"), ("b", "FAILED"), ("c", None))
+    ]
+    got = {r.incident_id: r.executive_summary for r in briefs.decision_briefs(registry_frame(spark, rows)).collect()}
+    assert "controls passed" in got["a"]
+    assert all("did not pass" in got[i] and "controls passed" not in got[i] for i in "bc")

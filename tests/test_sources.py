@@ -1,6 +1,8 @@
 import datetime as dt
+import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemark import session
@@ -43,7 +45,7 @@ def test_csv_round_trip_optional_and_required(spark, tmp_path):
     back = readers.read_csv(spark, path, schemas.BUSINESS_INCIDENTS, schemas.INCIDENT_COLUMNS)
     row = back.first()
     assert (row.start_date, row.anomaly_score, row.evidence, row.city) == (dt.date(2025, 1, 1), 9.5, text, None)
-    assert back.columns == schemas.BUSINESS_INCIDENTS.names
+    assert back.columns == schemas.columns_of(schemas.BUSINESS_INCIDENTS)
     assert readers.read_csv(spark, str(tmp_path / "none"), schemas.BUSINESS_INCIDENTS, optional=True).count() == 0
     with pytest.raises(Exception):
         readers.read_csv(spark, str(tmp_path / "none"), schemas.BUSINESS_INCIDENTS)
@@ -110,7 +112,26 @@ def test_materialize_keeps_rows_and_cuts_the_plan(spark):
     assert "Range" not in stored._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_spread_leaves_wide_tables_alone(spark):
-    wide = spark.range(100, numPartitions=50)
-    assert session.spread(wide, "id") is wide
-    assert session.spread(spark.range(100, numPartitions=1), "id").rdd.getNumPartitions() == 8
+def test_stored_frames_can_be_removed(spark):
+    stored = session.materialize(spark.range(5), "label/t")
+    path = stored.inputFiles()[0].removeprefix("file:")
+    assert os.path.exists(path)
+    session.remove_stored(spark, "label")
+    assert not os.path.exists(path)
+
+
+def test_snapshot_notices_changed_files(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "a.parquet"))
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "b.parquet"))
+    before = session.snapshot(spark, str(tmp_path), ["a", "b"])
+    assert session.snapshot(spark, str(tmp_path), ["a", "b"]) == before
+    spark.range(4).write.mode("overwrite").parquet(str(tmp_path / "b.parquet"))
+    assert session.snapshot(spark, str(tmp_path), ["a", "b"]) != before
+
+
+def test_unreadable_csv_is_an_error_even_where_it_is_optional(spark, tmp_path):
+    (tmp_path / "x").mkdir()
+    with pytest.raises(Exception, match="nosuchscheme"):
+        readers.read_csv(spark, "nosuchscheme+://x", schemas.BUSINESS_INCIDENTS, optional=True)
+    with pytest.raises(AnalysisException):
+        readers.read_csv(spark, str(tmp_path / "x"), schemas.BUSINESS_INCIDENTS, optional=True)

@@ -23,7 +23,7 @@ def days_inclusive(start: Column | str, end: Column | str) -> Column:
 
 
 def fill_gap_days(daily: DataFrame, keys: list[str], date: str, measures: list[str]) -> DataFrame:
-    """Add the missing days between the first and last day of every key, with measures 0.
+    """Add the missing days between the first and last day of every key, with measures 0. Days must not be NULL.
 
     Each row is stretched up to the day before the next one, so no calendar join is needed and the
     rows stay partitioned by key for the window that follows.

@@ -12,10 +12,15 @@ from tidemark.functions.numeric import HOURS, LOAD, clip, exact_avg, round_to, s
 from tidemark.operators.ranking import number_all, numbered_id
 from tidemark.operators.touches import HUB, hub_touches, incident_days, incident_shipments
 
+# The evidence by the verdict on the logistics data.
 EVIDENCE = (
     "Delivery deterioration coincides with abnormal warehouse/network load "
     "while logistics data contracts remain valid."
 )
+DOUBTFUL_EVIDENCE = (
+    "Delivery deterioration coincides with abnormal warehouse/network load; "
+    "logistics data contracts are violated, so the figures need confirmation."
+)
 
 
 @dataclass(frozen=True)
@@ -101,15 +106,18 @@ def hub_windows(shipments: DataFrame, rules: WindowRules = WindowRules()) -> Dat
     }
     days = days.withColumns(weighted).na.fill(0, ["load", "transit"])
     sums = ["n", "delayed", "sla", "load_w", "transit_w"]
-    base = ["delayed_n", "sla_n", "load", "load_n", "transit", "transit_n"]
-    dense = fill_gap_days(days.select(HUB, "date", *sums, *base), [HUB], "date", sums + base)
-    trailing = Window.partitionBy(HUB).orderBy("date").rowsBetween(1 - rules.days, 0)
+    base = ["n", "delayed", "sla", "delayed_n", "sla_n", "load", "load_n", "transit", "transit_n"]
+    # The baseline counts undated touches as well; only dated ones fall into windows.
     whole = Window.partitionBy(HUB)
+    totals = [F.sum(c).over(whole).alias(f"all_{c}") for c in base]
+    dated = days.select(HUB, "date", *sums, *totals).where(F.col("date").isNotNull())
+    dense = fill_gap_days(dated, [HUB], "date", sums)
+    trailing = Window.partitionBy(HUB).orderBy("date").rowsBetween(1 - rules.days, 0)
     rolled = dense.select(
         HUB,
         F.col("date").alias("window_end"),
         *[F.sum(c).over(trailing).alias(c) for c in sums],
-        *[F.sum(c).over(whole).alias(f"all_{c}") for c in ["n", "delayed", "sla", *base]],
+        *[f"all_{c}" for c in base],
     ).where(F.col("n") >= rules.min_touches)
     windows = rolled.select(
         HUB,
@@ -223,9 +231,10 @@ def cases_per_shipment(cases: DataFrame) -> DataFrame:
 
 
 def incident_records(
-    candidates: DataFrame, hubs: DataFrame, shipments: DataFrame, cases: DataFrame
+    candidates: DataFrame, hubs: DataFrame, shipments: DataFrame, cases: DataFrame, trust: DataFrame
 ) -> DataFrame:
-    """Candidate incidents with place, rounded metrics and support impact."""
+    """Candidate incidents with place, rounded metrics, support impact and evidence by the one-row trust verdict."""
+    trusted = trust.select("trusted").scalar() == 1
     places = hubs.select(HUB, "city", "country").dropDuplicates([HUB])
     impact = support_impact(candidates, shipments, cases)
     rows = candidates.join(places, HUB, "left").join(impact, "candidate_incident_id", "left")
@@ -257,7 +266,7 @@ def incident_records(
         *[round_to(source, 2).alias(name) for name, source in plain.items()],
         F.coalesce("affected_support_cases", F.lit(0)).alias("affected_support_cases"),
         "anomaly_score",
-        F.lit(EVIDENCE).alias("evidence"),
+        F.when(trusted, EVIDENCE).otherwise(DOUBTFUL_EVIDENCE).alias("evidence"),
     )
 
 

@@ -111,7 +111,7 @@ def silver_contract(
 
 
 def executive_contract(
-    mart: DataFrame, bounds: DataFrame, orders: DataFrame, shipments: DataFrame, events: DataFrame
+    mart: DataFrame, bounds: DataFrame, orders: DataFrame, shipments: DataFrame, cases: DataFrame, events: DataFrame
 ) -> DataFrame:
     """One row per calendar day between the bounds, and totals as in the sources."""
     n = F.count(F.lit(1))
@@ -128,6 +128,7 @@ def executive_contract(
                     "max_date": days_since_epoch(F.max("report_date")),
                     "orders": F.sum("orders"),
                     "shipments": F.sum("shipments"),
+                    "support_cases": F.sum("support_cases"),
                     "purchase_events": F.sum("purchase_events"),
                 },
             ),
@@ -142,6 +143,7 @@ def executive_contract(
             ),
             expected(orders, {"orders": n}),
             expected(shipments, {"shipments": n}),
+            expected(cases, {"support_cases": n}),
             expected(events, {"purchase_events": count_where(F.col("event_type") == "purchase")}),
         ],
     )

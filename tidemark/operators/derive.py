@@ -158,13 +158,14 @@ def case_times(cases: DataFrame) -> DataFrame:
     )
 
 
-def event_sequence(events: DataFrame, key: str = "shipment_id", tie: str = "event_id") -> DataFrame:
-    """Events numbered per shipment by time, then id. Days of one shipment are ranked apart, so a
-    shipment with a large share of all events is spread over tasks."""
-    ranked = rank_in_buckets(
-        events.drop("event_sequence"), [key], F.to_date("event_ts"), [F.col("event_ts"), F.col(tie)], "event_sequence"
-    )
-    return ranked
+def event_sequence(
+    events: DataFrame, key: str = "shipment_id", tie: str = "event_id", bucket: Column | None = None
+) -> DataFrame:
+    """Events numbered per shipment by time, then id. Days of one shipment (or the given buckets of time) are
+    ranked apart, so a shipment with a large share of all events is spread over tasks."""
+    bucket = F.to_date("event_ts") if bucket is None else bucket
+    order = [F.col("event_ts"), F.col(tie)]
+    return rank_in_buckets(events.drop("event_sequence"), [key], bucket, order, "event_sequence")
 
 
 def contact_number(cases: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ class CardinalityError(ValueError):
 
 
 def one_row_per_key(df: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """The rows with a non-NULL key, failing at run time when a key occurs twice.
+    """The rows with a non-NULL key, failing at run time when a key occurs twice. NULL keys join nothing.
 
     The check rides on a grouping by the join key, so the join that follows reuses its shuffle. With
     one row per key, any value of a column is the value of that row.
@@ -32,19 +32,21 @@ def checked_join(
 ) -> DataFrame:
     """Equi-join that fails when a side declared "one" holds a key twice.
 
-    With a left join, left rows whose key is NULL are kept unmatched.
+    Rows whose key is NULL match nothing and are kept unmatched on every side that the join type keeps.
     """
     if cardinality not in {"one_to_one", "many_to_one", "one_to_many"}:
         raise CardinalityError(f"unknown cardinality {cardinality!r}")
+
+    def unique(side: DataFrame, label: str, kept: bool) -> DataFrame:
+        rows = one_row_per_key(side, on, label)
+        nulls = side.where(F.expr(" or ".join(f"`{k}` is null" for k in on)))
+        return rows.unionByName(nulls) if kept else rows
+
+    kind = how.replace("_", "").removesuffix("outer")
     if cardinality.endswith("to_one"):
-        right = one_row_per_key(right, on, "right side")
+        right = unique(right, "right side", kind in {"right", "full"} or how == "outer")
     if cardinality.startswith("one_to"):
-        unique = one_row_per_key(left, on, "left side")
-        if how == "inner":
-            left = unique
-        else:
-            nulls = left.where(F.expr(" or ".join(f"`{k}` is null" for k in on)))
-            left = unique.unionByName(nulls)
+        left = unique(left, "left side", kind != "inner")
     return left.join(right, on, how)
 
 

@@ -13,17 +13,20 @@ def rank_in_buckets(
 
     ``bucket`` must rise with ``order`` (a day for a timestamp order, say). Each task then sorts one
     bucket of one key instead of a whole key, and the running total over a key sees one row per
-    bucket. Keys and bucket must not be NULL.
+    bucket. Rows with a NULL key are one key and rows with a NULL bucket its first bucket; none are lost.
     """
     ranked = df.withColumn("_bucket", bucket)
     sizes = ranked.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.partitionBy(*keys).orderBy("_bucket")
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    named = {key: f"_of_{i}" for i, key in enumerate([*keys, "_bucket"])}
     offsets = sizes.select(
-        *keys, "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
+        *[F.col(key).alias(name) for key, name in named.items()],
+        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
     )
     within = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    joined = ranked.withColumn("_rank", F.row_number().over(within)).join(offsets, [*keys, "_bucket"])
+    same = [F.col(key).eqNullSafe(F.col(name)) for key, name in named.items()]
+    joined = ranked.withColumn("_rank", F.row_number().over(within)).join(offsets, same)
     return joined.select(*df.columns, (F.col("_before") + F.col("_rank")).alias(out))
 
 

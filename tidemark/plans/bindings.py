@@ -4,9 +4,9 @@ Every frame is lazy and built from the tables in one folder, so queries prune wh
 
 Orders keep their total; payments are the sum of their lines. Shipments are order lines, sent from
 the supplier's nation (hub) to the customer's nation (hub) by the supplier as carrier. Support cases
-belong to returned lines. App events are the event stream. As in the domain, the stored layer carries
-two known disturbances for the detectors to find: one overloaded hub window, and one week of lost
-purchase telemetry.
+belong to returned lines. App events are the event stream. Expected purchases are the orders, observed
+ones the orders that have lines. All joins to parents are left joins: a row whose parent is not there
+stays, with NULL attributes, and the controls count it.
 """
 
 from __future__ import annotations
@@ -21,9 +21,8 @@ from tidemark.functions.calendar import shift_hours
 from tidemark.functions.numeric import clip, exact_sum, flag, round_to
 from tidemark.operators import anomaly, briefs, quality, reconciliation, registry, rootcause
 from tidemark.operators.derive import case_times, case_triage, route_distance, sla_evaluation, sla_hours
-from tidemark.operators.perturb import degrade_cases, degrade_shipments, drop_rows, null_values, shift_tracking
 from tidemark.plans import silver
-from tidemark.session import materialize, spread
+from tidemark.session import materialize, remove_stored
 
 # Declared schemas of the tables, so that opening one reads no file footer.
 SCHEMAS = {
@@ -66,36 +65,59 @@ EVENT_TYPES = {
     "purchase": "purchase",
     "error": "payment_failed",
 }
-# The week in which purchase telemetry is disturbed, and the hub window that is overloaded.
-DATA_WEEK = ("2024-01-08", "2024-01-14")
-OVERLOAD = ("HUB-7", "1998-03-01", "1998-03-14")
-# Lines arrive evenly over years and hubs here, so load deltas are small; see the README.
+# Lines arrive evenly over years and hubs here, so deltas and days are small; see the README.
 RULES = anomaly.WindowRules(min_delay_pp=18.0, min_load_pp=5.0, min_score=25.0)
+DAYS = reconciliation.DayRules(min_expected=6)
 
 
 def hub_id(key: str) -> Column:
     return F.concat(F.lit("HUB-"), F.col(key).cast("string"))
 
 
-def overloaded() -> Column:
-    """Shipments that touch the overloaded hub in its window."""
-    hub, start, end = OVERLOAD
-    touched = (F.col("origin_warehouse_id") == hub) | (F.col("destination_warehouse_id") == hub)
-    return touched & F.to_date("shipment_created_ts").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+def shipment_key() -> Column:
+    """The id of the shipment of an order line."""
+    return F.concat_ws(
+        "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")
+    )
 
 
 class Tables:
     """Role frames over the tables of one folder.
 
     Frames named ``stored_*`` and those that say so are written once under ``spark.checkpoint.dir``
-    and shared by everything that reads this object.
+    and shared by everything that reads this object. Building such a frame runs Spark jobs; ``release``
+    deletes what was written. ``trusted`` puts a given verdict on the logistics data in the place of the
+    controls' own, to see what the records would say.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, label: str = "tables", trusted: bool | None = None):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.label = label
+        self.trusted = trusted
         self._opened: dict[str, DataFrame] = {}
 
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        """Store a frame; its plan must not pair rows without a key."""
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        if "CartesianProduct" in plan or "NestedLoop" in plan:
+            raise ValueError(f"{name}: a join without a key")
+        return materialize(df, f"{self.label}/{name}")
+
+    def judged(self, trusted: bool) -> Tables:
+        """The same tables under the given verdict on the logistics data; frames that it does not touch are shared."""
+        other = Tables(self.spark, self.folder, f"{self.label}/{'trusted' if trusted else 'untrusted'}", trusted)
+        shared = [
+            "stored_shipments", "cases", "tracking", "stored_orders", "reconciliation", "logistics_controls", "controls",
+            "candidates",
+        ]
+        other.__dict__.update({name: getattr(self, name) for name in shared})
+        return other
+
+    def release(self) -> None:
+        """Delete the stored layers; frames that read them can no longer be used."""
+        remove_stored(self.spark, self.label)
+
     def raw(self, name: str) -> DataFrame:
         if name not in self._opened:
             reader = self.spark.read.schema(SCHEMAS[name])
@@ -104,8 +126,8 @@ class Tables:
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Order lines, the largest table, over all cores."""
-        return spread(self.raw("lineitem"), "l_orderkey")
+        """Order lines, the largest table."""
+        return self.raw("lineitem")
 
     # --- dimensions ---
 
@@ -210,17 +232,22 @@ class Tables:
         )
 
     @cached_property
-    def payments(self) -> DataFrame:
-        net = round_to(F.col("l_extendedprice") - round_to(F.col("l_extendedprice") * F.col("l_discount"), 2), 2)
-        per_order = (
-            self.lines.groupBy("l_orderkey")
-            .agg(
-                F.min("l_shipdate").alias("payment_ts"),
-                F.max(flag(F.col("l_linestatus") == "O")).alias("open_line"),
-                F.max(lookup("l_returnflag", {"R": 3, "N": 2, "A": 1})).alias("return_rank"),
-                exact_sum(net).alias("payment_amount_eur"),
-                F.max("l_tax").alias("fraud_score"),
-            )
+    def order_facts(self) -> DataFrame:
+        """Payment and line facts of every order, from one grouping of the lines."""
+        gross = F.col("l_extendedprice")
+        discount = round_to(gross * F.col("l_discount"), 2)
+        net = round_to(gross - discount, 2)
+        per_order = self.lines.groupBy("l_orderkey").agg(
+            F.min("l_shipdate").alias("payment_ts"),
+            F.max(flag(F.col("l_linestatus") == "O")).alias("open_line"),
+            F.max(lookup("l_returnflag", {"R": 3, "N": 2, "A": 1})).alias("return_rank"),
+            exact_sum(net).alias("payment_amount_eur"),
+            F.max("l_tax").alias("fraud_score"),
+            F.count(F.lit(1)).alias("item_row_count"),
+            F.sum(F.col("l_quantity").cast("int")).cast("bigint").alias("item_units"),
+            exact_sum(gross).alias("item_gmv_eur"),
+            exact_sum(discount).alias("item_discount_eur"),
+            exact_sum(net).alias("item_net_value_eur"),
         )
         return per_order.select(
             F.concat(F.lit("PAY-"), F.col("l_orderkey").cast("string")).alias("payment_id"),
@@ -230,8 +257,17 @@ class Tables:
             lookup("return_rank", {3: "Refunded", 2: "Paid", 1: "Failed"}).alias("payment_status"),
             "payment_amount_eur",
             "fraud_score",
+            "item_row_count",
+            "item_units",
+            "item_gmv_eur",
+            "item_discount_eur",
+            "item_net_value_eur",
         )
 
+    @cached_property
+    def payments(self) -> DataFrame:
+        return self.order_facts.select("order_id", *silver.PAYMENT_COLUMNS)
+
     # --- logistics ---
 
     @cached_property
@@ -245,11 +281,11 @@ class Tables:
             for side in ("origin", "destination")
         }
         wide = (
-            self.lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(people, F.col("o_custkey") == F.col("c_custkey"))
-            .join(ends["origin"], hub_id("s_nationkey") == F.col("origin_warehouse_id"))
-            .join(ends["destination"], hub_id("c_nationkey") == F.col("destination_warehouse_id"))
+            self.lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+            .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+            .join(people, F.col("o_custkey") == F.col("c_custkey"), "left")
+            .join(ends["origin"], hub_id("s_nationkey") == F.col("origin_warehouse_id"), "left")
+            .join(ends["destination"], hub_id("c_nationkey") == F.col("destination_warehouse_id"), "left")
         )
         km = route_distance(
             F.col("origin_latitude"),
@@ -260,14 +296,7 @@ class Tables:
         lost = (F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 7)
         transit = round_to(F.col("l_discount") * 400.0 + F.col("l_tax") * 500.0 + 20.0, 2)
         base = wide.select(
-            F.concat_ws(
-                "-",
-                "l_orderkey",
-                "l_linenumber",
-                "l_partkey",
-                "l_suppkey",
-                F.date_format("l_shipdate", "yyyyMMdd"),
-            ).alias("shipment_id"),
+            shipment_key().alias("shipment_id"),
             F.col("l_orderkey").alias("order_id"),
             F.col("l_suppkey").alias("carrier_id"),
             F.col("s_name").alias("carrier_name"),
@@ -312,38 +341,23 @@ class Tables:
 
     @cached_property
     def stored_shipments(self) -> DataFrame:
-        """Dated shipments with the overloaded hub window, as a stored table.
+        """Dated shipments as a stored table.
 
         Controls, detection, root causes and marts scan shipments many times and few columns each;
         without the table every scan would repeat the joins that put a shipment together.
         """
-        degraded = degrade_shipments(self.shipments, overloaded())
-        dated = degraded.withColumn("shipment_date", F.to_date("shipment_created_ts"))
-        return materialize(dated, "shipments")
+        return self._stored(self.shipments.withColumn("shipment_date", F.to_date("shipment_created_ts")), "shipments")
 
     @cached_property
     def tracking(self) -> DataFrame:
-        """Tracking events, late where the hub is overloaded, as a stored table."""
-        return materialize(shift_tracking(self.derived_tracking, self.shipments, overloaded()), "tracking")
-
-    @cached_property
-    def derived_tracking(self) -> DataFrame:
-        """Three events per shipment; the last one is DELIVERED for closed lines, LOST for lost ones."""
+        """Three events per shipment, stored once; the last one is LOST for lost shipments, else DELIVERED."""
         status = self.lines.select(
-            F.concat_ws(
-                "-",
-                "l_orderkey",
-                "l_linenumber",
-                "l_partkey",
-                "l_suppkey",
-                F.date_format("l_shipdate", "yyyyMMdd"),
-            ).alias("shipment_id"),
-            "l_linestatus",
+            shipment_key().alias("shipment_id"),
             F.col("l_shipdate").alias("created"),
             (F.col("l_discount") * 400.0 + F.col("l_tax") * 500.0 + 20.0).alias("hours"),
             ((F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 7)).alias("lost"),
         )
-        end = F.when(F.col("l_linestatus") == "F", "DELIVERED").when(F.col("lost"), "LOST").otherwise("OUT_FOR_DELIVERY")
+        end = F.when(F.col("lost"), "LOST").otherwise("DELIVERED")
         steps = [(1, F.lit("SHIPMENT_CREATED"), 0.0), (2, F.lit("IN_TRANSIT"), 0.5), (3, end, 1.0)]
         events = [
             F.struct(
@@ -354,14 +368,14 @@ class Tables:
             )
             for n, kind, share in steps
         ]
-        return status.select("shipment_id", F.inline(F.array(*events)))
+        return self._stored(status.select("shipment_id", F.inline(F.array(*events))), "tracking")
 
     # --- support ---
 
     @cached_property
     def cases(self) -> DataFrame:
-        """Support cases, slower where the hub is overloaded, as a stored table."""
-        return materialize(degrade_cases(self.derived_cases, self.shipments, overloaded()), "cases")
+        """Support cases as a stored table."""
+        return self._stored(self.derived_cases, "cases")
 
     @cached_property
     def derived_cases(self) -> DataFrame:
@@ -372,14 +386,12 @@ class Tables:
         nations = self.raw("nation").select("n_nationkey", "n_name")
         lines = (
             self.lines.where(F.col("l_returnflag") == "R")
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(people, F.col("o_custkey") == F.col("c_custkey"))
-            .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        )
-        shipment = F.concat_ws(
-            "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")
+            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+            .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+            .join(people, F.col("o_custkey") == F.col("c_custkey"), "left")
+            .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         )
+        shipment = shipment_key()
         base = lines.select(
             F.concat(F.lit("CASE-"), shipment).alias("case_id"),
             F.col("o_custkey").alias("customer_id"),
@@ -421,40 +433,29 @@ class Tables:
             F.when(purchase, F.col("value")).alias("event_value_eur"),
         )
 
-    def disturbed(self) -> Column:
-        """The purchase events of the disturbed week."""
-        return (F.col("event_type") == "purchase") & F.to_date("event_ts").between(
-            *[F.lit(day).cast("date") for day in DATA_WEEK]
-        )
-
-    @cached_property
-    def observed_events(self) -> DataFrame:
-        """The event stream with a part of one week's purchases dropped or without value."""
-        kept = drop_rows(self.app_events, self.disturbed(), "event_id")
-        return null_values(kept, self.disturbed(), "event_id", "event_value_eur")
-
     @cached_property
     def reconciliation(self) -> DataFrame:
-        feed = [
-            F.to_date("event_ts").alias("date"),
-            F.col("event_id").alias("id"),
-            F.col("event_value_eur").alias("amount"),
-        ]
-        purchase = F.col("event_type") == "purchase"
-        return reconciliation.daily_reconciliation(
-            self.app_events.where(purchase).select(*feed), self.observed_events.where(purchase).select(*feed)
-        )
+        """Orders against the orders that have lines, per order day, stored once.
+
+        Both feeds come from one join on the order, which is also where the lines get their order day.
+        """
+        orders = self.orders.select("order_id", F.to_date("order_ts").alias("date"), "order_total_eur")
+        paid = self.payments.select("order_id", F.col("payment_amount_eur").alias("paid"), F.lit(1).alias("seen"))
+        rows = orders.join(paid, "order_id", "left")
+        expected = rows.select("date", F.col("order_id").alias("id"), F.col("order_total_eur").alias("amount"))
+        observed = rows.where(F.col("seen") == 1).select("date", F.col("order_id").alias("id"), F.col("paid").alias("amount"))
+        return self._stored(reconciliation.daily_reconciliation(expected, observed, DAYS), "reconciliation")
 
     # --- enriched models ---
 
     @cached_property
     def orders_enriched(self) -> DataFrame:
-        return silver.orders_enriched(self.orders, self.customers, self.payments, self.order_items)
+        return silver.orders_enriched(self.orders, self.customers, self.order_facts)
 
     @cached_property
     def stored_orders(self) -> DataFrame:
         """Enriched orders as a stored table: marts then read only the columns they need."""
-        return materialize(self.orders_enriched, "orders_enriched")
+        return self._stored(self.orders_enriched, "orders_enriched")
 
     @cached_property
     def shipments_enriched(self) -> DataFrame:
@@ -462,7 +463,7 @@ class Tables:
 
     @cached_property
     def stored_enriched(self) -> DataFrame:
-        return materialize(self.shipments_enriched, "shipments_enriched")
+        return self._stored(self.shipments_enriched, "shipments_enriched")
 
     @cached_property
     def support_enriched(self) -> DataFrame:
@@ -479,8 +480,6 @@ class Tables:
         """Controls of the logistics domains, stored once: the trust verdict reads only these."""
         shipments = quality.TableRules(["shipment_id"], SHIPMENT_FIELDS, SHIPMENT_FIELDS)
         tracking = quality.TableRules(["event_id"], TRACKING_FIELDS, TRACKING_FIELDS)
-        ordered = self.stored_shipments.join(self.orders.select("order_id", "order_ts"), "order_id")
-        steps = ["order_ts", "shipment_created_ts", "delivery_ts"]
         reference = quality.reference_control
         frames = [
             quality.table_controls(self.stored_shipments, "shipments", shipments),
@@ -488,9 +487,8 @@ class Tables:
             reference(self.stored_shipments, "order_id", self.orders, "order_id", "shipments", "orders"),
             reference(self.tracking, "shipment_id", self.stored_shipments, "shipment_id", "tracking_events", "shipments"),
             quality.terminal_control(self.stored_shipments, self.tracking),
-            quality.chronology_control(ordered, steps, "SHIPMENT_CHRONOLOGY", "shipments"),
         ]
-        return materialize(quality.union_controls(frames), "logistics_controls")
+        return self._stored(quality.union_controls(frames), "logistics_controls")
 
     @cached_property
     def controls(self) -> DataFrame:
@@ -498,25 +496,32 @@ class Tables:
         rules = quality.TableRules
         reference = quality.reference_control
         linked = self.app_events.where(F.col("order_id").isNotNull())
+        ordered = self.stored_shipments.join(self.orders.select("order_id", "order_ts"), "order_id", "left")
+        steps = ["order_ts", "shipment_created_ts", "delivery_ts"]
         frames = [
             quality.table_controls(self.orders, "orders", rules(["order_id"], ORDER_FIELDS, ORDER_FIELDS)),
             quality.table_controls(self.order_items, "order_items", rules(["order_item_id"], ITEM_FIELDS, ITEM_FIELDS)),
             quality.table_controls(self.payments, "payments", rules(["payment_id"], PAYMENT_FIELDS, PAYMENT_FIELDS)),
             quality.table_controls(self.cases, "support_cases", rules(["case_id"], CASE_FIELDS, CASE_FIELDS)),
-            quality.table_controls(self.observed_events, "app_events", rules(["event_id"], EVENT_FIELDS, EVENT_FIELDS)),
+            quality.table_controls(self.app_events, "app_events", rules(["event_id"], EVENT_FIELDS, EVENT_FIELDS)),
             reference(self.payments, "order_id", self.orders, "order_id", "payments", "orders"),
             reference(self.cases, "shipment_id", self.stored_shipments, "shipment_id", "support_cases", "shipments"),
             reference(linked, "order_id", self.orders, "order_id", "app_events", "orders"),
             quality.amount_control(self.orders, self.payments),
             quality.chronology_control(self.cases, ["created_ts", "first_response_ts", "resolved_ts"]),
+            quality.chronology_control(ordered, steps, "SHIPMENT_CHRONOLOGY", "orders"),
             reconciliation.reconciliation_control(self.reconciliation),
             self.logistics_controls,
         ]
-        return materialize(quality.union_controls(frames), "controls")
+        return self._stored(quality.union_controls(frames), "controls")
 
     @cached_property
     def logistics_trust(self) -> DataFrame:
-        return quality.domain_trust(self.logistics_controls)
+        verdict = quality.domain_trust(self.logistics_controls)
+        if self.trusted is None:
+            return verdict
+        failures = F.lit(0 if self.trusted else 1).cast("bigint")
+        return verdict.withColumns({"failures": failures, "trusted": F.lit(int(self.trusted))})
 
     # --- detection ---
 
@@ -528,13 +533,15 @@ class Tables:
     def candidates(self) -> DataFrame:
         """Numbered candidates after overlap removal, stored once for all later joins."""
         kept = anomaly.drop_overlaps(anomaly.window_candidates(self.windows, RULES))
-        return materialize(anomaly.candidate_ids(kept), "candidates")
+        return self._stored(anomaly.candidate_ids(kept), "candidates")
 
     @cached_property
     def incidents(self) -> DataFrame:
         """Business incidents with their support impact, stored once."""
-        records = anomaly.incident_records(self.candidates, self.hubs, self.stored_shipments, self.cases)
-        return materialize(records, "incidents")
+        records = anomaly.incident_records(
+            self.candidates, self.hubs, self.stored_shipments, self.cases, self.logistics_trust
+        )
+        return self._stored(records, "incidents")
 
     @cached_property
     def analysis_days(self) -> DataFrame:
@@ -543,7 +550,7 @@ class Tables:
     @cached_property
     def carrier_facts(self) -> DataFrame:
         """Additive facts per incident, period and carrier, stored once for three consumers."""
-        return materialize(rootcause.carrier_periods(self.stored_shipments, self.analysis_days), "carriers")
+        return self._stored(rootcause.carrier_periods(self.stored_shipments, self.analysis_days), "carriers")
 
     @cached_property
     def period_metrics(self) -> DataFrame:
@@ -577,7 +584,7 @@ class Tables:
         """The unified registry, stored once for briefs, views and text checks."""
         data = registry.data_records(self.data_incidents, quality.trust_summary(self.controls))
         business = registry.business_records(self.incidents, self.cause_reports)
-        return materialize(registry.incident_registry(data, business), "registry")
+        return self._stored(registry.incident_registry(data, business), "registry")
 
     @cached_property
     def briefs(self) -> DataFrame:
@@ -587,15 +594,17 @@ class Tables:
 
     @cached_property
     def bounds(self) -> DataFrame:
-        """First and last day of orders, shipments and events, one row."""
+        """First and last day of orders, shipments, cases and events, one row."""
         days = [
             self.raw("orders").select(F.to_date("o_orderdate").alias("d")),
             self.lines.select(F.to_date("l_shipdate").alias("d")),
+            self.cases.select(F.to_date("created_ts").alias("d")),
             self.raw("events").select(F.to_date("ts").alias("d")),
         ]
-        every = days[0].unionByName(days[1]).unionByName(days[2])
-        # Cases open up to a week after their shipment.
-        return every.agg(F.min("d").alias("start_date"), F.date_add(F.max("d"), 7).alias("end_date"))
+        # One row per source first, so that only four rows meet.
+        ends = [df.agg(F.min("d").alias("a"), F.max("d").alias("b")) for df in days]
+        every = ends[0].unionByName(ends[1]).unionByName(ends[2]).unionByName(ends[3])
+        return every.agg(F.min("a").alias("start_date"), F.max("b").alias("end_date"))
 
     @cached_property
     def reports(self) -> DataFrame:
@@ -623,7 +632,7 @@ class Tables:
         )
         kind = F.when(F.col("role") == "assistant", "BUSINESS_INCIDENT").otherwise("DATA_INCIDENT")
         turns = self.raw("conversations").withColumn("classification", kind).join(
-            materialize(lead, "leads"), "classification", "left"
+            self._stored(lead, "leads"), "classification", "left"
         )
         facts = F.concat_ws(
             " ",

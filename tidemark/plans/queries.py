@@ -8,16 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.measures import measures
-from tidemark.functions.numeric import exact_avg, exact_sum, flag_pct, round_to
+from tidemark.functions.numeric import exact_avg, exact_sum, round_to
 from tidemark.functions.text import join_list
-from tidemark.operators import anomaly, briefs, contracts, derive, grounding, joins, perturb, profile, quality
+from tidemark.operators import anomaly, briefs, contracts, derive, grounding, joins, profile, quality
 from tidemark.operators import reconciliation as recon
 from tidemark.operators import registry as reg
 from tidemark.operators import rootcause
 from tidemark.operators.ranking import rank_in_buckets
 from tidemark.operators.touches import incident_days, incident_shipments
 from tidemark.plans import gold, staging
-from tidemark.plans.bindings import RULES, SCHEMAS, Tables, overloaded
+from tidemark.plans.bindings import RULES, SCHEMAS, Tables
+from tidemark.session import snapshot
 
 Query = Callable[[Tables], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -30,20 +31,34 @@ def query(build: Query) -> Query:
 
 
 _TABLES: dict[tuple[str, str], Tables] = {}
+# The caller's texts around the evidence; they name what the checks look for.
+INSTRUCTIONS = "Report on one incident from its evidence. Id, class, cause, dates, data trust and confidence will be checked."
+REQUEST = "Evidence of the incident as JSON:"
+CORRECTION = "These checks failed for the report below; its evidence follows it."
+
+
+def tables_for(spark: SparkSession, folder: str) -> Tables:
+    """The tables of a folder, one object per session and state of its files, so stored layers are built once."""
+    folder = folder.rstrip("/")
+    label = snapshot(spark, folder, sorted(SCHEMAS))
+    key = (spark.sparkContext.applicationId, f"{folder}@{label}")
+    if key not in _TABLES:
+        _TABLES[key] = Tables(spark, folder, label)
+    return _TABLES[key]
 
 
-def tables_for(spark: SparkSession, folder: str, fresh: bool = False) -> Tables:
-    """The tables of a folder, one object per session, so stored layers are built once.
+_UNTRUSTED: dict[int, Tables] = {}
 
-    Pass ``fresh=True`` after the files in the folder have changed.
-    """
-    key = (spark.sparkContext.applicationId, folder.rstrip("/"))
-    if fresh or key not in _TABLES:
-        _TABLES[key] = Tables(spark, folder)
-    return _TABLES[key]
+
+def _untrusted(t: Tables) -> Tables:
+    """The same tables as if the logistics controls had failed."""
+    if id(t) not in _UNTRUSTED:
+        _UNTRUSTED[id(t)] = t.judged(False)
+    return _UNTRUSTED[id(t)]
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
+    """The frame of a query. Building it writes the stored layers that it reads, where that has not happened yet."""
     return CATALOG[name](tables_for(spark, folder))
 
 
@@ -72,7 +87,7 @@ def stg_shipments(t: Tables) -> DataFrame:
 
 @query
 def stg_support_cases(t: Tables) -> DataFrame:
-    return staging.stage("support_cases", t.derived_cases)
+    return staging.stage("support_cases", t.cases)
 
 
 @query
@@ -202,6 +217,20 @@ def orphan_lines(t: Tables) -> DataFrame:
     )
 
 
+@query
+def orders_without_lines(t: Tables) -> DataFrame:
+    """Orders that no line, and so no payment, belongs to."""
+    return joins.missing_keys(t.orders, "order_id", t.payments, "order_id").select(
+        F.col("key").alias("order_id"), "child_rows"
+    )
+
+
+@query
+def customers_on_both_sides(t: Tables) -> DataFrame:
+    """Customers with an order that are also customers of the event stream: the two sets are not disjoint."""
+    return joins.shared_keys(t.orders.select("customer_id"), t.app_events.select("customer_id"), "customer_id")
+
+
 @query
 def amount_mismatches(t: Tables) -> DataFrame:
     return quality.amount_mismatches(t.orders, "order_total_eur", t.payments, "payment_amount_eur", "order_id")
@@ -243,12 +272,7 @@ def source_assertions(t: Tables) -> DataFrame:
     return contracts.source_assertions(frames)
 
 
-# --- reconciliation and disturbance ----------------------------------------------------------------
-
-
-@query
-def perturbed_events(t: Tables) -> DataFrame:
-    return t.observed_events
+# --- reconciliation --------------------------------------------------------------------------------
 
 
 @query
@@ -271,34 +295,6 @@ def reliability_totals(t: Tables) -> DataFrame:
     return recon.incident_totals(recon.reliability_daily(t.reconciliation))
 
 
-@query
-def perturb_degrade(t: Tables) -> DataFrame:
-    return perturb.degrade_shipments(t.shipments, overloaded())
-
-
-@query
-def perturb_shift(t: Tables) -> DataFrame:
-    return perturb.shift_tracking(t.derived_tracking, t.shipments, overloaded())
-
-
-@query
-def perturb_cases(t: Tables) -> DataFrame:
-    return perturb.degrade_cases(t.derived_cases, t.shipments, overloaded())
-
-
-@query
-def perturb_before_after(t: Tables) -> DataFrame:
-    metrics = {
-        "shipments": F.count(F.lit(1)),
-        "delay_rate_pct": flag_pct("delayed_flag"),
-        "sla_pct": flag_pct("sla_met"),
-        "avg_load_pct": round_to(exact_avg("network_load_factor", 4) * 100, 2),
-        "avg_transit_hours": round_to(exact_avg("actual_transit_hours", 2), 2),
-    }
-    after = perturb.degrade_shipments(t.shipments, overloaded())
-    return perturb.before_after(t.shipments, after, overloaded(), metrics)
-
-
 # --- anomalies -------------------------------------------------------------------------------------
 
 
@@ -395,6 +391,11 @@ def rca_reports(t: Tables) -> DataFrame:
     )
 
 
+@query
+def rca_verdict_untrusted(t: Tables) -> DataFrame:
+    return _untrusted(t).cause_verdict
+
+
 # --- incidents, briefs and texts -------------------------------------------------------------------
 
 
@@ -413,8 +414,7 @@ def incident_registry(t: Tables) -> DataFrame:
     return t.registry
 
 
-@query
-def decision_briefs(t: Tables) -> DataFrame:
+def _briefs(t: Tables) -> DataFrame:
     return t.briefs.select(
         "incident_id",
         "classification",
@@ -432,6 +432,16 @@ def decision_briefs(t: Tables) -> DataFrame:
     )
 
 
+@query
+def decision_briefs(t: Tables) -> DataFrame:
+    return _briefs(t)
+
+
+@query
+def decision_briefs_untrusted(t: Tables) -> DataFrame:
+    return _briefs(_untrusted(t))
+
+
 @query
 def brief_markdown(t: Tables) -> DataFrame:
     return briefs.brief_markdown(t.briefs)
@@ -447,25 +457,31 @@ def incident_command_center(t: Tables) -> DataFrame:
     return briefs.command_center(t.registry, t.briefs)
 
 
+@query
+def incident_command_center_untrusted(t: Tables) -> DataFrame:
+    other = _untrusted(t)
+    return briefs.command_center(other.registry, other.briefs)
+
+
 @query
 def prompt_packs(t: Tables) -> DataFrame:
-    packs = briefs.prompt_packs(t.briefs)
+    packs = briefs.prompt_packs(t.briefs, INSTRUCTIONS, REQUEST)
     return packs.select("incident_id", "system_prompt", "user_prompt", F.to_json("guardrails").alias("guardrails"))
 
 
 @query
 def prompt_preview(t: Tables) -> DataFrame:
-    return briefs.prompt_preview(briefs.prompt_packs(t.briefs))
+    return briefs.prompt_preview(briefs.prompt_packs(t.briefs, INSTRUCTIONS, REQUEST))
 
 
 def _validated(t: Tables) -> DataFrame:
-    texts = t.reports.withColumn("warnings", grounding.report_warnings(F.col("report")))
-    return texts.withColumn("warning_count", F.size("warnings"))
+    return grounding.checked_reports(t.reports)
 
 
 @query
 def report_validation(t: Tables) -> DataFrame:
-    return _validated(t).select("conv_id", "turn", "incident_id", join_list("warnings").alias("warnings"), "warning_count")
+    columns = ["conv_id", "turn", "incident_id", "checked", join_list("warnings").alias("warnings"), "warning_count"]
+    return _validated(t).select(*columns)
 
 
 @query
@@ -481,8 +497,8 @@ def report_rollup(t: Tables) -> DataFrame:
 
 @query
 def correction_requests(t: Tables) -> DataFrame:
-    packs = briefs.prompt_packs(t.briefs).select("incident_id", "user_prompt")
-    rows = grounding.correction_requests(_validated(t).join(packs, "incident_id"))
+    packs = briefs.prompt_packs(t.briefs, INSTRUCTIONS, REQUEST).select("incident_id", "user_prompt")
+    rows = grounding.correction_requests(_validated(t).join(packs, "incident_id", "left"), CORRECTION)
     return rows.select("conv_id", "turn", "incident_id", "correction_request")
 
 
@@ -537,7 +553,7 @@ def contract_checks(t: Tables) -> DataFrame:
     )
     checks = [
         contracts.silver_contract(t.stored_orders, t.stored_enriched, t.support_enriched, t.funnel, sources),
-        contracts.executive_contract(executive_daily(t), t.bounds, t.orders, t.stored_shipments, t.app_events),
+        contracts.executive_contract(executive_daily(t), t.bounds, t.orders, t.stored_shipments, t.cases, t.app_events),
         contracts.logistics_contract(logistics_performance(t), shipments, t.incidents),
         contracts.reliability_contract(data_reliability_daily(t), t.reconciliation, t.data_incidents),
         contracts.customer_contract(customer_experience(t), cases, repeated),
@@ -614,8 +630,8 @@ def line_valuation(t: Tables) -> DataFrame:
 def shipment_risk(t: Tables) -> DataFrame:
     """Delay risk per shipment, averaged per tier and route scope."""
     hubs = t.hubs.select(F.col("warehouse_id").alias("origin_warehouse_id"), "baseline_reliability")
-    rows = t.stored_shipments.join(t.carriers.select("carrier_id", "reliability_score"), "carrier_id").join(
-        hubs, "origin_warehouse_id"
+    rows = t.stored_shipments.join(t.carriers.select("carrier_id", "reliability_score"), "carrier_id", "left").join(
+        hubs, "origin_warehouse_id", "left"
     )
     risk = derive.delay_risk(
         F.col("network_load_factor"),
@@ -662,7 +678,8 @@ def funnel_conversion(t: Tables) -> DataFrame:
 def event_sequence(t: Tables) -> DataFrame:
     """Events of a session, numbered by time."""
     events = t.app_events.select("event_id", "session_id", "event_ts")
-    return derive.event_sequence(events, "session_id")
+    # A session is one day already, so a busy one is split by the hour.
+    return derive.event_sequence(events, "session_id", bucket=F.date_trunc("hour", "event_ts"))
 
 
 @query

@@ -45,24 +45,23 @@ def _attributes(dim: DataFrame, key: str, columns: list[str], prefix: str = "")
     return dim.select(key, *[F.col(c).alias(prefix + c) for c in columns if c in dim.columns])
 
 
-def orders_enriched(
-    orders: DataFrame, customers: DataFrame, payments: DataFrame, items: DataFrame
-) -> DataFrame:
+def order_facts(payments: DataFrame, items: DataFrame) -> DataFrame:
+    """Payment and line facts of every order that has either."""
+    return payments.select("order_id", *PAYMENT_COLUMNS).join(item_summary(items), "order_id", "full")
+
+
+def orders_enriched(orders: DataFrame, customers: DataFrame, facts: DataFrame) -> DataFrame:
     """One row per order with customer, payment and line facts, flags and the payment difference.
 
-    Payments and lines join first: they share the order key, so orders are shuffled once for both.
+    ``facts`` has one row per order with payment and line columns, as from ``order_facts`` or from one grouping of
+    lines that carry both.
     """
     people = customers.select(
         "customer_id",
         F.col("country").alias("customer_country"),
         *[c for c in CUSTOMER_COLUMNS if c in customers.columns],
     )
-    paid = payments.select("order_id", *PAYMENT_COLUMNS)
-    joined = (
-        orders.join(paid, "order_id", "left")
-        .join(item_summary(items), "order_id", "left")
-        .join(people, "customer_id", "left")
-    )
+    joined = orders.join(facts, "order_id", "left").join(people, "customer_id", "left")
     return joined.withColumns(
         {
             "order_date": F.to_date("order_ts"),

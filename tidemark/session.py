@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,35 +24,38 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; where that is unset, one below the warehouse, which is shared as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir()
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stored").rstrip("/")
+
+
+def _layer(spark: SparkSession, label: str) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once under ``spark.checkpoint.dir`` and read it back.
+    """Write ``df`` once in the shared folder and read it back.
 
     The stored copy cuts the lineage, survives lost executors, and gives the optimizer true file
-    sizes, so a small result is broadcast by its measured size and a large one is not.
+    sizes, so a small result is broadcast by its measured size and a large one is not. ``name`` may
+    have a label in front (``label/name``); ``remove_stored`` deletes all copies of a label.
     """
     spark = df.sparkSession
-    path = f"{_shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{_layer(spark, name)}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Distribute a table that arrives in fewer splits than there are cores, by hash of ``key``.
+def remove_stored(spark: SparkSession, label: str) -> None:
+    """Delete what was stored under a label, through the file system that holds it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_layer(spark, label))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
-    A table with enough splits is returned as it is, so nothing large is shuffled here.
-    """
-    context = df.sparkSession.sparkContext
-    if df._jdf.queryExecution().toRdd().getNumPartitions() >= context.defaultParallelism:
-        return df
-    return df.repartition(context.defaultParallelism, key)
+
+def snapshot(spark: SparkSession, folder: str, names: list[str]) -> str:
+    """A short id of the files of some tables: their paths, sizes and times of change."""
+    paths = [f"{folder}/{name}.parquet" for name in names]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    listed = files.select("path", "length", "modificationTime").collect()  # the driver lists them anyway
+    return hashlib.sha256(str(sorted(map(tuple, listed), key=str)).encode()).hexdigest()[:12]

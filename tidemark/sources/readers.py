@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.joins import missing_names
 from tidemark.operators.profile import table_inventory
-from tidemark.sources.schemas import LAYERS, TABLES, TIMESTAMPS
+from tidemark.sources.schemas import LAYERS, TABLES, columns_of
 
 
 class MissingDataset(FileNotFoundError):
@@ -60,7 +60,8 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 def read_table(spark: SparkSession, layer: str, name: str, path: str) -> DataFrame:
     """One dataset of a layer, timestamps normalized, registered as the view ``layer_name``."""
-    df = normalize_timestamps(read_parquet(spark, path), TIMESTAMPS.get(name, []))
+    times = columns_of(TABLES[name], "timestamp_ntz") if name in TABLES else []
+    df = normalize_timestamps(read_parquet(spark, path), times)
     df.createOrReplaceTempView(f"{layer}_{name}")
     return df
 
@@ -78,13 +79,17 @@ def layer_inventory(spark: SparkSession, folder: str, layer: str) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, required: Iterable[str] = (), optional: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | str, required: Iterable[str] = (), optional: bool = False
 ) -> DataFrame:
-    """CSV with a header, columns matched by name. A missing optional file reads as an empty table."""
+    """CSV with a header, columns matched by name. A missing optional file reads as an empty table.
+
+    Only a path that is not there counts as missing; a file that cannot be read is an error.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     try:
         header = spark.read.option("header", True).csv(path)
-    except AnalysisException:
-        if not optional:
+    except AnalysisException as error:
+        if not optional or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
     require_columns(header, required, path)
@@ -97,10 +102,3 @@ def read_csv(
 def read_json(spark: SparkSession, path: str, schema: T.StructType, array: bool = False) -> DataFrame:
     """JSON lines, or with ``array=True`` one JSON array of records per file."""
     return spark.read.schema(schema).option("multiLine", array).json(path)
-
-
-def typed_tables(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Frames cast to the declared schemas, in declared column order."""
-    return {
-        name: df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[name]]) for name, df in frames.items()
-    }

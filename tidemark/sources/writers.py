@@ -102,7 +102,3 @@ def run_row(inventory: DataFrame, pipeline: str = "build_warehouse", status: str
 
 def append_run(inventory: DataFrame, name: str = "meta.pipeline_runs", **labels: str) -> None:
     run_row(inventory, **labels).write.mode("append").saveAsTable(name)
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
