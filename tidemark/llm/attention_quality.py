@@ -85,17 +85,19 @@ def encode_block(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     passages = len(heads)
     words = np.diff(np.append(heads, len(starts)))
     owner = of_text[heads]
-    spans = np.diff(np.append(starts[heads], len(data) - 1))
-    lead = starts[0]
+    # A passage's bytes reach to the next passage or to the end of its text, never into the next text.
+    text_ends = begins + np.array([len(t) for t in texts])
+    spans = np.minimum(np.append(starts[heads][1:], len(data)), text_ends[owner]) - starts[heads]
+    edges = np.cumsum(spans) - spans
+    at = np.repeat(starts[heads] - edges, spans) + np.arange(spans.sum())
     of_byte = np.repeat(np.arange(passages, dtype=np.int32), spans)
-    body = data[lead:]
-    cells = of_byte * PAIRS + _PAIR[(body[:-1].astype(np.int32) << 8) | body[1:]]
+    own = data[at]
+    cells = of_byte * PAIRS + _PAIR[(own.astype(np.int32) << 8) | data[at + 1]]
     pairs = np.bincount(cells, minlength=passages * PAIRS).reshape(passages, PAIRS)
     x = np.zeros((passages, WIDTH), np.float32)
-    x[:, :PAIRS] = np.sqrt(pairs / np.maximum(1, spans)[:, None])
-    edges = np.cumsum(spans) - spans
+    x[:, :PAIRS] = np.sqrt(pairs / spans[:, None])
     for i, kind in enumerate(_KINDS):
-        x[:, PAIRS + i] = np.add.reduceat(kind[body[:-1]], edges) / np.maximum(1, spans)
+        x[:, PAIRS + i] = np.add.reduceat(kind[own], edges) / spans
     # Words as hashes of their bytes; repetition is seen per text of the block.
     weights = np.cumprod(np.full(64, _ODD), dtype=np.uint64)
     lengths = ends - starts

@@ -130,16 +130,13 @@ def certified(measured: DataFrame, labels: DataFrame, risk: float = RISK, level:
         .agg(F.min("quality").alias("quality")).filter("quality = 1")
     )
     held = measured.filter(~base_failed()).join(good, F.col("doc_id") == F.col("good_id"), "left_semi")
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(rule).alias("rule"),
-                # How many cutoffs of the grid the measure is above.
-                F.size(F.filter(F.array(*map(F.lit, cutoffs(rule))), lambda c, m=F.expr(MEASURES[rule]): m > c)).alias("above"),
-            )
-            for rule in MEASURES
-        ]
-    )
+
+    def above(rule: str) -> Column:
+        """How many cutoffs of the grid the measure is above."""
+        measure = F.expr(MEASURES[rule])
+        return F.size(F.filter(F.array(*map(F.lit, cutoffs(rule))), lambda c: measure > c))
+
+    entries = F.array(*[F.struct(F.lit(rule).alias("rule"), above(rule).alias("above")) for rule in MEASURES])
     cells = held.select("stratum", F.explode(entries).alias("e")).groupBy("stratum", "e.rule", "e.above").count()
     n = Window.partitionBy("stratum", "rule")  # at most one row per cutoff
     grid = F.create_map(
