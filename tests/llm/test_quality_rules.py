@@ -75,18 +75,24 @@ def measured(spark, rows):
 
 def test_cutoffs_limit_the_rejected_good_documents(spark):
     rows = [(i, "en" if i < 6000 else "fr", i % 30) for i in range(6100)]
-    labels = spark.createDataFrame([(i, 1) for i in range(6100)] + [(None, 1), (0, 1)], "doc_id bigint, quality int")
+    # Junk in both strata, from just above the good documents on.
+    rows += [(9000 + i, "en" if i % 2 else "fr", 28 + i % 8) for i in range(400)]
+    marks = [(i, 1) for i in range(6100)] + [(9000 + i, 0) for i in range(400)]
+    labels = spark.createDataFrame([*marks, (None, 1), (0, 1), (1, None)], "doc_id bigint, quality int")
     got = {(r.stratum, r.rule): r for r in certified(measured(spark, rows), labels).collect()}
-    assert {s for s, _ in got} == {"en"}  # a hundred documents certify nothing
-    cutoff = got["en", "symbols"].cutoff
-    assert sum(sym / 100 > cutoff for _, s, sym in rows if s == "en") == got["en", "symbols"].rejected
-    # The next lower cutoff of the grid is not certified.
-    grid = cutoffs("symbols")
-    lower = grid[grid.index(cutoff) - 1]
-    k = sum(sym / 100 > lower for _, s, sym in rows if s == "en")
-    level = 0.05 / (2 * sum(len(cutoffs(r)) for r in MEASURES))
-    assert tail(k, 6000, quality_rules.RISK / len(MEASURES)) > level
-    assert tail(got["en", "symbols"].rejected, 6000, quality_rules.RISK / len(MEASURES)) <= level
+    # A hundred documents certify nothing, and no other measure tells junk from good documents.
+    assert set(got) == {("en", "symbols")}
+    own = got["en", "symbols"]
+    good = [sym / 100 for i, s, sym in rows if s == "en" and i < 9000]
+    junk = [sym / 100 for i, s, sym in rows if s == "en" and i >= 9000]
+    level = 0.05 / (2 * len(MEASURES))
+    certain = [
+        c for c in cutoffs("symbols")
+        if tail(sum(g > c for g in good), len(good), quality_rules.RISK / len(MEASURES)) <= level
+    ]
+    gain = lambda c: sum(j > c for j in junk) / len(junk) - 5 * sum(g > c for g in good) / len(good)
+    assert own.cutoff == max(certain, key=lambda c: (gain(c), c))
+    assert (own.n, own.rejected) == (6000, sum(g > own.cutoff for g in good))
 
 
 def test_no_labels_and_edge_rows(spark, documents):
@@ -101,7 +107,8 @@ def test_no_labels_and_edge_rows(spark, documents):
 def test_junk_goes_and_good_stays(spark, documents):
     good = [(i, " ".join(f"word{(i * 7 + k * k) % 997}" for k in range(60)), "en", "s") for i in range(2500)]
     junk = [(5000 + i, " ".join(f"w{(i + k * k) % 499}$$$" for k in range(60)), "en", "s") for i in range(100)]
-    labels = spark.createDataFrame([(i, 1) for i in range(2500)], "doc_id bigint, quality int")
+    marks = [(i, 1) for i in range(2500)] + [(5000 + i, 0) for i in range(20)]
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int")
     got = {r.doc_id: r for r in judged(documents(good + junk), labels).collect()}
     assert all(got[i].kept for i, *_ in good)
     assert all(not got[i].kept and "symbols" in got[i].rejected_by for i, *_ in junk)

@@ -1,21 +1,25 @@
 """Quality rules whose cutoffs are certified on labelled documents.
 
-For every stratum and rule the cutoff is the lowest of a fixed grid at which the share of good documents that the rule
-rejects is certified: the exact binomial (Clopper-Pearson) bound on it, from the labelled good documents, is at most
-``risk`` divided by the number of rules. The error level is divided by the number of all tests (strata, rules, cutoffs), so
-with probability 1 - ``level`` no stratum loses more than ``risk`` of its good documents to all rules together. A rule that
-cannot be certified in a stratum is not used there. Spark expressions only.
+For every stratum and rule a cutoff of a fixed grid is certified if the share of good documents that it rejects is known to
+be small: the exact binomial (Clopper-Pearson) bound on it, from the labelled good documents, is at most ``risk`` divided by
+the number of rules. Cutoffs are tested from the highest down until one fails (a fixed sequence needs no correction of its
+own), and the error level is divided by the number of sequences (strata times rules); so with probability 1 - ``level`` no
+stratum loses more than ``risk`` of its good documents to all rules together, whichever certified cutoffs are used. Used is
+the one that separates the labels best; a rule that cannot be certified, or that rejects no more junk than good documents,
+is not used in the stratum. Spark expressions only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WORD, store, text_of
 
 RISK = 0.03
 LEVEL = 0.05
+#: What a rejected share of good documents weighs against the same share of others when a certified cutoff is chosen.
+PRICE = 5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Each rule rejects documents whose measure is above its cutoff.
@@ -125,11 +129,11 @@ def certified(measured: DataFrame, labels: DataFrame, risk: float = RISK, level:
 
     A document is good if all its labels have quality 1. Documents that fail the base rules take no part.
     """
-    good = (
-        labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("good_id"))
-        .agg(F.min("quality").alias("quality")).filter("quality = 1")
+    marks = (
+        labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("bigint").alias("label_id"))
+        .agg((F.min("quality") == 1).cast("int").alias("good"))
     )
-    held = measured.filter(~base_failed()).join(good, F.col("doc_id") == F.col("good_id"), "left_semi")
+    held = measured.filter(~base_failed()).join(marks, F.col("doc_id") == F.col("label_id"))
 
     def above(rule: str) -> Column:
         """How many cutoffs of the grid the measure is above."""
@@ -137,29 +141,33 @@ def certified(measured: DataFrame, labels: DataFrame, risk: float = RISK, level:
         return F.size(F.filter(F.array(*map(F.lit, cutoffs(rule))), lambda c: measure > c))
 
     entries = F.array(*[F.struct(F.lit(rule).alias("rule"), above(rule).alias("above")) for rule in MEASURES])
-    cells = held.select("stratum", F.explode(entries).alias("e")).groupBy("stratum", "e.rule", "e.above").count()
-    n = Window.partitionBy("stratum", "rule")  # at most one row per cutoff
+    cells = held.select("stratum", "good", F.explode(entries).alias("e")).groupBy("stratum", "e.rule", "e.above").agg(
+        F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad")
+    )
     grid = F.create_map(
         *[x for rule in MEASURES for x in (F.lit(rule), F.array(*map(F.lit, cutoffs(rule))))]
     )
     tests = (
-        cells.withColumn("n", F.sum("count").over(n))
-        .groupBy("stratum", "rule", "n").agg(F.collect_list(F.struct("above", "count")).alias("cells"))
+        cells.groupBy("stratum", "rule")  # at most one row per cutoff of a rule
+        .agg(F.sum("good").alias("n"), F.sum("bad").alias("junk"), F.collect_list(F.struct("above", "good", "bad")).alias("cells"))
         .withColumn("grid", grid[F.col("rule")])
-        .select("stratum", "rule", "n", "cells", F.posexplode("grid").alias("i", "cutoff"))
-        .withColumn("rejected", F.expr("aggregate(filter(cells, c -> c.above > i), 0L, (a, c) -> a + c.count)"))
+        .select("stratum", "rule", "n", "junk", "cells", F.posexplode("grid").alias("i", "cutoff"))
+        .withColumn("rejected", F.expr("aggregate(filter(cells, c -> c.above > i), 0L, (a, c) -> a + c.good)"))
+        .withColumn("caught", F.expr("aggregate(filter(cells, c -> c.above > i), 0L, (a, c) -> a + c.bad)"))
     )
     strata = tests.agg(F.count_distinct("stratum").alias("strata"))
-    per_test = F.lit(level) / (F.col("strata") * sum(len(cutoffs(r)) for r in MEASURES))
+    per_test = F.lit(level) / (F.col("strata") * len(MEASURES))
     most = (
         tests.select("stratum", "rule", "n").distinct().join(F.broadcast(strata))  # one row
         .withColumn("most", allowed_failures("n", risk / len(MEASURES), per_test))
         .select("stratum", "rule", "most")
     )
-    passed = tests.join(most, ["stratum", "rule"]).filter("rejected <= most")
-    return passed.groupBy("stratum", "rule").agg(
-        F.min("cutoff").alias("cutoff"), F.first("n").alias("n"), F.max("rejected").alias("rejected")
+    passed = tests.join(most, ["stratum", "rule"]).filter("rejected <= most and junk > 0")
+    gain = F.col("caught") / F.col("junk") - PRICE * F.col("rejected") / F.col("n")
+    best = passed.withColumn("gain", gain).groupBy("stratum", "rule").agg(
+        F.max_by(F.struct("cutoff", "n", "rejected", "gain"), F.struct("gain", "cutoff")).alias("best")
     )
+    return best.select("stratum", "rule", "best.*").filter("gain > 0").drop("gain")
 
 
 def judged(
