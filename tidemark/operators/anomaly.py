@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.calendar import fill_gap_days
 from tidemark.functions.numeric import HOURS, LOAD, clip, exact_avg, round_to, safe_ratio, units
 from tidemark.operators.ranking import number_all, numbered_id
-from tidemark.operators.touches import HUB, hub_touches, incident_days, incident_shipments
+from tidemark.operators.touches import HUB, hub_touches, incident_days
 
 # The evidence by the verdict on the logistics data.
 EVIDENCE = (
@@ -206,12 +206,12 @@ def candidate_ids(candidates: DataFrame) -> DataFrame:
 def support_impact(candidates: DataFrame, shipments: DataFrame, cases: DataFrame) -> DataFrame:
     """Support cases of the shipments that touch a candidate's hub in its window.
 
-    Cases are counted per shipment before the join, and only shipments on incident hub-days take part.
+    Cases are reduced to hub-days before they meet the days of the windows.
     """
     spans = candidates.withColumns({"start_date": F.col("window_start"), "end_date": F.col("window_end")})
     days = incident_days(spans, ["candidate_incident_id", HUB])
-    hits = incident_shipments(shipments, days, ["candidate_incident_id"])
-    return hits.join(cases_per_shipment(cases), "shipment_id").groupBy("candidate_incident_id").agg(
+    cells = support_cells(shipments, cases)
+    return days.join(cells, [HUB, "report_date"]).groupBy("candidate_incident_id").agg(
         F.sum("cases").alias("affected_support_cases"),
         safe_ratio(F.sum("sla"), F.sum("sla_n")).alias("support_sla_rate"),
         safe_ratio(F.sum("csat"), F.sum("csat_n")).alias("avg_csat"),
@@ -230,6 +230,16 @@ def cases_per_shipment(cases: DataFrame) -> DataFrame:
     )
 
 
+def support_cells(shipments: DataFrame, cases: DataFrame) -> DataFrame:
+    """Case sums per hub and day of the shipments that touch the hub; each shipment counts once per hub and day."""
+    places = ["shipment_id", "origin_warehouse_id", "destination_warehouse_id", "shipment_date"]
+    counted = cases_per_shipment(cases)
+    sums = [c for c in counted.columns if c != "shipment_id"]
+    rows = shipments.select(*places).join(counted, "shipment_id").dropDuplicates(places)
+    touches = hub_touches(rows, [F.col("shipment_date").alias("report_date"), *sums], once=True)
+    return touches.groupBy(HUB, "report_date").agg(*[F.sum(c).alias(c) for c in sums])
+
+
 def incident_records(
     candidates: DataFrame, hubs: DataFrame, shipments: DataFrame, cases: DataFrame, trust: DataFrame
 ) -> DataFrame:

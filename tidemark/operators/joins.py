@@ -61,6 +61,30 @@ def missing_keys(child: DataFrame, column: str, parent: DataFrame, parent_column
     return counted.join(known, "key", "left_anti")
 
 
+def key_census(sides: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Per key value, how many rows each side has: one narrow grouping of all sides, which answers uniqueness, orphans
+    and multiplicities at once. Map-side sums make a hot key one row per task. NULL is a key of its own."""
+    parts = [
+        df.select(F.col(column).cast("string").alias("key"), *[F.lit(int(n == name)).alias(n) for n in sides])
+        for name, (df, column) in sides.items()
+    ]
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every.groupBy("key").agg(*[F.sum(n).alias(n) for n in sides])
+
+
+def orphan_rows(child: str, parent: str) -> Column:
+    """Over a census: rows of ``child`` whose key is NULL or unknown to ``parent``."""
+    lost = F.col("key").isNull() | (F.col(parent) == 0)
+    return F.coalesce(F.sum(F.when(lost, F.col(child))), F.lit(0))
+
+
+def surplus_of(side: str) -> Column:
+    """Over a census: rows of ``side`` beyond the first of each key."""
+    return F.coalesce(F.sum(F.greatest(F.col(side) - 1, F.lit(0))), F.lit(0))
+
+
 def shared_keys(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
     """Keys that occur on both sides; empty when the two sets are disjoint."""
     return left.select(column).distinct().join(right.select(column), column, "left_semi")

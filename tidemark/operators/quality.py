@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions.banding import lookup
 from tidemark.functions.calendar import wall_micros
 from tidemark.functions.numeric import count_where, round_to, safe_ratio
-from tidemark.operators.joins import missing_keys, missing_names, one_row_per_key
+from tidemark.operators.joins import key_census, missing_keys, missing_names, one_row_per_key, orphan_rows
 
 CONTROL_SCHEMA = T.StructType(
     [
@@ -125,6 +125,25 @@ def reference_control(
     return control.row(orphans, "n")
 
 
+def reference_controls(
+    parent: DataFrame, parent_column: str, parent_name: str, children: dict[str, tuple[DataFrame, str]]
+) -> DataFrame:
+    """The reference controls of several children of one parent, from one grouping by the key."""
+    census = key_census({"_parent": (parent, parent_column), **children})
+    totals = census.agg(*[orphan_rows(name, "_parent").alias(name) for name in children])
+    controls = [
+        Control(
+            f"{name.upper()}_{parent_name.upper()}_FK",
+            name,
+            "Referential Integrity",
+            "High",
+            f"{column} must exist in {parent_name}.{parent_column}",
+        ).column(F.col(name))
+        for name, (_, column) in children.items()
+    ]
+    return totals.select(F.inline(F.array(*controls)))
+
+
 def amount_mismatches(
     left: DataFrame, left_amount: str, right: DataFrame, right_amount: str, key: str, tolerance: float = 0.01
 ) -> DataFrame:

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import DISTANCE, HOURS, LOAD, clip, round_to, safe_ratio, units
 from tidemark.functions.text import number
-from tidemark.operators.anomaly import cases_per_shipment
+from tidemark.operators.anomaly import support_cells
 from tidemark.operators.joins import interval_days
-from tidemark.operators.touches import HUB, hub_touches, incident_shipments
+from tidemark.operators.touches import HUB, hub_touches
 
 BASELINE_DAYS = 60
 INCIDENT = "candidate_incident_id"
@@ -60,8 +60,8 @@ def analysis_days(incidents: DataFrame, baseline_days: int = BASELINE_DAYS) -> D
 def carrier_periods(shipments: DataFrame, days: DataFrame) -> DataFrame:
     """Additive facts per incident, period and carrier.
 
-    Shipments are reduced to (hub, day, carrier) before they meet the incident days. A shipment whose
-    two hubs are the same counts once.
+    Only touches on incident hub-days are grouped; the days are few, so that filter needs no shuffle of the history.
+    A shipment whose two hubs are the same counts once.
     """
     columns = [
         "carrier_id",
@@ -84,6 +84,7 @@ def carrier_periods(shipments: DataFrame, days: DataFrame) -> DataFrame:
     }
     cells = (
         hub_touches(shipments, columns, once=True)
+        .join(days.select(HUB, "report_date").distinct(), [HUB, "report_date"], "left_semi")
         .groupBy(HUB, "report_date", "carrier_id", "carrier_name")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -173,8 +174,7 @@ def carrier_spread(contribution: DataFrame, material_pp: float = 25.0) -> DataFr
 
 def support_periods(shipments: DataFrame, cases: DataFrame, days: DataFrame) -> DataFrame:
     """Support cases, SLA, CSAT and escalation of both periods, one row per incident."""
-    hits = incident_shipments(shipments, days, [INCIDENT, "period"])
-    facts = hits.join(cases_per_shipment(cases), "shipment_id")
+    facts = days.join(support_cells(shipments, cases), [HUB, "report_date"])
 
     def columns(prefix: str) -> list[Column]:
         def part(name: str) -> Column:

@@ -475,17 +475,34 @@ class Tables:
 
     # --- controls ---
 
+    @cached_property
+    def references(self) -> DataFrame:
+        """All reference controls, from one grouping by order and one by shipment, stored once."""
+        linked = self.app_events.where(F.col("order_id").isNotNull())
+        by_order = {
+            "payments": (self.payments, "order_id"),
+            "shipments": (self.stored_shipments, "order_id"),
+            "app_events": (linked, "order_id"),
+        }
+        by_shipment = {
+            "tracking_events": (self.tracking, "shipment_id"),
+            "support_cases": (self.cases, "shipment_id"),
+        }
+        frames = [
+            quality.reference_controls(self.raw("orders").withColumnRenamed("o_orderkey", "order_id"), "order_id", "orders", by_order),
+            quality.reference_controls(self.stored_shipments, "shipment_id", "shipments", by_shipment),
+        ]
+        return self._stored(quality.union_controls(frames), "references")
+
     @cached_property
     def logistics_controls(self) -> DataFrame:
         """Controls of the logistics domains, stored once: the trust verdict reads only these."""
         shipments = quality.TableRules(["shipment_id"], SHIPMENT_FIELDS, SHIPMENT_FIELDS)
         tracking = quality.TableRules(["event_id"], TRACKING_FIELDS, TRACKING_FIELDS)
-        reference = quality.reference_control
         frames = [
             quality.table_controls(self.stored_shipments, "shipments", shipments),
             quality.table_controls(self.tracking, "tracking_events", tracking),
-            reference(self.stored_shipments, "order_id", self.orders, "order_id", "shipments", "orders"),
-            reference(self.tracking, "shipment_id", self.stored_shipments, "shipment_id", "tracking_events", "shipments"),
+            self.references.where(F.col("domain").isin("shipments", "tracking_events")),
             quality.terminal_control(self.stored_shipments, self.tracking),
         ]
         return self._stored(quality.union_controls(frames), "logistics_controls")
@@ -494,8 +511,6 @@ class Tables:
     def controls(self) -> DataFrame:
         """All controls over the role tables, stored once: health, summary and trust read them."""
         rules = quality.TableRules
-        reference = quality.reference_control
-        linked = self.app_events.where(F.col("order_id").isNotNull())
         ordered = self.stored_shipments.join(self.orders.select("order_id", "order_ts"), "order_id", "left")
         steps = ["order_ts", "shipment_created_ts", "delivery_ts"]
         frames = [
@@ -504,9 +519,7 @@ class Tables:
             quality.table_controls(self.payments, "payments", rules(["payment_id"], PAYMENT_FIELDS, PAYMENT_FIELDS)),
             quality.table_controls(self.cases, "support_cases", rules(["case_id"], CASE_FIELDS, CASE_FIELDS)),
             quality.table_controls(self.app_events, "app_events", rules(["event_id"], EVENT_FIELDS, EVENT_FIELDS)),
-            reference(self.payments, "order_id", self.orders, "order_id", "payments", "orders"),
-            reference(self.cases, "shipment_id", self.stored_shipments, "shipment_id", "support_cases", "shipments"),
-            reference(linked, "order_id", self.orders, "order_id", "app_events", "orders"),
+            self.references.where(~F.col("domain").isin("shipments", "tracking_events")),
             quality.amount_control(self.orders, self.payments),
             quality.chronology_control(self.cases, ["created_ts", "first_response_ts", "resolved_ts"]),
             quality.chronology_control(ordered, steps, "SHIPMENT_CHRONOLOGY", "orders"),
@@ -545,7 +558,8 @@ class Tables:
 
     @cached_property
     def analysis_days(self) -> DataFrame:
-        return rootcause.analysis_days(self.incidents)
+        """Incident days and their baselines, stored: their true size decides how they are joined."""
+        return self._stored(rootcause.analysis_days(self.incidents), "analysis_days")
 
     @cached_property
     def carrier_facts(self) -> DataFrame:
