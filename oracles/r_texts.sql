@@ -16,6 +16,6 @@ SELECT t.conv_id, t.turn, t.classification, x.incident_id AS incident_id, x.star
                 x.primary_cause, 'and confidence', CAST(CAST(round_even(x.confidence_score, 0) AS BIGINT) AS VARCHAR),
                 '; data trust', lower(x.data_trust_status))
             WHEN 1 THEN text || ' A 7 day window is guaranteed.'
-            WHEN 2 THEN text || ' A fourteen' || chr(8209) || 'day period and a 014-day window.'
+            WHEN 2 THEN text || ' A fourteen' || chr(8209) || 'day' || chr(160) || 'period and a 014-day window.'
             ELSE text END AS report
 FROM turns AS t LEFT JOIN lead AS l ON t.classification = l.classification
