@@ -94,6 +94,10 @@ class WordTokenizer:
         if len(self.marks) > CACHE_WORDS:
             self.marks = {"": b""}
 
+    def forget(self) -> None:
+        self.known.clear()
+        self.letters.clear()
+
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text, with the end id."""
         rows = [text.split() for text in texts]
@@ -191,5 +195,6 @@ def pack(
         while rows := list(islice(pieces, 2000)):
             columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        _tokenizer(path).forget()  # the process may go on with other work
 
     return docs.select(F.col(key).cast("bigint").alias("doc_id"), text_of(text).alias("text")).mapInArrow(run, _PIECES)
