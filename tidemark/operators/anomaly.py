@@ -25,13 +25,17 @@ DOUBTFUL_EVIDENCE = (
 
 @dataclass(frozen=True)
 class WindowRules:
-    """Window length, gate thresholds (percentage points, touches, score) of a candidate."""
+    """Window length, gate thresholds (percentage points, touches, score) of a candidate.
+
+    The baseline of a window is the hub's whole history, or with ``exclude_window`` all of it but the window.
+    """
 
     days: int = 14
     min_touches: int = 20
     min_delay_pp: float = 18.0
     min_load_pp: float = 20.0
     min_score: float = 75.0
+    exclude_window: bool = False
 
 
 def touch_rows(shipments: DataFrame) -> DataFrame:
@@ -110,14 +114,16 @@ def hub_windows(shipments: DataFrame, rules: WindowRules = WindowRules()) -> Dat
     # The baseline counts undated touches as well; only dated ones fall into windows.
     whole = Window.partitionBy(HUB)
     totals = [F.sum(c).over(whole).alias(f"all_{c}") for c in base]
-    dated = days.select(HUB, "date", *sums, *totals).where(F.col("date").isNotNull())
-    dense = fill_gap_days(dated, [HUB], "date", sums)
+    own = [c for c in base if c not in sums]
+    dated = days.select(HUB, "date", *sums, *own, *totals).where(F.col("date").isNotNull())
+    dense = fill_gap_days(dated, [HUB], "date", sums + own)
     trailing = Window.partitionBy(HUB).orderBy("date").rowsBetween(1 - rules.days, 0)
+    rest = lambda c: F.col(f"all_{c}") - (F.sum(c).over(trailing) if rules.exclude_window else F.lit(0))
     rolled = dense.select(
         HUB,
         F.col("date").alias("window_end"),
         *[F.sum(c).over(trailing).alias(c) for c in sums],
-        *[f"all_{c}" for c in base],
+        *[rest(c).alias(f"all_{c}") for c in base],
     ).where(F.col("n") >= rules.min_touches)
     windows = rolled.select(
         HUB,

@@ -22,7 +22,7 @@ from tidemark.functions.numeric import clip, exact_sum, flag, round_to
 from tidemark.operators import anomaly, briefs, quality, reconciliation, registry, rootcause
 from tidemark.operators.derive import case_times, case_triage, route_distance, sla_evaluation, sla_hours
 from tidemark.plans import silver
-from tidemark.session import materialize, remove_stored
+from tidemark.session import materialize, new_folder, remove_stored
 
 # Declared schemas of the tables, so that opening one reads no file footer.
 SCHEMAS = {
@@ -104,6 +104,10 @@ class Tables:
             raise ValueError(f"{name}: a join without a key")
         return materialize(df, f"{self.label}/{name}")
 
+    def scratch(self, name: str) -> str:
+        """A new folder for files of this object, which ``release`` deletes as well."""
+        return new_folder(self.spark, f"{self.label}/{name}")
+
     def judged(self, trusted: bool) -> Tables:
         """The same tables under the given verdict on the logistics data; frames that it does not touch are shared."""
         other = Tables(self.spark, self.folder, f"{self.label}/{'trusted' if trusted else 'untrusted'}", trusted)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from tidemark.operators.touches import incident_days, incident_shipments
 from tidemark.plans import gold, staging
 from tidemark.plans.bindings import RULES, SCHEMAS, Tables
 from tidemark.session import snapshot
+from tidemark.sources import readers, schemas, writers
 
 Query = Callable[[Tables], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -168,11 +170,23 @@ def incident_hub_snapshot(t: Tables) -> DataFrame:
     return gold.incident_hub_snapshot(logistics_performance(t))
 
 
-@query
-def customer_experience(t: Tables) -> DataFrame:
+def _customer_experience(t: Tables, *period: str) -> DataFrame:
     cases = t.cases.join(t.carriers.select("carrier_id", "carrier_name"), "carrier_id", "left")
     cases = cases.withColumn("case_date", F.to_date("created_ts"))
-    return gold.customer_experience(cases, t.stored_shipments, t.incidents)
+    return gold.customer_experience(cases, t.stored_shipments, t.incidents, *period)
+
+
+@query
+def customer_experience(t: Tables) -> DataFrame:
+    return _customer_experience(t)
+
+
+@query
+def customers_contacting(t: Tables) -> DataFrame:
+    """Exact distinct customers per priority, next to the sum over the mart's groups, which counts some twice."""
+    mart = customer_experience(t).groupBy("priority").agg(F.sum("customers_contacting").alias("customers_in_groups"))
+    exact = t.cases.groupBy("priority").agg(F.count_distinct("customer_id").alias("customers"))
+    return exact.join(mart, "priority")
 
 
 @query
@@ -181,6 +195,31 @@ def incident_vs_normal(t: Tables) -> DataFrame:
     return gold.incident_vs_normal(cases, t.stored_shipments, t.incidents)
 
 
+# --- marts of one year -----------------------------------------------------------------------------
+
+YEAR = ("1997-01-01", "1997-12-31")
+
+
+@query
+def commerce_performance_1997(t: Tables) -> DataFrame:
+    return gold.commerce_performance(t.stored_orders, "item_gmv_eur", "item_discount_eur", *YEAR)
+
+
+@query
+def logistics_performance_1997(t: Tables) -> DataFrame:
+    return gold.logistics_performance(t.stored_enriched, t.hubs, t.incidents, *YEAR)
+
+
+@query
+def customer_experience_1997(t: Tables) -> DataFrame:
+    return _customer_experience(t, *YEAR)
+
+
+@query
+def data_reliability_1997(t: Tables) -> DataFrame:
+    return recon.reliability_daily(t.reconciliation, *YEAR)
+
+
 # --- quality ---------------------------------------------------------------------------------------
 
 
@@ -313,6 +352,12 @@ def hub_windows(t: Tables) -> DataFrame:
     return t.windows
 
 
+@query
+def hub_windows_excluded(t: Tables) -> DataFrame:
+    """Windows against a baseline without the window itself."""
+    return anomaly.scored_windows(t.stored_shipments, replace(RULES, exclude_window=True))
+
+
 @query
 def hub_candidates(t: Tables) -> DataFrame:
     return anomaly.window_candidates(t.windows, RULES)
@@ -502,6 +547,60 @@ def correction_requests(t: Tables) -> DataFrame:
     return rows.select("conv_id", "turn", "incident_id", "correction_request")
 
 
+# --- sources and sinks -----------------------------------------------------------------------------
+
+
+@query
+def csv_round_trip(t: Tables) -> DataFrame:
+    """The incidents, written as CSV and read by their declared schema."""
+    path = t.scratch("incidents_csv")
+    writers.write_csv(t.incidents, path)
+    return readers.read_csv(t.spark, path, schemas.BUSINESS_INCIDENTS, schemas.INCIDENT_COLUMNS)
+
+
+@query
+def json_round_trip(t: Tables) -> DataFrame:
+    """The registry, written as JSON lines and read by its schema."""
+    path = t.scratch("registry_json")
+    writers.write_json(t.registry, path)
+    return readers.read_json(t.spark, path, reg.registry_schema())
+
+
+@query
+def parquet_round_trip(t: Tables) -> DataFrame:
+    """The reconciliation mart, written by month and read as a named dataset of a layer."""
+    folder = t.scratch("gold")
+    days = data_reliability_daily(t).withColumn("month", F.date_format("report_date", "yyyy-MM"))
+    writers.write_parquet(days, f"{folder}/data_reliability.parquet", partition_by="month")
+    paths = readers.dataset_names(t.spark, folder)
+    return readers.read_table(t.spark, "gold", "data_reliability", paths["data_reliability"]).drop("month")
+
+
+@query
+def export_counts(t: Tables) -> DataFrame:
+    """Rows of the marts as counted while they were exported, sorted by day."""
+    marts = {
+        "commerce_performance": commerce_performance(t),
+        "data_reliability": data_reliability_daily(t),
+        "incident_command_center": incident_command_center(t),
+    }
+    order = {"commerce_performance": ["report_date"], "data_reliability": ["report_date"]}
+    return writers.export_marts(marts, t.scratch("export"), order)
+
+
+@query
+def run_log(t: Tables) -> DataFrame:
+    """The run-log row of the raw layer, without its time stamps."""
+    inventory = profile.table_inventory({name: t.raw(name) for name in SCHEMAS}, "bronze")
+    return writers.run_row(inventory).drop("run_id", "run_ts")
+
+
+@query
+def row_count_contract(t: Tables) -> DataFrame:
+    """Fixed row counts of the two tables that never grow."""
+    return contracts.row_count_contract({n: t.raw(n) for n in ("region", "nation")}, {"region": 5, "nation": 25})
+
+
 # --- measures --------------------------------------------------------------------------------------
 
 

@@ -34,6 +34,11 @@ def _layer(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}"
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has written to."""
+    return f"{_layer(spark, name)}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once in the shared folder and read it back.
 
@@ -42,7 +47,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     have a label in front (``label/name``); ``remove_stored`` deletes all copies of a label.
     """
     spark = df.sparkSession
-    path = f"{_layer(spark, name)}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
