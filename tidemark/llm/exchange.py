@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_of
 
-CHUNK_BYTES = 16 << 20
-BUCKET_BYTES = 32 << 20
-#: Bytes of a fingerprint that are sent; the bucket holds further bits. A collision only raises a count.
+CHUNK_BYTES = 8 << 20
+BUCKET_BYTES = 16 << 20
+#: Low bytes of a fingerprint that are sent; the bucket is a range of the rest. A collision only raises a count.
 SENT = 5
 ASKED = "bucket bigint, chunk bigint, payload binary"
 ANSWER = "chunk bigint, bucket bigint, payload binary"
@@ -57,19 +57,21 @@ def mixed_bits(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def by_bucket(prints: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """An order of distinct ``prints`` by bucket and value, and the bounds of the buckets in it."""
-    bucket = (prints >> np.uint64(8 * SENT)) % np.uint64(buckets)
-    low = prints & np.uint64((1 << 8 * SENT) - 1)
-    order = np.lexsort((prints, low, bucket))
-    return order, np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+def bucket_of(prints: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each print: equal ranges of its high bits, so sorted prints are sorted by bucket."""
+    high = 64 - 8 * SENT
+    return ((prints >> np.uint64(8 * SENT)) * np.uint64(buckets)) >> np.uint64(high)
+
+
+def bucket_bounds(prints: np.ndarray, buckets: int) -> np.ndarray:
+    return np.searchsorted(bucket_of(prints, buckets), np.arange(buckets + 1, dtype=np.uint64))
 
 
 def questions(chunk: int, prints: np.ndarray, counts: np.ndarray, buckets: int) -> pa.Table:
-    """One row per bucket: the low bytes of the prints, then one byte of count each."""
-    order, bounds = by_bucket(prints, buckets)
-    low = np.ascontiguousarray(prints[order]).view(np.uint8).reshape(-1, 8)[:, :SENT]
-    few = np.minimum(counts[order], 255).astype(np.uint8)
+    """One row per bucket: the low bytes of the sorted distinct prints, then one byte of count each."""
+    bounds = bucket_bounds(prints, buckets)
+    low = np.ascontiguousarray(prints).view(np.uint8).reshape(-1, 8)[:, :SENT]
+    few = np.minimum(counts, 255).astype(np.uint8)
     found = [b for b in range(buckets) if bounds[b] < bounds[b + 1]]
     made = [low[bounds[b] : bounds[b + 1]].tobytes() + few[bounds[b] : bounds[b + 1]].tobytes() for b in found]
     return pa.table(
@@ -101,7 +103,7 @@ def answers(rows: pa.Table) -> pa.Table:
         values[at : at + n] = wide.view(np.uint64).ravel()
         counts[at : at + n] = raw[n * SENT :]
         at += n
-    order = np.argsort(values, kind="stable")
+    order = np.argsort(values)
     ordered = values[order]
     starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if at else np.zeros(0, int)
     sums = np.add.reduceat(counts[order], starts) if at else counts
@@ -118,12 +120,9 @@ def answers(rows: pa.Table) -> pa.Table:
 
 
 def read_answers(prints: np.ndarray, buckets: int, told: dict[int, bytes]) -> np.ndarray:
-    """The codes of the distinct ``prints`` of a chunk from the payload of each bucket."""
-    order, bounds = by_bucket(prints, buckets)
-    joined = b"".join(told[b] for b in range(buckets) if bounds[b] < bounds[b + 1])
-    codes = np.empty(len(prints), np.uint8)
-    codes[order] = np.frombuffer(joined, np.uint8)
-    return codes
+    """The codes of the sorted distinct ``prints`` of a chunk from the payload of each bucket."""
+    bounds = bucket_bounds(prints, buckets)
+    return np.frombuffer(b"".join(told[b] for b in range(buckets) if bounds[b] < bounds[b + 1]), np.uint8)
 
 
 def answered(asked: DataFrame) -> DataFrame:

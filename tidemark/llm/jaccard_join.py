@@ -29,15 +29,15 @@ WORDS = 5
 PERCENT = 80
 #: Sizes of a part of a block: representatives and their matchable shingles.
 PART_SETS, PART_TOKENS = 1500, 1_000_000
-_BLOCK_BYTES = 2 << 20
+_BLOCK_BYTES = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _ROOT = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_ROOT), -1, 1 << 64))
 _BYTE = exchange.mixed_bits(np.arange(1, 257, dtype=np.uint64))
 _PLACE = exchange.mixed_bits(np.arange(1, 65, dtype=np.uint64) * _ROOT) | np.uint64(1)
-_POWERS = np.concatenate([[np.uint64(1)], np.cumprod(np.full((2 << 20) + 4096, _ROOT), dtype=np.uint64)])
-_NEGATIVE = np.concatenate([[np.uint64(1)], np.cumprod(np.full((2 << 20) + 4096, _INVERSE), dtype=np.uint64)])
+_POWERS = np.concatenate([[np.uint64(1)], np.cumprod(np.full((1 << 20) + 4096, _ROOT), dtype=np.uint64)])
+_NEGATIVE = np.concatenate([[np.uint64(1)], np.cumprod(np.full((1 << 20) + 4096, _INVERSE), dtype=np.uint64)])
 
 
 def _word_hashes(text: bytes) -> np.ndarray:
@@ -58,26 +58,57 @@ def _word_hashes(text: bytes) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
-def _hash_block(text: bytes) -> np.ndarray:
+def _hash_block(text: bytes, places: bool = False) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(text, np.uint8)
     space = np.concatenate([[True], _SPACE[data], [True]])
     edges = np.diff(space.view(np.int8))
     starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * _POWERS[: len(data)], out=sums[1:])
-    return exchange.mixed_bits((sums[ends] - sums[starts]) * _NEGATIVE[starts] + (ends - starts).astype(np.uint64))
+    codes = exchange.mixed_bits((sums[ends] - sums[starts]) * _NEGATIVE[starts] + (ends - starts).astype(np.uint64))
+    return (codes, starts) if places else codes
 
 
-def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a text; fewer words are one shingle, none give none."""
-    codes = _word_hashes(text.lower())  # bytes: A-Z only
-    if not len(codes):
-        return codes
-    width = min(words, len(codes))
-    total = np.full(len(codes) - width + 1, np.uint64(width))
+def _windows(codes: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all windows of so many word hashes."""
+    total = np.full(max(0, len(codes) - width + 1), np.uint64(width))
     for i in range(width):
         total += codes[i : len(codes) - width + 1 + i] * _PLACE[i]
-    return np.unique(exchange.mixed_bits(total))
+    return exchange.mixed_bits(total)
+
+
+def shingles(text: bytes) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of a text; fewer words are one shingle, none give none."""
+    codes = _word_hashes(text.lower())  # bytes: A-Z only
+    return np.unique(_windows(codes, min(WORDS, len(codes)))) if len(codes) else codes
+
+
+def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
+    """``shingles`` of each text, hashed together in blocks of many texts."""
+    group: list[bytes] = []
+    held = 0
+    for text in [*texts, None]:
+        if group and (text is None or held + len(text) > _BLOCK_BYTES):
+            yield from _sets_of_block(group)
+            group, held = [], 0
+        if text is not None:
+            group.append(text)
+            held += len(text) + 1
+
+
+def _sets_of_block(texts: list[bytes]) -> Iterator[np.ndarray]:
+    if len(texts) == 1:
+        yield shingles(texts[0])
+        return
+    codes, starts = _hash_block(b"\n".join(texts).lower(), True)
+    begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+    bounds = np.searchsorted(starts, begins)
+    hashes = _windows(codes, WORDS)
+    for a, z in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
+        if z - a >= WORDS:
+            yield np.unique(hashes[a : z - WORDS + 1])
+        else:
+            yield _windows(codes[a:z], z - a) if z > a else codes[:0]
 
 
 def _digest(tokens: np.ndarray) -> bytes:
@@ -86,7 +117,7 @@ def _digest(tokens: np.ndarray) -> bytes:
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches_of(batches, 8 << 20):
-        sets = [shingles(t) for t in utf8(batch.column(1))]
+        sets = list(shingle_sets(utf8(batch.column(1))))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
@@ -103,12 +134,11 @@ def _representatives(rows: pa.Table, classes: pa.Table) -> Iterator[tuple[int, n
     wanted = {(i, d) for i, d in zip(classes.column("rep").to_pylist(), classes.column("digest").to_pylist(), strict=True) if d is not None}
     ids_wanted = {i for i, _ in wanted}
     ids, texts = exchange.in_order(rows)
-    for doc_id, text in zip(ids.tolist(), texts, strict=True):
-        if doc_id in ids_wanted:
-            tokens = shingles(text)
-            if (doc_id, own := _digest(tokens)) in wanted:
-                wanted.discard((doc_id, own))
-                yield doc_id, tokens
+    chosen = [(i, t) for i, t in zip(ids.tolist(), texts, strict=True) if i in ids_wanted]
+    for (doc_id, _), tokens in zip(chosen, shingle_sets([t for _, t in chosen]), strict=True):
+        if (doc_id, own := _digest(tokens)) in wanted:
+            wanted.discard((doc_id, own))
+            yield doc_id, tokens
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -254,12 +284,15 @@ def class_links(docs: DataFrame, classes: DataFrame, total_bytes: int, text: str
 
     def survivors(_: tuple, docs_: pa.Table, given: pa.Table) -> pa.Table:
         sets = list(_representatives(docs_, given.select(["rep", "digest"])))
-        prints = np.unique(np.concatenate([*(s for _, s in sets), np.zeros(0, np.uint64)]))
+        prints, places = np.unique(np.concatenate([*(s for _, s in sets), np.zeros(0, np.uint64)]), return_inverse=True)
         replies = {b: p for b, p in zip(given.column("bucket").to_pylist(), given.column("payload").to_pylist(), strict=True) if b is not None}
         codes = exchange.read_answers(prints, buckets, replies)
+        codes = codes[places]
         out: list[tuple] = []
+        at = 0
         for rep, tokens in sets:
-            own = codes[np.searchsorted(prints, tokens)]
+            own = codes[at : at + len(tokens)]
+            at += len(tokens)
             free = prefix_length(len(tokens)) - int(np.count_nonzero(own < 2))
             if free > 0:
                 order = np.lexsort((tokens, own))
