@@ -28,7 +28,7 @@ from tidemark.llm.components import components
 WORDS = 5
 PERCENT = 80
 #: Sizes of a part of a block: representatives and their matchable shingles.
-PART_SETS, PART_TOKENS = 1500, 1_000_000
+PART_SETS, PART_TOKENS = 500, 1_000_000
 _BLOCK_BYTES = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True

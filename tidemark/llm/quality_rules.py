@@ -163,7 +163,7 @@ def certified(measured: DataFrame, labels: DataFrame, risk: float = RISK, level:
         .select("stratum", "rule", "most")
     )
     passed = tests.join(most, ["stratum", "rule"]).filter("rejected <= most and junk > 0")
-    gain = F.col("caught") / F.col("junk") - PRICE * F.col("rejected") / F.col("n")
+    gain = F.col("caught") / F.col("junk") - PRICE * F.col("rejected") / F.nullif("n", F.lit(0))
     best = passed.withColumn("gain", gain).groupBy("stratum", "rule").agg(
         F.max_by(F.struct("cutoff", "n", "rejected", "gain"), F.struct("gain", "cutoff")).alias("best")
     )
@@ -196,3 +196,51 @@ def judged(
         .withColumn("kept", ~F.col("base_failed") & (F.col("rejected_by") == ""))
         .drop("rules")
     )
+
+
+def judged_sql() -> str:
+    """The judgement in DuckDB SQL, with the same rules and grids: positions of repeated windows, tails from lgamma."""
+    grid = ", ".join(f"('{rule}', cast({c!r} as double))" for rule in MEASURES for c in cutoffs(rule))
+    items = ", ".join(f"struct_pack(rule := '{rule}', x := {m})" for rule, m in MEASURES.items())
+    p = RISK / len(MEASURES)
+    return rf"""
+with w as (
+  select doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), v as (
+  select *, array_to_string(words, '') as j,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from w
+), windows as (
+  select doc_id, i, count(*) over (partition by doc_id, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) as times
+  from (select doc_id, words, unnest(range(1, len(words) - 1)) as i from w)
+), covered as (
+  select doc_id, count(distinct q) as n from (select doc_id, unnest([i, i + 1, i + 2]) as q from windows where times > 1) group by doc_id
+), counted as (
+  select doc_id, stratum, len(words) as n_words, length(j) as word_chars,
+    length(j) - length(regexp_replace(j, '[#*$%&|<>]', '', 'g')) as n_symbols,
+    len(lines) - len(list_distinct(lines)) as n_dup_lines, len(lines) as n_lines,
+    length(j) - length(regexp_replace(j, '[A-Z]', '', 'g')) as n_capitals,
+    length(j) - length(regexp_replace(j, '[!?]', '', 'g')) as n_shouts, coalesce(n, 0) as n_repeat_words
+  from v left join covered using (doc_id)
+), based as (
+  select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words as base_failed from counted
+), measured as (
+  select doc_id, stratum, unnest([{items}], recursive := true) from based where not base_failed
+), grid(rule, cutoff) as (values {grid}),
+marks as (
+  select doc_id, min(quality) = 1 as good from labels where doc_id is not null and quality is not null group by doc_id
+), tests as (
+  select stratum, rule, cutoff, count(*) filter (good) as n, count(*) filter (not good) as junk,
+    count(*) filter (good and x > cutoff) as rejected, count(*) filter (not good and x > cutoff) as caught
+  from measured join marks using (doc_id) join grid using (rule) group by stratum, rule, cutoff
+), certain as (
+  select *, caught / junk - {PRICE} * rejected / n as gain from tests
+  where junk > 0 and n > 0 and list_sum(list_transform(range(0, rejected + 1), lambda k: exp(lgamma(n + 1) - lgamma(k + 1)
+      - lgamma(n - k + 1) + k * ln({p!r}) + (n - k) * ln({1 - p!r})))) <= {LEVEL} / ({len(MEASURES)} * (select count(distinct stratum) from tests))
+), best as (
+  select stratum, rule, cutoff from certain where gain > 0
+  qualify row_number() over (partition by stratum, rule order by gain desc, cutoff desc) = 1
+), hit as (select distinct doc_id from measured join best using (stratum, rule) where x > cutoff)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and doc_id not in (select doc_id from hit) as kept
+from based"""

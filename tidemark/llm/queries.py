@@ -107,5 +107,5 @@ QUERIES: dict[str, Query] = {
 
 
 def oracles() -> dict[str, str]:
-    sql = {"op8_license_rules": licenses.scan_sql()}
+    sql = {"op2_certified_rules": quality_rules.judged_sql(), "op8_license_rules": licenses.scan_sql()}
     return sql | {p.stem: p.read_text(encoding="utf-8") for p in sorted((Path(__file__).parent / "sql").glob("*.sql"))}

@@ -14,6 +14,7 @@ the first document that has them. The answers go back to the chunks, which mark
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ ANCHOR = 24
 WINDOW = LENGTH - ANCHOR + 1
 _WIDTH = LENGTH + WINDOW  # of a segment's row: its bytes, then nothing
 #: Bytes of segments that one index holds (more only if one anchor has more).
-INDEX_BYTES = 2 << 20
+INDEX_BYTES = 1 << 19
 _BLOCK = 1 << 20
 _BYTE = exchange.mixed_bits(np.arange(1, 257, dtype=np.uint64))
 _STEPS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -57,49 +58,87 @@ def _lowest(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def segments_of(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, first window and number of windows of each segment of a text, in blocks of bounded memory."""
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    data = np.frombuffer(text, np.uint8)
-    for at in range(0, len(data) - LENGTH + 1, _BLOCK):
-        low = _lowest(_anchor_hashes(data[at : at + _BLOCK + LENGTH - 1]), WINDOW)
-        new = np.flatnonzero(low[1:] != low[:-1]) + 1
-        starts = np.concatenate([[0], new])
-        ends = np.concatenate([new, [len(low)]])
-        if (ends - starts).max() > WINDOW:  # periodic text: cut its segments to the usual length
-            pieces = -(-(ends - starts) // WINDOW)
-            base = np.repeat(starts, pieces)
-            nth = np.arange(len(base)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            starts = base + nth * WINDOW
-            ends = np.minimum(starts + WINDOW, np.repeat(ends, pieces))
-        found.append((low[starts], starts + at, ends - starts))
-    if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))  # type: ignore[return-value]
-
-
-def _bucket(anchors: np.ndarray, buckets: int) -> np.ndarray:
-    return ((anchors >> np.uint64(8 * exchange.SENT)) % np.uint64(buckets)).astype(np.int64)
+@dataclass
+class Segments:
+    """Segments of some texts, in order of text and place: anchor, text, first window, number of windows."""
+
+    anchors: np.ndarray
+    texts: np.ndarray
+    starts: np.ndarray
+    counts: np.ndarray
+
+    def where(self, keep: np.ndarray) -> Segments:
+        return Segments(self.anchors[keep], self.texts[keep], self.starts[keep], self.counts[keep])
+
+
+def segments_of(texts: list[bytes]) -> Segments:
+    """The segments of all texts. Short texts are hashed together, long ones in blocks, so memory is bounded."""
+    found = [(np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)]
+    group: list[int] = []
+    held = 0
+
+    def flush() -> None:
+        nonlocal group, held
+        if group:
+            sizes = np.array([len(texts[i]) for i in group])
+            begins = np.cumsum(sizes) - sizes
+            found.append(_block(b"".join([texts[i] for i in group]), begins, sizes, np.array(group), np.zeros(len(group), np.int64)))
+        group, held = [], 0
+
+    for i, text in enumerate(texts):
+        if len(text) < LENGTH:
+            continue
+        if len(text) <= _BLOCK // 4:
+            if held + len(text) > _BLOCK:
+                flush()
+            group.append(i)
+            held += len(text)
+            continue
+        flush()
+        for at in range(0, len(text) - LENGTH + 1, _BLOCK):
+            part = text[at : at + _BLOCK + LENGTH - 1]
+            found.append(_block(part, np.array([0]), np.array([len(part)]), np.array([i]), np.array([at])))
+    flush()
+    return Segments(*(np.concatenate(x) for x in zip(*found, strict=True)))
+
+
+def _block(data: bytes, begins: np.ndarray, sizes: np.ndarray, texts: np.ndarray, offsets: np.ndarray) -> tuple:
+    """Segments of the texts that lie in ``data`` one after another, each of at least 50 bytes."""
+    low = _lowest(_anchor_hashes(np.frombuffer(data, np.uint8)), WINDOW)
+    cut = np.concatenate([[True], low[1:] != low[:-1]])
+    cut[begins] = True
+    # Windows that reach over the end of a text belong to none.
+    for begin, size in zip(begins[1:].tolist(), sizes.tolist(), strict=False):
+        cut[begin - LENGTH + 1 : begin] = False
+        cut[begin - LENGTH + 1] = True
+    starts = np.flatnonzero(cut)
+    place = np.searchsorted(begins, starts, "right") - 1
+    last = begins[place] + sizes[place] - LENGTH
+    inside = starts <= last
+    ends = np.append(starts[1:], len(low))[inside]
+    starts, place, last = starts[inside], place[inside], last[inside]
+    counts = np.minimum(ends, last + 1) - starts
+    if counts.max() > WINDOW:  # periodic text: cut its segments to the usual length
+        pieces = -(-counts // WINDOW)
+        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        counts = np.minimum(np.repeat(counts, pieces) - nth * WINDOW, WINDOW)
+        starts, place = np.repeat(starts, pieces) + nth * WINDOW, np.repeat(place, pieces)
+    return low[starts], texts[place], starts - begins[place] + offsets[place], counts
 
 
 class Chunk:
     """The segments of a chunk's documents whose anchors are shared, and their distinct contents by bucket."""
 
-    def __init__(self, texts: list[bytes], shared: np.ndarray, buckets: int, segments: list | None = None):
-        anchors, docs, starts, counts = [], [], [], []
-        for place, text in enumerate(texts):
-            a, s, n = segments[place] if segments else segments_of(text)
-            keep = np.isin(a, shared, kind="sort")
-            anchors.append(a[keep])
-            starts.append(s[keep])
-            counts.append(n[keep])
-            docs.append(np.full(int(keep.sum()), place, np.int64))
-        none = [np.zeros(0, np.int64)]
-        self.anchors = np.concatenate(anchors + [np.zeros(0, np.uint64)])
-        self.docs, self.starts, self.counts = (np.concatenate(x + none).astype(np.int64) for x in (docs, starts, counts))
+    def __init__(self, texts: list[bytes], shared: np.ndarray, buckets: int, segments: Segments | None = None):
+        """``shared`` is sorted."""
+        own = segments or segments_of(texts)
+        at = np.minimum(np.searchsorted(shared, own.anchors), max(len(shared) - 1, 0))
+        own = own.where(shared[at] == own.anchors if len(shared) else np.zeros(len(own.anchors), bool))
+        self.anchors, self.docs, self.starts, self.counts = own.anchors, own.texts, own.starts, own.counts
         rows = np.zeros((len(self.docs), _WIDTH), np.uint8)
-        for place in np.unique(self.docs):
-            own = np.flatnonzero(self.docs == place) if len(texts) < 2 else slice(*np.searchsorted(self.docs, [place, place + 1]))
+        bounds = np.searchsorted(self.docs, np.arange(len(texts) + 1))
+        for place in np.flatnonzero(np.diff(bounds)):
+            own = slice(bounds[place], bounds[place + 1])
             data = np.frombuffer(texts[place] + bytes(_WIDTH), np.uint8)
             rows[own] = data[self.starts[own][:, None] + np.arange(_WIDTH)]
         lengths = self.counts + LENGTH - 1
@@ -110,7 +149,7 @@ class Chunk:
         self.first = first
         self.lengths = lengths[first]
         self.rows = rows[first]
-        self.bucket = _bucket(self.anchors[first], buckets)
+        self.bucket = exchange.bucket_of(self.anchors[first], buckets).astype(np.int64)
 
 
 def _bounds(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -130,17 +169,22 @@ class RunLengthIndex:
         ranks = np.zeros((n, width), np.int64)
         for i in range(7):  # seven symbols of nine bits
             ranks = (ranks << 9) | self._moved(symbols, i)
-        ranks = self._dense(ranks, inside)
-        by_depth = {7: ranks}
-        depth = 7
+        ranks, depth = self._dense(ranks, inside), 7
+        part, part_depth = ranks, depth  # the deepest ranks that do not look beyond 50 symbols
         while depth < width:
-            ranks = self._dense((ranks << 32) | self._moved(ranks, depth), inside)
-            depth *= 2
-            by_depth[depth] = ranks
+            if ranks.max() < 1 << 21:  # three at a time
+                keys = (ranks << 42) | (self._moved(ranks, depth) << 21) | self._moved(ranks, 2 * depth)
+                depth *= 3
+            else:
+                keys = (ranks << 31) | self._moved(ranks, depth)
+                depth *= 2
+            ranks = self._dense(keys, inside)
+            if depth <= LENGTH:
+                part, part_depth = ranks, depth
         # All suffixes with their end marks; equal ones in the order of their strings.
         valid = np.arange(width) <= lengths[:, None]
         string, column = np.nonzero(valid)
-        order = np.argsort(ranks[valid], kind="stable")
+        order = np.argsort((ranks[valid] << 31) | np.arange(len(string)))
         string, column = string[order], column[order]
         before = np.where(column > 0, symbols[string, column - 1], 0)
         heads = np.concatenate([[True], before[1:] != before[:-1]])
@@ -155,10 +199,13 @@ class RunLengthIndex:
         earlier[by_symbol] = total - total[group]
         smaller = np.concatenate([[0], np.cumsum(np.bincount(symbols[valid], minlength=258))])
         self.run_base = smaller[self.run_symbol] + earlier
-        # Rows that begin with the same 50 symbols: 28 at the start and 28 that end there.
-        half = by_depth[28]
-        same = (half[string, column] << 32) | self._moved(half, LENGTH - 28)[string, column]
-        self.border = np.flatnonzero(np.concatenate([[True], same[1:] != same[:-1]]))
+        # Rows that begin with the same 50 symbols, seen from overlapping parts of them.
+        new = np.zeros(len(order), bool)
+        new[0] = True
+        for at in [*range(0, LENGTH - part_depth, part_depth), LENGTH - part_depth]:
+            own = self._moved(part, at)[string, column]
+            new[1:] |= own[1:] != own[:-1]
+        self.border = np.flatnonzero(new)
         self.border_owner = np.minimum.reduceat(owners[string], self.border)
 
     @staticmethod
@@ -172,7 +219,7 @@ class RunLengthIndex:
     def _dense(keys: np.ndarray, inside: np.ndarray) -> np.ndarray:
         """Ranks from 1 of the keys inside; 0 outside."""
         flat = keys[inside]
-        order = np.argsort(flat, kind="stable")
+        order = np.argsort(flat)
         ordered = flat[order]
         rank = np.empty(len(flat), np.int64)
         rank[order] = np.cumsum(np.concatenate([[1], (ordered[1:] != ordered[:-1]).astype(np.int64)]))
@@ -225,9 +272,14 @@ def first_owners(anchors: np.ndarray, rows: np.ndarray, lengths: np.ndarray, own
 def _ask(buckets: int):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         _, texts = exchange.in_order(rows)
-        each = [np.unique(segments_of(t)[0]) for t in texts]
-        prints, counts = np.unique(np.concatenate([*each, np.zeros(0, np.uint64)]), return_counts=True)
-        return exchange.questions(key[0].as_py(), prints, counts, buckets)
+        own = segments_of(texts)
+        order = np.lexsort((own.texts, own.anchors))
+        anchors, places = own.anchors[order], own.texts[order]
+        new = np.concatenate([[True], anchors[1:] != anchors[:-1]])[: len(anchors)]
+        once = new | np.concatenate([[True], places[1:] != places[:-1]])[: len(anchors)]
+        starts = np.flatnonzero(new)
+        counts = np.add.reduceat(once.astype(np.int64), starts) if len(starts) else starts
+        return exchange.questions(key[0].as_py(), anchors[starts], counts, buckets)
 
     return run
 
@@ -235,8 +287,8 @@ def _ask(buckets: int):
 def _send(buckets: int):
     def run(key: tuple, rows: pa.Table, told: pa.Table) -> pa.Table:
         ids, texts = exchange.in_order(rows)
-        found = [segments_of(t) for t in texts]
-        prints = np.unique(np.concatenate([*(a for a, _, _ in found), np.zeros(0, np.uint64)]))
+        found = segments_of(texts)
+        prints = np.unique(found.anchors)
         replies = dict(zip(told.column("bucket").to_pylist(), told.column("payload").to_pylist(), strict=True))
         codes = exchange.read_answers(prints, buckets, replies)
         chunk = Chunk(texts, prints[codes >= 2], buckets, found)
