@@ -65,7 +65,8 @@ def test_small_memory_gives_the_same(documents, monkeypatch):
 
     tokenizer = packing.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
     monkeypatch.setattr(packing, "CACHE_WORDS", 3)
-    texts = ["a b c d", "c d e f", "a b", "f g h i j", "a"]
+    monkeypatch.setattr(packing, "CACHE_LETTERS", 2)
+    texts = ["a b c d", "C d. e f", "a b", "f g h i j", "a", "É é, x", "a1 a"]
     assert [list(memoryview(x).cast("I")) for x in tokenizer.ids([t.encode() for t in texts])] == [
         whole(t) for t in texts
     ]

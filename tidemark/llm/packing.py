@@ -28,11 +28,13 @@ END_ID = 1
 #: A bin may stay empty by one part in so many before its pieces are cut.
 SLACK = 16
 #: Words whose ids a worker remembers; beyond that it starts anew. Only speed depends on it.
-CACHE_WORDS = 600_000
-CACHE_LETTERS = 1_000_000
+CACHE_WORDS = 500_000
+#: The same for the letters of words, of which two generations are kept.
+CACHE_LETTERS = 350_000
 _BATCH_BYTES = 8 << 20
 #: Letters that are one character each in any normal form, and marks that stand together as one token group.
 _PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?|#$%&*()\"-]*)")
+_MARKS = b'.,;:!?|#$%&*()"-'
 _PIECES = (
     "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 )
@@ -55,18 +57,26 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = frozenset(i for token, i in vocabulary.items() if token.endswith("</w>"))
         self.known: dict[bytes, bytes] = {}
-        self.letters: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {"": b""}
+        self.letters: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.marks: dict[bytes, bytes] = {b"": b""}
 
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _learn_letters(self, words: list[str]) -> None:
+    def _learn_letters(self, words: list[bytes]) -> None:
+        """Remember the ids of lower-case letters; those remembered before the last change of generations come back free."""
         if len(self.letters) + len(words) > CACHE_LETTERS:
-            self.letters.clear()
-        for i in range(0, len(words), 1024):
-            part = words[i : i + 1024]
-            ids = self._encode(" ".join(part))
+            self.older, self.letters = self.letters, {}
+        new = []
+        for word in words:
+            if ids := self.older.get(word):
+                self.letters[word] = ids
+            else:
+                new.append(word)
+        for i in range(0, len(new), 1024):
+            part = new[i : i + 1024]
+            ids = self._encode(b" ".join(part).decode())
             packed = _packed(ids)
             stops = [4 * n for n, token in enumerate(ids, 1) if token in self.ends]
             for word, start, stop in zip(part, [0, *stops], stops, strict=False):
@@ -78,25 +88,23 @@ class WordTokenizer:
             self.known.clear()
         plain = []
         for word in words:
-            text = word.decode()
-            if match := _PLAIN.fullmatch(text):
-                plain.append((word, match[1].lower(), match[2]))
+            letters = word.rstrip(_MARKS)
+            if letters.isalpha():  # ASCII
+                plain.append((word, letters.lower(), word[len(letters) :]))
+            elif match := _PLAIN.fullmatch(text := word.decode()):
+                plain.append((word, match[1].lower().encode(), match[2].encode()))
             else:
                 self.known[word] = _packed(self._encode(text))
-        new = {letters for _, letters, _ in plain}.difference(self.letters)
-        if len(self.letters) + len(new) > CACHE_LETTERS:  # they will be forgotten first
-            new = {letters for _, letters, _ in plain}
+        new = {letters for _, letters, _ in plain}
+        if len(self.letters) + len(new) <= CACHE_LETTERS:
+            new.difference_update(self.letters)
         self._learn_letters(list(new))
+        if len(self.marks) > CACHE_WORDS:
+            self.marks = {b"": b""}
         for word, letters, marks in plain:
             if marks not in self.marks:
-                self.marks[marks] = _packed(self._encode(marks))
+                self.marks[marks] = _packed(self._encode(marks.decode()))
             self.known[word] = self.letters[letters] + self.marks[marks]
-        if len(self.marks) > CACHE_WORDS:
-            self.marks = {"": b""}
-
-    def forget(self) -> None:
-        self.known.clear()
-        self.letters.clear()
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text, with the end id."""
@@ -195,6 +203,5 @@ def pack(
         while rows := list(islice(pieces, 2000)):
             columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
-        _tokenizer(path).forget()  # the process may go on with other work
 
     return docs.select(F.col(key).cast("bigint").alias("doc_id"), text_of(text).alias("text")).mapInArrow(run, _PIECES)
