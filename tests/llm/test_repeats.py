@@ -72,18 +72,21 @@ def test_hot_passage_in_small_chunks(documents, monkeypatch):
     assert found(without_repeats(documents(rows))) == brute(rows)
 
 
-def test_long_text_in_blocks(monkeypatch):
-    text = "".join(random.Random(1).choices("abcd ", k=5000)).encode() + b"z" * 500
-    whole = repeats.segments_of(text)
+def windows(segments):
+    parts = zip(segments.texts.tolist(), segments.starts.tolist(), segments.counts.tolist(), segments.anchors.tolist(), strict=True)
+    return [(text, start + i, anchor) for text, start, n, anchor in parts for i in range(n)]
+
+
+def test_texts_hash_alike_alone_together_and_in_blocks(monkeypatch):
+    rng = random.Random(1)
+    texts = ["".join(rng.choices("abcd ", k=rng.choice([0, 3, 49, 50, 51, 200, 5000]))).encode() + b"z" * rng.choice([0, 0, 500]) for _ in range(40)]
+    whole = repeats.segments_of(texts)
+    alone = [(i, p, a) for i, t in enumerate(texts) for _, p, a in windows(repeats.segments_of([t]))]
+    assert windows(whole) == alone
+    assert [(i, p) for i, p, _ in alone] == [(i, p) for i, t in enumerate(texts) for p in range(len(t) - LENGTH + 1)]
+    assert whole.counts.max() <= repeats.WINDOW
     monkeypatch.setattr(repeats, "_BLOCK", 700)
-    parts = repeats.segments_of(text)
-
-    def windows(segments):
-        return [(int(s) + i, int(a)) for a, s, n in zip(*segments, strict=True) for i in range(int(n))]
-
-    assert windows(whole) == windows(parts)
-    assert [p for p, _ in windows(whole)] == list(range(len(text) - LENGTH + 1))
-    assert max(whole[2]) <= repeats.WINDOW
+    assert windows(repeats.segments_of(texts)) == alone
 
 
 def test_index_equals_a_table_of_windows():

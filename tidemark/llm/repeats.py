@@ -31,7 +31,11 @@ WINDOW = LENGTH - ANCHOR + 1
 _WIDTH = LENGTH + WINDOW  # of a segment's row: its bytes, then nothing
 #: Bytes of segments that one index holds (more only if one anchor has more).
 INDEX_BYTES = 1 << 19
+#: Buckets here for one of the exchange's, as segments are larger than fingerprints.
+SPLIT = 4
 _BLOCK = 1 << 20
+#: Occurrences whose windows are compared at once.
+_SLICE = 1 << 15
 _BYTE = exchange.mixed_bits(np.arange(1, 257, dtype=np.uint64))
 _STEPS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _SEGMENTS = "bucket bigint, chunk bigint, anchors binary, owners binary, lengths binary, body binary"
@@ -123,7 +127,8 @@ def _block(data: bytes, begins: np.ndarray, sizes: np.ndarray, texts: np.ndarray
         nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         counts = np.minimum(np.repeat(counts, pieces) - nth * WINDOW, WINDOW)
         starts, place = np.repeat(starts, pieces) + nth * WINDOW, np.repeat(place, pieces)
-    return low[starts], texts[place], starts - begins[place] + offsets[place], counts
+    # Minima are small numbers; mixed again, anchors fill all buckets alike.
+    return exchange.mixed_bits(low[starts]), texts[place], starts - begins[place] + offsets[place], counts
 
 
 class Chunk:
@@ -361,8 +366,13 @@ def _cut(buckets: int):
                 at = np.repeat(np.arange(len(own)), total)
                 column = np.arange(len(value)) - np.repeat(np.cumsum(total) - total, total)
                 first[own[at], column] = value
-            hit, column = np.nonzero(first[chunk.content] < ids[chunk.docs][:, None])
-            place, start = chunk.docs[hit], chunk.starts[hit] + column
+            places, starts = [], []
+            for at in range(0, len(chunk.content), _SLICE):
+                own = slice(at, at + _SLICE)
+                hit, column = np.nonzero(first[chunk.content[own]] < ids[chunk.docs[own]][:, None])
+                places.append(chunk.docs[own][hit])
+                starts.append(chunk.starts[own][hit] + column)
+            place, start = np.concatenate(places), np.concatenate(starts)
             order = np.lexsort((start, place))
             place, start = place[order], start[order]
             if len(place):
@@ -390,6 +400,7 @@ def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     """
     total = docs.select(F.sum(F.octet_length(text_of(text))).alias("n")).first().n or 0
     chunks, buckets = exchange.pieces(total)
+    buckets *= SPLIT
     # One shuffle of the texts; the plan reads it three times.
     dealt = exchange.dealt(docs, chunks, text, key).groupBy("chunk")
     told = exchange.answered(dealt.applyInArrow(_ask(buckets), exchange.ASKED))
