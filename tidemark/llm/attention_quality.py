@@ -27,7 +27,7 @@ WIDTH = PAIRS + MEASURES
 SAMPLE_DOCS = 6000
 SAMPLE_PASSAGES = 48
 #: Bytes that are encoded at once; a longer text is cut at white space into blocks of this size.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 HIDDEN, ATTENTION, EPOCHS, BATCH, SEED = 24, 16, 30, 128, 7
 
 _SPACE = np.zeros(256, bool)
