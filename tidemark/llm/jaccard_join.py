@@ -321,7 +321,8 @@ def class_links(docs: DataFrame, classes: DataFrame, total_bytes: int, text: str
     cells = placed.withColumn("other", other).select(
         "block", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "part", "rep", "n", "tokens"
     )
-    return cells.groupBy("block", "x", "y").applyInArrow(_cell_links, "a bigint, b bigint")
+    # Dealt by cell: the rows still lie by block, which would put all cells of a block into one task.
+    return cells.repartition("block", "x", "y").groupBy("block", "x", "y").applyInArrow(_cell_links, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
