@@ -57,3 +57,14 @@ def test_clashing_columns_and_kept_rows(spark):
     assert [r.doc_id for r in keep_first(df).collect()] == [2, 1] or sorted(
         r.doc_id for r in keep_first(df).collect()
     ) == [1, 2]
+
+
+def test_one_row_of_each_text_stays(documents):
+    rows = [
+        (1, "a"), (1, "a"), (2, "a"), (None, "b"), (None, "b"), (None, "c"), (None, "a"), (3, "c"),
+        (1, "d"), (1, "e"), (0, "e"), (5, None), (5, ""), (None, None),
+    ]
+    got = sorted(((r.doc_id, r.text or "") for r in keep_first(documents(rows)).collect()), key=str)
+    assert got == sorted([(1, "a"), (None, "b"), (3, "c"), (1, "d"), (0, "e"), (5, "")], key=str)
+    many = [(None, "hot")] * 400 + [(7, "hotter")] * 400
+    assert sorted(r.text for r in keep_first(documents(many).repartition(5)).collect()) == ["hot", "hotter"]

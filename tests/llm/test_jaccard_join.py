@@ -124,3 +124,13 @@ def test_components_of_a_chain_and_a_hub(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
     assert got == {**dict.fromkeys(range(100, 161), 100), **dict.fromkeys([7, *range(1000, 1400)], 7)}
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_one_row_of_each_component_stays(documents):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [
+        (5, a), (5, a), (5, b + " end"), (7, a + " end"), (3, b), (None, a + " more"), (None, a), (None, "c d e f g h"), (None, "c d e f g h"),
+        (9, None), (9, None), (None, ""),
+    ]
+    got = sorted(((r.doc_id, r.text) for r in keep_one(documents(rows).coalesce(1)).collect()), key=str)
+    assert got == sorted([(5, a), (3, b), (None, a + " more"), (None, "c d e f g h"), (9, None), (9, None), (None, "")], key=str)

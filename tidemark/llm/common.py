@@ -24,6 +24,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm/{name}")
 
 
+def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The stored rows with a number each, in a new column of the returned name; what is stored keeps its numbers."""
+    row = "_row"
+    while row in df.columns:
+        row += "_"
+    return store(df.withColumn(row, F.monotonically_increasing_id()), name), row
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -14,30 +14,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, store, text_of
+from tidemark.llm.common import SPACES, numbered, store, text_of
 
 #: Characters of a text that take part in the range key.
 HEAD_CHARS = 32
-_RUNS = (
-    "doc_id bigint, text_sha256 string, head_id bigint, run_size bigint, run_first boolean, edge boolean"
-)
+_RUNS = "doc_id {0}, text_sha256 string, head_id {0}, run_size bigint, run_first boolean, edge boolean"
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in sort order to rows with the first id and the size of their run of equal texts in this partition."""
-    schema = pa.schema(
-        [
-            ("doc_id", pa.int64()),
-            ("text_sha256", pa.string()),
-            ("head_id", pa.int64()),
-            ("run_size", pa.int64()),
-            ("run_first", pa.bool_()),
-            ("edge", pa.bool_()),
-        ]
-    )
+    names = ["doc_id", "text_sha256", "head_id", "run_size", "run_first", "edge"]
     held: list[tuple[pa.Array, pa.Array]] = []  # ids and digests of the run that is still open
     before = None
     first = True
@@ -56,7 +45,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(firsts),
                 pa.array(np.repeat(edge, sizes)),
             ],
-            schema=schema,
+            names=names,
         )
 
     def close(edge: bool) -> pa.RecordBatch:
@@ -99,13 +88,18 @@ def duplicate_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -
     and empty texts are one group. Of equal texts the row with the smallest id stays; a null id counts as the largest.
     Of repeated rows with that same id one stays. An empty table gives no rows; other columns are not read.
     """
+    return _groups(docs, text, F.col(key).cast("bigint"), "bigint")
+
+
+def _groups(docs: DataFrame, text: str, rank: Column, kind: str) -> DataFrame:
+    """``duplicate_groups`` with ``rank``, of this type, for the id: of equal texts the row with the smallest stays."""
     body = F.regexp_replace(text_of(text), SPACES, " ")
-    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), body.alias("body")).select(
+    rows = docs.select(rank.alias("doc_id"), body.alias("body")).select(
         "doc_id", F.sha2("body", 256).alias("text_sha256"), "body", F.left("body", F.lit(HEAD_CHARS)).alias("head")
     )
     order = [F.col("head"), F.col("text_sha256"), F.col("doc_id").asc_nulls_last()]
     runs = store(
-        rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("head").mapInArrow(_neighbours, _RUNS),
+        rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("head").mapInArrow(_neighbours, _RUNS.format(kind)),
         "content-sort",
     )
     # At most two edge runs per partition, so this side has a fixed number of small rows.
@@ -126,6 +120,9 @@ def duplicate_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -
 
 
 def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. Needs distinct ids where texts are equal."""
-    kept = duplicate_groups(docs, text, key).filter("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, docs[key].eqNullSafe(F.col("_kept")), "left_semi")
+    """The rows of ``docs`` that stay, one of each group of equal texts, with all their columns."""
+    rows, row = numbered(docs, "exact-rows")
+    doc_id = F.col(key).cast("bigint")
+    rank = F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("id"), F.col(row).alias("row"))
+    gone = _groups(rows, text, rank, "struct<no_id: boolean, id: bigint, row: bigint>").filter("not kept")
+    return rows.join(gone.select(F.col("doc_id.row").alias(row)), row, "left_anti").select(*docs.columns)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import exchange
-from tidemark.llm.common import batches_of, store, text_of, utf8
+from tidemark.llm.common import batches_of, numbered, store, text_of, utf8
 from tidemark.llm.components import components
 
 WORDS = 5
@@ -349,6 +349,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that stand for their component or have no id, with all their columns."""
-    others = near_duplicates(docs, text, key).filter("component_id != doc_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(others, docs[key] == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` that stand for their component, with all their columns.
+
+    Every row is a document of its own here, whatever its id: of a component the row with the smallest id stays and, of
+    its rows without an id, the first. Rows whose texts have no words stay.
+    """
+    rows, row = numbered(docs, "near-rows")
+    near = near_duplicates(rows, text, row).filter("n_shingles > 0").select(F.col("doc_id").alias("row"), "component_id")
+    ids = rows.select(F.col(row).alias("row"), F.col(key).cast("bigint").alias("id"))
+    placed = store(near.join(ids, "row").select("row", "id", "component_id", F.isnull("id").alias("no_id")), "placed")
+    several = placed.groupBy("component_id", "no_id").agg(F.min(F.struct("id", "row")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    gone = placed.join(several, ["component_id", "no_id"]).filter("row != first.row").select(F.col("row").alias(row))
+    return rows.join(gone, row, "left_anti").select(*docs.columns)
