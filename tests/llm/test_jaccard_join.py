@@ -119,6 +119,21 @@ def test_long_words_and_blocks(monkeypatch):
     assert np.array_equal(shingles(text), whole)
 
 
+def test_words_behind_a_word_longer_than_a_block(monkeypatch):
+    words = " ".join(f"word{i % 997}" for i in range(3000))
+    long_word = "q" * (5 << 19)
+    with_word, without = shingles(f"{long_word} {words}".encode()), shingles(words.encode())
+    assert len(np.setdiff1d(without, with_word)) == 0 and len(with_word) == len(without) + 1
+    moved = shingles(f"{words}\n\n{long_word}".encode())
+    assert len(np.setdiff1d(without, moved)) == 0 and len(moved) == len(without) + 1
+    texts = [f"{long_word} a\t{long_word}x {words} {long_word}".encode(), f" {long_word}".encode(), long_word.encode() + b"\x0b"]
+    cut = [shingles(t) for t in texts]
+    monkeypatch.setattr(jaccard_join, "_BLOCK_BYTES", 1 << 20 | 4000)
+    assert all(np.array_equal(shingles(t), c) for t, c in zip(texts, cut, strict=True))
+    monkeypatch.setattr(jaccard_join, "_BLOCK_BYTES", 3)
+    assert np.array_equal(shingles(b" abcdef abc\nabcdefghi  x"), np.unique(jaccard_join._windows(jaccard_join._hash_block(b"abcdef abc abcdefghi x"), 4)))
+
+
 def test_components_of_a_chain_and_a_hub(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(1000, 1400)] + [(5, 5)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}

@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,7 @@ PART_SETS, PART_TOKENS = 500, 1_000_000
 _BLOCK_BYTES = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_GAP = re.compile(rb"[\t-\r ]")
 _ROOT = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_ROOT), -1, 1 << 64))
 _BYTE = exchange.mixed_bits(np.arange(1, 257, dtype=np.uint64))
@@ -48,16 +50,27 @@ def _word_hashes(text: bytes) -> np.ndarray:
         stop = min(len(text), at + _BLOCK_BYTES)
         if stop < len(text):
             cut = max(text.rfind(s, at, stop) for s in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
-            if cut <= at:  # one word longer than a block
-                words = [hashlib.blake2b(w, digest_size=8).digest() for w in text[at:].split()]
-                found.append(np.frombuffer(b"".join(words), np.uint64))
-                break
+            if cut < at:  # one word longer than a block
+                gap = _GAP.search(text, stop)
+                end = gap.start() if gap else len(text)
+                found.append(_hash_word(text, at, end))
+                at = end
+                continue
             stop = cut + 1
         found.append(_hash_block(text[at:stop]))
         at = stop
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
+def _hash_word(text: bytes, at: int, end: int) -> np.ndarray:
+    """The hash that ``_hash_block`` gives a word, summed over blocks of it."""
+    total = 0
+    for a in range(at, end, _BLOCK_BYTES):
+        data = np.frombuffer(text, np.uint8, min(_BLOCK_BYTES, end - a), a)
+        total += int((_BYTE[data] * _POWERS[: len(data)]).sum()) * pow(int(_ROOT), a - at, 1 << 64)
+    return exchange.mixed_bits(np.array([(total + end - at) % (1 << 64)], np.uint64))
+
+
 def _hash_block(text: bytes, places: bool = False) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(text, np.uint8)
     space = np.concatenate([[True], _SPACE[data], [True]])
