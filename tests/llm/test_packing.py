@@ -64,12 +64,19 @@ def test_small_memory_gives_the_same(documents, monkeypatch):
     from tidemark.llm import packing
 
     tokenizer = packing.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
-    monkeypatch.setattr(packing, "CACHE_WORDS", 3)
-    monkeypatch.setattr(packing, "CACHE_LETTERS", 2)
+    monkeypatch.setattr(packing, "CACHE_BYTES", 3)
     texts = ["a b c d", "C d. e f", "a b", "f g h i j", "a", "É é, x", "a1 a"]
     assert [list(memoryview(x).cast("I")) for x in tokenizer.ids([t.encode() for t in texts])] == [
         whole(t) for t in texts
     ]
+    assert [list(memoryview(next(tokenizer.ids([t.encode()]))).cast("I")) for t in texts] == [whole(t) for t in texts]
+    tokenizer.forget()
+    assert not tokenizer.known and not tokenizer.held
+
+
+def test_capitals_before_combining_marks(documents):
+    rows = list(enumerate(["H\u0331A b", "W\u030aX", "I\u0307S", "K\u0338 \u212a", "A\u0308C HELLO", "\u0130 \u1e9e STRASSE"]))
+    check(rows, pack(documents(rows)).collect())
 
 
 @pytest.mark.parametrize("length", [1, 2, 341, 1023, 1024, 1025, 1300, 2047, 2048, 2049, 5000])

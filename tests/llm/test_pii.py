@@ -46,6 +46,10 @@ def test_base_spans_of_random_texts():
         assert base_spans(text) == brute(text), text
 
 
+def test_long_runs_of_zeros():
+    assert base_spans("0" * 5000 + ".1.1.1 " + "0" * 9000 + "9.0.0.256") == [(0, 1, 5006)]
+
+
 def test_long_runs_take_linear_time():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "+1" + "(" * 300_000, "a@" * 150_000):
         base_spans(text)

@@ -1,4 +1,4 @@
-"""Every registered query of the operators that has SQL, on whole tables."""
+"""Every registered text query that has SQL, on whole tables."""
 
 import pytest
 

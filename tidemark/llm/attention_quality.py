@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import batches_of, text_of, utf8
+from tidemark.llm.common import batches_of, settled, text_of, utf8
 
 PASSAGE_WORDS = 64
 PAIRS = 256
@@ -291,4 +291,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", key: str =
             kept = batch.column(0).filter(pa.array(good))
             yield pa.RecordBatch.from_arrays([kept], names=["row"])
 
-    return rows.mapInArrow(run, StructType([rows.schema["row"]])).select("row.*")
+    return rows.mapInArrow(settled(run), StructType([rows.schema["row"]])).select("row.*")

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, numbered, store, text_of
+from tidemark.llm.common import SPACES, numbered, settled, store, text_of
 
 #: Characters of a text that take part in the range key.
 HEAD_CHARS = 32
@@ -99,7 +99,7 @@ def _groups(docs: DataFrame, text: str, rank: Column, kind: str) -> DataFrame:
     )
     order = [F.col("head"), F.col("text_sha256"), F.col("doc_id").asc_nulls_last()]
     runs = store(
-        rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("head").mapInArrow(_neighbours, _RUNS.format(kind)),
+        rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("head").mapInArrow(settled(_neighbours), _RUNS.format(kind)),
         "content-sort",
     )
     # At most two edge runs per partition, so this side has a fixed number of small rows.

@@ -15,22 +15,23 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches_of, text_of, utf8
+from tidemark.llm.common import batches_of, settled, text_of, utf8
 
 CAPACITY = 2048
 END_ID = 1
 #: A bin may stay empty by one part in so many before its pieces are cut.
 SLACK = 16
-#: Words whose ids a worker remembers; beyond that it starts anew. Only speed depends on it.
-CACHE_WORDS = 500_000
-#: The same for the letters of words, of which two generations are kept.
-CACHE_LETTERS = 350_000
+#: Bytes of words and ids that a worker remembers within a task; beyond that it starts anew. Only speed depends on it.
+CACHE_BYTES = 96 << 20
+#: What Python needs for an entry besides its characters.
+_ENTRY = 176
 _BATCH_BYTES = 8 << 20
 #: Letters that are one character each in any normal form, and marks that stand together as one token group.
 _PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?|#$%&*()\"-]*)")
@@ -41,12 +42,12 @@ _PIECES = (
 
 
 class WordTokenizer:
-    """Ids of whole texts through a memory of words.
+    """Ids of whole texts through a memory of words, bounded in bytes.
 
     The tokenizer splits at white space before anything else can join, so the ids of a text are those of its words in
-    a row. A word of Latin letters and marks splits again between the two, and upper case does not matter, so most new
-    words need only the ids of their letters; those are encoded many at a time and parted after each token that ends a
-    word. Other words are encoded one by one.
+    a row. ASCII capitals do not matter, except before a combining mark: only small letters join with some of them. A word
+    of Latin letters and marks splits again between the two, so most new words need only the ids of their letters; those
+    are encoded many at a time and parted after each token that ends a word. Other words are encoded one by one.
     """
 
     def __init__(self, path: str):
@@ -55,69 +56,58 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
-        self.ends = frozenset(i for token, i in vocabulary.items() if token.endswith("</w>"))
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
-        self.letters: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.marks: dict[bytes, bytes] = {b"": b""}
+        self.held = 0
+
+    def forget(self) -> None:
+        self.known = {}
+        self.held = 0
 
     def _encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _remember(self, words: list[bytes], ids: list[bytes]) -> None:
+        self.known.update(zip(words, ids, strict=True))
+        self.held += _ENTRY * len(words) + sum(map(len, words)) + sum(map(len, ids))
 
     def _learn_letters(self, words: list[bytes]) -> None:
-        """Remember the ids of lower-case letters; those remembered before the last change of generations come back free."""
-        if len(self.letters) + len(words) > CACHE_LETTERS:
-            self.older, self.letters = self.letters, {}
-        new = []
+        for i in range(0, len(words), 1024):
+            part = words[i : i + 1024]
+            ids = np.array(self._encode(b" ".join(part).decode()), "<u4")
+            stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            packed = ids.tobytes()
+            self._remember(part, [packed[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)])
+
+    def learn(self, words: list[bytes]) -> None:
+        """Remember the ids of new words: letters first, then what is made of them."""
+        plain, marked, other = [], [], []
         for word in words:
-            if ids := self.older.get(word):
-                self.letters[word] = ids
-            else:
-                new.append(word)
-        for i in range(0, len(new), 1024):
-            part = new[i : i + 1024]
-            ids = self._encode(b" ".join(part).decode())
-            packed = _packed(ids)
-            stops = [4 * n for n, token in enumerate(ids, 1) if token in self.ends]
-            for word, start, stop in zip(part, [0, *stops], stops, strict=False):
-                self.letters[word] = packed[start:stop]
-
-    def learn(self, words: set[bytes]) -> None:
-        """Remember the ids of new words."""
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known.clear()
-        plain = []
-        for word in words:
-            letters = word.rstrip(_MARKS)
-            if letters.isalpha():  # ASCII
-                plain.append((word, letters.lower(), word[len(letters) :]))
+            if word.isalpha():  # ASCII
+                plain.append(word)
+            elif (letters := word.rstrip(_MARKS)).isalpha():
+                marked.append((word, letters, word[len(letters) :]))
             elif match := _PLAIN.fullmatch(text := word.decode()):
-                plain.append((word, match[1].lower().encode(), match[2].encode()))
+                marked.append((word, match[1].lower().encode(), match[2].encode()))
             else:
-                self.known[word] = _packed(self._encode(text))
-        new = {letters for _, letters, _ in plain}
-        if len(self.letters) + len(new) <= CACHE_LETTERS:
-            new.difference_update(self.letters)
-        self._learn_letters(list(new))
-        if len(self.marks) > CACHE_WORDS:
-            self.marks = {b"": b""}
-        for word, letters, marks in plain:
-            if marks not in self.marks:
-                self.marks[marks] = _packed(self._encode(marks.decode()))
-            self.known[word] = self.letters[letters] + self.marks[marks]
+                other.append(word)
+        self._learn_letters(list({*plain, *(letters for _, letters, _ in marked)}.difference(self.known)))
+        self._remember(other, [_packed(self._encode(word.decode())) for word in other])
+        marks = {tail: _packed(self._encode(tail.decode())) if tail else b"" for tail in {tail for _, _, tail in marked}}
+        self._remember([word for word, _, _ in marked], [self.known[letters] + marks[tail] for _, letters, tail in marked])
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text, with the end id."""
-        rows = [text.split() for text in texts]
-        found = [list(map(self.known.get, row)) for row in rows]
-        new = {w for row, ids in zip(rows, found, strict=True) if None in ids for w, i in zip(row, ids, strict=True) if i is None}
+        rows = [(text if b"\xcc" in text or b"\xcd" in text else text.lower()).split() for text in texts]
+        if self.held > CACHE_BYTES:
+            self.forget()
+        new = set().union(*rows).difference(self.known)
         if new:
-            self.learn(new)
-        end = _packed([END_ID])
-        for row, ids in zip(rows, found, strict=True):
-            if None in ids:
-                ids = [self.known[w] if i is None else i for w, i in zip(row, ids, strict=True)]
-            yield b"".join(ids) + end
+            self.learn(list(new))
+        end, known = _packed([END_ID]), self.known
+        for row in rows:
+            yield b"".join(map(known.__getitem__, row)) + end
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -200,8 +190,11 @@ def pack(
                 yield from zip(ids, _tokenizer(path).ids(utf8(batch.column(1))), strict=True)
 
         pieces = pack_partition(documents(), TaskContext.get().partitionId(), capacity)
-        while rows := list(islice(pieces, 2000)):
-            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), text_of(text).alias("text")).mapInArrow(run, _PIECES)
+        try:
+            while rows := list(islice(pieces, 2000)):
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        finally:
+            _tokenizer(path).forget()
+
+    return docs.select(F.col(key).cast("bigint").alias("doc_id"), text_of(text).alias("text")).mapInArrow(settled(run), _PIECES)

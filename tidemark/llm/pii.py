@@ -73,7 +73,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     if not _ANY.search(text):
         return []
     spans = [(a, 0, b) for a, b in _emails(text)]
-    spans += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    spans += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split("."))]
     for m in _CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
         if 14 <= len(digits) <= 19 and _luhn(digits):
