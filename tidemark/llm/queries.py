@@ -8,7 +8,19 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import attention_quality, chat, exact_dedup, jaccard_join, licenses, mixing, packing, pii, quality_rules, repeats
+from tidemark.llm import (
+    attention_quality,
+    chat,
+    exact_dedup,
+    importance,
+    jaccard_join,
+    licenses,
+    mixing,
+    packing,
+    pii,
+    quality_rules,
+    repeats,
+)
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +101,11 @@ def op10_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_prefix_crc_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    found = importance.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -102,6 +119,7 @@ QUERIES: dict[str, Query] = {
         op8_license_rules,
         op9_chat_formatting,
         op10_harmonic_packing,
+        op13_prefix_crc_resampling,
     )
 }
 
