@@ -125,4 +125,5 @@ def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     doc_id = F.col(key).cast("bigint")
     rank = F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("id"), F.col(row).alias("row"))
     gone = _groups(rows, text, rank, "struct<no_id: boolean, id: bigint, row: bigint>").filter("not kept")
-    return rows.join(gone.select(F.col("doc_id.row").alias(row)), row, "left_anti").select(*docs.columns)
+    # Stored, its size is known before the join is planned: the texts are shuffled only if it is large.
+    return rows.join(store(gone.select(F.col("doc_id.row").alias(row)), "gone"), row, "left_anti").select(*docs.columns)

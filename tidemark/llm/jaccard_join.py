@@ -373,4 +373,5 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     placed = store(near.join(ids, "row").select("row", "id", "component_id", F.isnull("id").alias("no_id")), "placed")
     several = placed.groupBy("component_id", "no_id").agg(F.min(F.struct("id", "row")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     gone = placed.join(several, ["component_id", "no_id"]).filter("row != first.row").select(F.col("row").alias(row))
-    return rows.join(gone, row, "left_anti").select(*docs.columns)
+    # Stored, its size is known before the join is planned: the texts are shuffled only if it is large.
+    return rows.join(store(gone, "gone"), row, "left_anti").select(*docs.columns)

@@ -20,6 +20,7 @@ from tidemark.llm import (
     pii,
     quality_rules,
     repeats,
+    toxicity,
 )
 from tidemark.llm.common import table
 
@@ -101,6 +102,18 @@ def op10_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_subword_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scores = toxicity.scored(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+    return scores.select("doc_id", attention_quality.held_out().alias("held_out"), "score", "predicted")
+
+
+def op11_subword_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scores = toxicity.scored(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+    return scores.select("doc_id", attention_quality.held_out().alias("held_out"), "score", "predicted")
+
+
 def op13_prefix_crc_resampling(spark: SparkSession, folder: str) -> DataFrame:
     found = importance.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
@@ -119,6 +132,8 @@ QUERIES: dict[str, Query] = {
         op8_license_rules,
         op9_chat_formatting,
         op10_harmonic_packing,
+        op11_subword_toxicity,
+        op11_subword_toxicity,
         op13_prefix_crc_resampling,
     )
 }
