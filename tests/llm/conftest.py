@@ -20,7 +20,7 @@ def sql_rows():
 
     def run(sql, folder=FOLDER, **frames):
         con = duckdb.connect()
-        for name in ("documents", "labels", "conversations", "benchmark"):
+        for name in ("documents", "labels", "conversations", "benchmark", "embeddings"):
             if name not in frames:
                 con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
         for name, rows in frames.items():

@@ -12,6 +12,7 @@ from tidemark.llm import (
     attention_quality,
     chat,
     exact_dedup,
+    hard_negatives,
     importance,
     jaccard_join,
     licenses,
@@ -114,6 +115,10 @@ def op11_subword_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scores.select("doc_id", attention_quality.held_out().alias("held_out"), "score", "predicted")
 
 
+def op12_zone_map_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mined(table(spark, folder, "embeddings"))
+
+
 def op13_prefix_crc_resampling(spark: SparkSession, folder: str) -> DataFrame:
     found = importance.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
@@ -134,6 +139,7 @@ QUERIES: dict[str, Query] = {
         op10_harmonic_packing,
         op11_subword_toxicity,
         op11_subword_toxicity,
+        op12_zone_map_negatives,
         op13_prefix_crc_resampling,
     )
 }
