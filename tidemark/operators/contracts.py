@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import count_where, exact_sum
-from tidemark.operators.joins import key_census, missing_keys, orphan_rows, surplus_of
+from tidemark.operators.census import Census, Source, Use
 
 
 def days_since_epoch(day: Column) -> Column:
@@ -305,83 +305,81 @@ def command_center_contract(center: DataFrame, registry: DataFrame) -> DataFrame
 def source_assertions(t: dict[str, DataFrame]) -> DataFrame:
     """Rules that hold between the raw tables: keys, references, ranges, dates, funnel, disjoint sets.
 
-    ``t`` maps the table names of the domain to frames.
+    ``t`` maps the table names of the domain to frames. All but the signup rule come from one tagged census, which reads
+    every table once; that rule compares each order with its customer and needs a join.
     """
-
-    def orphans(child: str, column: str, parent: str, parent_column: str) -> DataFrame:
-        lost = missing_keys(t[child], column, t[parent], parent_column)
-        return observed(lost, {f"{child}.{column}": F.coalesce(F.sum("child_rows"), F.lit(0))})
-
-    def bad(table: str, rules: dict[str, Column]) -> DataFrame:
-        return observed(t[table], {f"{table}.{name}": count_where(rule) for name, rule in rules.items()})
-
-    # Keys that several tables share are counted in one grouping each.
-    linked = t["app_events"].where(F.col("order_id").isNotNull())
-    order_sides = {n: t[n] for n in ("orders", "order_items", "payments", "shipments", "support_cases")} | {"app_events": linked}
-    by_order = key_census({name: (df, "order_id") for name, df in order_sides.items()})
-    scans = t["tracking_events"].where(F.col("event_type") == "ORIGIN_SCAN")
-    unscanned = t["shipments"].where(F.col("no_scan_flag") == 1)
-    shipment_sides = {n: t[n] for n in ("shipments", "tracking_events", "support_cases")}
-    by_shipment = key_census(
-        {name: (df, "shipment_id") for name, df in {**shipment_sides, "scans": scans, "unscanned": unscanned}.items()}
-    )
-    signups = t["customers"].select("customer_id", "signup_date")
-    early = t["orders"].join(signups, "customer_id", "left").where(
-        F.to_date("order_ts") < F.col("signup_date")
-    )
-    keys = {
-        "order_items": "order_item_id", "payments": "payment_id", "tracking_events": "event_id",
-        "support_cases": "case_id", "app_events": "event_id",
+    checks = {
+        "orders": {"order_total_eur >= 0": F.col("order_total_eur") < 0},
+        "order_items": {"net_value_eur >= 0": F.col("net_value_eur") < 0},
+        "shipments": {
+            "actual_transit_hours > 0": F.col("actual_transit_hours") <= 0,
+            "distance_km > 0": F.col("distance_km") <= 0,
+            "delivered has delivery_ts": (F.col("lost_flag") == 0) & F.col("delivery_ts").isNull(),
+            "lost has no delivery_ts": (F.col("lost_flag") == 1) & F.col("delivery_ts").isNotNull(),
+        },
+        "support_cases": {
+            "first_response_ts >= created_ts": F.col("first_response_ts") < F.col("created_ts"),
+            "resolved_ts >= first_response_ts": F.col("resolved_ts") < F.col("first_response_ts"),
+            "first_response_minutes > 0": F.col("first_response_minutes") <= 0,
+            "resolution_hours > 0": F.col("resolution_hours") <= 0,
+            "csat_score 1..5": ~F.col("csat_score").between(1, 5),
+        },
+    }
+    uses = {
+        "customers": [Use("customer", "customers", "customer_id")],
+        "orders": [Use("order", "orders", "order_id"), Use("customer", "orders", "customer_id")],
+        "order_items": [Use("item", "order_items", "order_item_id"), Use("order", "order_items", "order_id")],
+        "payments": [Use("payment", "payments", "payment_id"), Use("order", "payments", "order_id")],
+        "warehouses": [Use("hub", "warehouses", "warehouse_id")],
+        "carriers": [Use("carrier", "carriers", "carrier_id")],
+        "shipments": [
+            Use("shipment", "shipments", "shipment_id"),
+            Use("shipment", "unscanned", "shipment_id", F.col("no_scan_flag") == 1),
+            Use("order", "shipments", "order_id"),
+            Use("hub", "origins", "origin_warehouse_id"),
+            Use("hub", "destinations", "destination_warehouse_id"),
+            Use("carrier", "shipments", "carrier_id"),
+        ],
+        "tracking_events": [
+            Use("tracking", "tracking_events", "event_id"),
+            Use("shipment", "tracking_events", "shipment_id"),
+            Use("shipment", "scans", "shipment_id", F.col("event_type") == "ORIGIN_SCAN"),
+        ],
+        "support_cases": [
+            Use("case", "support_cases", "case_id"),
+            Use("order", "support_cases", "order_id"),
+            Use("shipment", "support_cases", "shipment_id"),
+        ],
+        "app_events": [
+            Use("event", "app_events", "event_id"),
+            Use("order", "app_events", "order_id", F.col("order_id").isNotNull()),
+        ],
+    }
+    found = Census([
+        Source(t[name], uses[name], {f"{name}.{rule}": broken for rule, broken in checks.get(name, {}).items()}) for name in uses
+    ])
+    unique = {
+        "orders.order_id": "order", "order_items.order_item_id": "item", "payments.payment_id": "payment",
+        "shipments.shipment_id": "shipment", "tracking_events.event_id": "tracking", "support_cases.case_id": "case",
+        "app_events.event_id": "event",
     }
-    n = F.count(F.lit(1))
-    sides = [surplus_rows(t[table], key, f"{table}.{key}.unique") for table, key in keys.items()]
-    sides += [
-        observed(
-            by_order,
-            {
-                "orders.order_id.unique": surplus_of("orders"),
-                **{f"{c}.order_id": orphan_rows(c, "orders") for c in order_sides if c != "orders"},
-                "app_events five per linked order": count_where((F.col("app_events") > 0) & (F.col("app_events") != 5)),
-            },
-        ),
-        observed(
-            by_shipment,
-            {
-                "shipments.shipment_id.unique": surplus_of("shipments"),
-                **{f"{c}.shipment_id": orphan_rows(c, "shipments") for c in ("tracking_events", "support_cases")},
-                "no-scan shipments have no origin scan": count_where((F.col("unscanned") > 0) & (F.col("scans") > 0)),
-            },
-        ),
-        orphans("orders", "customer_id", "customers", "customer_id"),
-        orphans("shipments", "origin_warehouse_id", "warehouses", "warehouse_id"),
-        orphans("shipments", "destination_warehouse_id", "warehouses", "warehouse_id"),
-        orphans("shipments", "carrier_id", "carriers", "carrier_id"),
-        bad("orders", {"order_total_eur >= 0": F.col("order_total_eur") < 0}),
-        bad("order_items", {"net_value_eur >= 0": F.col("net_value_eur") < 0}),
-        bad(
-            "shipments",
-            {
-                "actual_transit_hours > 0": F.col("actual_transit_hours") <= 0,
-                "distance_km > 0": F.col("distance_km") <= 0,
-                "delivered has delivery_ts": (F.col("lost_flag") == 0) & F.col("delivery_ts").isNull(),
-                "lost has no delivery_ts": (F.col("lost_flag") == 1) & F.col("delivery_ts").isNotNull(),
-            },
-        ),
-        bad(
-            "support_cases",
-            {
-                "first_response_ts >= created_ts": F.col("first_response_ts") < F.col("created_ts"),
-                "resolved_ts >= first_response_ts": F.col("resolved_ts") < F.col("first_response_ts"),
-                "first_response_minutes > 0": F.col("first_response_minutes") <= 0,
-                "resolution_hours > 0": F.col("resolution_hours") <= 0,
-                "csat_score 1..5": ~F.col("csat_score").between(1, 5),
-            },
-        ),
-        observed(early, {"orders.order_ts >= signup_date": n}),
-    ]
-    found = reduce(lambda a, b: a.unionByName(b), sides)
-    return found.select(
-        F.col("check_name").alias("assertion"),
-        F.col("value").cast("bigint").alias("failing_rows"),
-        F.when(F.col("value") == 0, "PASS").otherwise("FAIL").alias("status"),
-    )
+    known = {
+        "orders.customer_id": ("customer", "orders", "customers"),
+        **{f"{child}.order_id": ("order", child, "orders") for child in ("order_items", "payments", "shipments", "support_cases", "app_events")},
+        "shipments.origin_warehouse_id": ("hub", "origins", "warehouses"),
+        "shipments.destination_warehouse_id": ("hub", "destinations", "warehouses"),
+        "shipments.carrier_id": ("carrier", "shipments", "carriers"),
+        **{f"{child}.shipment_id": ("shipment", child, "shipments") for child in ("tracking_events", "support_cases")},
+    }
+    linked, scans, unscanned = (found.count(*x) for x in (("order", "app_events"), ("shipment", "scans"), ("shipment", "unscanned")))
+    wanted = {f"{column}.unique": found.surplus(kind, column.split(".")[0]) for column, kind in unique.items()}
+    wanted |= {column: found.orphans(*sides) for column, sides in known.items()}
+    wanted |= {f"{name}.{rule}": found.broken(f"{name}.{rule}") for name, rules in checks.items() for rule in rules}
+    wanted["app_events five per linked order"] = found.keys_where("order", (linked > 0) & (linked != 5))
+    wanted["no-scan shipments have no origin scan"] = found.keys_where("shipment", (unscanned > 0) & (scans > 0))
+    rows = found.rows(wanted, lambda name, value: F.struct(F.lit(name).alias("assertion"), value.alias("failing_rows")))
+    signups = t["customers"].select("customer_id", "signup_date")
+    early = t["orders"].select("customer_id", F.to_date("order_ts").alias("day")).join(signups, "customer_id")
+    early = early.agg(count_where(F.col("day") < F.col("signup_date")).cast("bigint").alias("failing_rows"))
+    rows = rows.unionByName(early.select(F.lit("orders.order_ts >= signup_date").alias("assertion"), "failing_rows"))
+    return rows.withColumn("status", F.when(F.col("failing_rows") == 0, "PASS").otherwise("FAIL"))

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions.banding import lookup
 from tidemark.functions.calendar import wall_micros
 from tidemark.functions.numeric import count_where, round_to, safe_ratio
+from tidemark.operators.census import Census, Source, Use
 from tidemark.operators.joins import key_census, missing_keys, missing_names, one_row_per_key, orphan_rows
 
 CONTROL_SCHEMA = T.StructType(
@@ -70,6 +71,24 @@ class Control:
         return one_row.select(F.inline(F.array(self.column(F.coalesce(issues, F.lit(0))))))
 
 
+_TERMINAL = Control(
+    "SHIPMENT_TERMINAL_EVENT_RECON",
+    "logistics",
+    "Cross-System Reconciliation",
+    "Critical",
+    "Delivered/Lost shipment state must match terminal tracking event.",
+)
+_CHRONOLOGY = {"support_cases": "SUPPORT_CHRONOLOGY"}
+
+
+def _late(steps: list[str]) -> Column:
+    """Whether a later step is dated before the one it follows; a NULL date passes."""
+    return reduce(
+        lambda a, b: a | b,
+        [F.coalesce(F.col(after) < F.col(before), F.lit(False)) for before, after in zip(steps, steps[1:])],
+    )
+
+
 def union_controls(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
@@ -174,30 +193,81 @@ def last_terminal_event(tracking: DataFrame, terminal: tuple[str, ...] = ("DELIV
     Time, sequence and type are packed into one decimal: its maximum is a plain hash aggregate, where
     ``max_by`` over a struct would sort all events.
     """
+    latest = tracking.groupBy("shipment_id").agg(F.max(packed_terminal(terminal)).alias("_last")).where(F.col("_last").isNotNull())
+    chosen = F.element_at(F.array(*[F.lit(t) for t in terminal]), (F.col("_last") % 10).cast("int"))
+    return latest.select("shipment_id", chosen.alias("terminal_event"))
+
+
+def packed_terminal(terminal: tuple[str, ...] = ("DELIVERED", "LOST")) -> Column:
+    """Time, sequence and type of a terminal event in one decimal: the greatest is the last one. NULL for other events."""
     code = F.array_position(F.array(*[F.lit(t) for t in terminal]), F.col("event_type"))
     moment = wall_micros("event_ts").cast("decimal(20,0)")
     packed = moment * F.lit(10**15).cast("decimal(16,0)") + F.col("event_sequence") * 10 + code
-    latest = tracking.where(F.col("event_type").isin(*terminal)).groupBy("shipment_id").agg(
-        F.max(packed.cast("decimal(38,0)")).alias("_last")
-    )
-    chosen = F.element_at(F.array(*[F.lit(t) for t in terminal]), (F.col("_last") % 10).cast("int"))
-    return latest.select("shipment_id", chosen.alias("terminal_event"))
+    return F.when(F.col("event_type").isin(*terminal), packed.cast("decimal(38,0)"))
+
+
+@dataclass(frozen=True)
+class Reference:
+    """A child table's column that must be a key of a parent table; rows outside ``when`` are not linked."""
+
+    child: str
+    parent: str
+    column: str
+    when: Column | None = None
+
+
+def census_controls(
+    tables: dict[str, tuple[DataFrame, TableRules]], references: list[Reference], steps: dict[str, list[str]] | None = None
+) -> DataFrame:
+    """Schema, uniqueness, critical-NULL, reference, terminal-state and chronology controls of many tables.
+
+    One tagged census answers all of them, with each table read once. Tables have single-column keys. With both
+    ``shipments`` and ``tracking_events`` there is the terminal control; ``steps`` names the ordered dates of a table.
+    """
+    sources, controls = [], []
+    terminal = {"shipments", "tracking_events"} <= set(tables)
+    for name, (df, rules) in tables.items():
+        (key,) = rules.key
+        uses = [Use(name, name, key)] if key in df.columns else []
+        uses += [Use(r.parent, name, r.column, r.when, packed_terminal() if terminal and (r.parent, name) == ("shipments", "tracking_events") else None) for r in references if r.child == name]
+        if terminal and name == "shipments":
+            uses += [Use(name, "to_deliver", key, F.col("lost_flag") == 0), Use(name, "to_lose", key, F.col("lost_flag") == 1)]
+        critical = [F.col(c).isNull().cast("bigint") for c in rules.critical if c in df.columns]
+        broken = {f"{name} nulls": reduce(lambda a, b: a + b, critical, F.lit(0).cast("bigint"))}
+        if order := (steps or {}).get(name):
+            broken[f"{name} order"] = _late(order)
+        sources.append(Source(df, uses, broken))
+    census = Census(sources)
+    for name, (df, rules) in tables.items():
+        upper, high = name.upper(), "High"
+        absent = missing_names(set(rules.required), set(df.columns))
+        note = "Missing columns: " + ", ".join(c for c in rules.required if c in absent) if absent else "Required schema present"
+        controls.append((Control(f"{upper}_SCHEMA", name, "Schema", high, note), F.lit(len(absent)).cast("bigint")))
+        if rules.key[0] in df.columns:
+            controls.append((Control(f"{upper}_PK", name, "Uniqueness", high, f"Duplicate {rules.key[0]} values"), census.surplus(name, name)))
+        controls.append((Control(f"{upper}_CRITICAL_NULLS", name, "Completeness", high, "Null values in critical fields"), census.broken(f"{name} nulls")))
+        if order := (steps or {}).get(name):
+            controls.append((Control(_CHRONOLOGY.get(name, f"{upper}_CHRONOLOGY"), name, "Validity", high, " <= ".join(order)), census.broken(f"{name} order")))
+    for r in references:
+        key = tables[r.parent][1].key[0]
+        details = f"{r.column} must exist in {r.parent}.{key}"
+        control = Control(f"{r.child.upper()}_{r.parent.upper()}_FK", r.child, "Referential Integrity", "High", details)
+        controls.append((control, census.orphans(r.parent, r.child, r.parent)))
+    if terminal:
+        last = F.when(~census.unknown(), F.col("top") % 10)
+        wrong = census.rows_where("shipments", "to_deliver", ~last.eqNullSafe(F.lit(1))) + census.rows_where("shipments", "to_lose", ~last.eqNullSafe(F.lit(2)))
+        controls.append((_TERMINAL, wrong))
+    wanted = {control.control_id: (control, issues) for control, issues in controls}
+    return census.rows({name: issues for name, (_, issues) in wanted.items()}, lambda name, value: wanted[name][0].column(value))
 
 
 def terminal_control(shipments: DataFrame, tracking: DataFrame) -> DataFrame:
     """Lost shipments must end in LOST, all others in DELIVERED; no terminal event is an issue too."""
-    control = Control(
-        "SHIPMENT_TERMINAL_EVENT_RECON",
-        "logistics",
-        "Cross-System Reconciliation",
-        "Critical",
-        "Delivered/Lost shipment state must match terminal tracking event.",
-    )
     wanted = F.when(F.col("lost_flag") == 0, "DELIVERED").when(F.col("lost_flag") == 1, "LOST")
     states = shipments.select("shipment_id", wanted.alias("wanted")).where(F.col("wanted").isNotNull())
     ends = states.join(last_terminal_event(tracking), "shipment_id", "left")
     wrong = ~F.col("terminal_event").eqNullSafe(F.col("wanted"))
-    return control.row(ends.agg(count_where(wrong).alias("n")), "n")
+    return _TERMINAL.row(ends.agg(count_where(wrong).alias("n")), "n")
 
 
 def chronology_control(
@@ -205,11 +275,7 @@ def chronology_control(
 ) -> DataFrame:
     """Rows where a later step is dated before the step it follows; a NULL date passes."""
     control = Control(control_id, domain, "Validity", "High", " <= ".join(steps))
-    late = reduce(
-        lambda a, b: a | b,
-        [F.coalesce(F.col(after) < F.col(before), F.lit(False)) for before, after in zip(steps, steps[1:])],
-    )
-    return control.row(df.agg(count_where(late).alias("n")), "n")
+    return control.row(df.agg(count_where(_late(steps)).alias("n")), "n")
 
 
 def health_score(controls: DataFrame) -> DataFrame:

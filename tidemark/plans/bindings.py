@@ -112,7 +112,7 @@ class Tables:
         """The same tables under the given verdict on the logistics data; frames that it does not touch are shared."""
         other = Tables(self.spark, self.folder, f"{self.label}/{'trusted' if trusted else 'untrusted'}", trusted)
         shared = [
-            "stored_shipments", "cases", "tracking", "stored_orders", "reconciliation", "logistics_controls", "controls",
+            "stored_shipments", "cases", "tracking", "stored_orders", "reconciliation", "key_controls", "controls",
             "candidates",
         ]
         other.__dict__.update({name: getattr(self, name) for name in shared})
@@ -167,23 +167,31 @@ class Tables:
             round_to((1 - standing) * 0.01, 4).alias("loss_rate_baseline"),
         )
 
+    @cached_property
+    def customer_heads(self) -> DataFrame:
+        """Customers by themselves, without what their nation adds."""
+        return self.raw("customer").select(
+            F.col("c_custkey").alias("customer_id"),
+            "c_nationkey",
+            F.col("c_mktsegment").alias("customer_segment"),
+            F.date_add(F.lit("1994-06-01").cast("date"), (F.col("c_custkey") % 365).cast("int")).alias("signup_date"),
+            F.when(F.col("c_acctbal") < 0, "Overdrawn").otherwise("Active").alias("account_status"),
+        )
+
     @cached_property
     def customers(self) -> DataFrame:
         places = self.raw("nation").join(
             self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
         )
         return (
-            self.raw("customer")
-            .join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            self.customer_heads.join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .select(
-                F.col("c_custkey").alias("customer_id"),
+                "customer_id",
                 F.col("n_name").alias("country"),
-                F.col("c_mktsegment").alias("customer_segment"),
+                "customer_segment",
                 F.col("r_name").alias("acquisition_channel"),
-                F.date_add(F.lit("1994-06-01").cast("date"), (F.col("c_custkey") % 365).cast("int")).alias(
-                    "signup_date"
-                ),
-                F.when(F.col("c_acctbal") < 0, "Overdrawn").otherwise("Active").alias("account_status"),
+                "signup_date",
+                "account_status",
             )
         )
 
@@ -201,26 +209,27 @@ class Tables:
     # --- commerce ---
 
     @cached_property
-    def orders(self) -> DataFrame:
+    def order_heads(self) -> DataFrame:
+        """Orders by themselves, without what the customer adds."""
         status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-        people = self.customers.select("customer_id", "customer_segment", F.col("country").alias("destination_country"))
-        return (
-            self.raw("orders")
-            .select(
-                F.col("o_orderkey").alias("order_id"),
-                F.col("o_custkey").alias("customer_id"),
-                priority.alias("sales_channel"),
-                F.col("o_orderdate").alias("order_ts"),
-                F.col("o_totalprice").alias("order_total_eur"),
-                F.when(status == "F", "Completed")
-                .when(status == "P", "Pending")
-                .when(priority == "5-LOW", "Cancelled")
-                .otherwise("Returned")
-                .alias("order_status"),
-            )
-            .join(people, "customer_id", "left")
+        return self.raw("orders").select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("customer_id"),
+            priority.alias("sales_channel"),
+            F.col("o_orderdate").alias("order_ts"),
+            F.col("o_totalprice").alias("order_total_eur"),
+            F.when(status == "F", "Completed")
+            .when(status == "P", "Pending")
+            .when(priority == "5-LOW", "Cancelled")
+            .otherwise("Returned")
+            .alias("order_status"),
         )
 
+    @cached_property
+    def orders(self) -> DataFrame:
+        people = self.customers.select("customer_id", "customer_segment", F.col("country").alias("destination_country"))
+        return self.order_heads.join(people, "customer_id", "left")
+
     @cached_property
     def order_items(self) -> DataFrame:
         discount = round_to(F.col("l_extendedprice") * F.col("l_discount"), 2)
@@ -480,55 +489,47 @@ class Tables:
     # --- controls ---
 
     @cached_property
-    def references(self) -> DataFrame:
-        """All reference controls, from one grouping by order and one by shipment, stored once."""
-        linked = self.app_events.where(F.col("order_id").isNotNull())
-        by_order = {
-            "payments": (self.payments, "order_id"),
-            "shipments": (self.stored_shipments, "order_id"),
-            "app_events": (linked, "order_id"),
-        }
-        by_shipment = {
-            "tracking_events": (self.tracking, "shipment_id"),
-            "support_cases": (self.cases, "shipment_id"),
+    def key_controls(self) -> DataFrame:
+        """All controls that one tagged census of the role tables answers, stored once."""
+        linked = F.col("order_id").isNotNull()
+
+        def rules(key: str, fields: list[str]) -> quality.TableRules:
+            return quality.TableRules([key], fields, fields)
+
+        tables = {
+            "orders": (self.order_heads, rules("order_id", ORDER_FIELDS)),
+            "order_items": (self.order_items, rules("order_item_id", ITEM_FIELDS)),
+            "payments": (self.payments, rules("payment_id", PAYMENT_FIELDS)),
+            "shipments": (self.stored_shipments, rules("shipment_id", SHIPMENT_FIELDS)),
+            "tracking_events": (self.tracking, rules("event_id", TRACKING_FIELDS)),
+            "support_cases": (self.cases, rules("case_id", CASE_FIELDS)),
+            "app_events": (self.app_events, rules("event_id", EVENT_FIELDS)),
         }
-        frames = [
-            quality.reference_controls(self.raw("orders").withColumnRenamed("o_orderkey", "order_id"), "order_id", "orders", by_order),
-            quality.reference_controls(self.stored_shipments, "shipment_id", "shipments", by_shipment),
+        references = [
+            quality.Reference("payments", "orders", "order_id"),
+            quality.Reference("shipments", "orders", "order_id"),
+            quality.Reference("app_events", "orders", "order_id", linked),
+            quality.Reference("tracking_events", "shipments", "shipment_id"),
+            quality.Reference("support_cases", "shipments", "shipment_id"),
         ]
-        return self._stored(quality.union_controls(frames), "references")
+        steps = {"support_cases": ["created_ts", "first_response_ts", "resolved_ts"]}
+        return self._stored(quality.census_controls(tables, references, steps), "key_controls")
 
     @cached_property
     def logistics_controls(self) -> DataFrame:
-        """Controls of the logistics domains, stored once: the trust verdict reads only these."""
-        shipments = quality.TableRules(["shipment_id"], SHIPMENT_FIELDS, SHIPMENT_FIELDS)
-        tracking = quality.TableRules(["event_id"], TRACKING_FIELDS, TRACKING_FIELDS)
-        frames = [
-            quality.table_controls(self.stored_shipments, "shipments", shipments),
-            quality.table_controls(self.tracking, "tracking_events", tracking),
-            self.references.where(F.col("domain").isin("shipments", "tracking_events")),
-            quality.terminal_control(self.stored_shipments, self.tracking),
-        ]
-        return self._stored(quality.union_controls(frames), "logistics_controls")
+        """Controls of the logistics domains: the trust verdict reads only these."""
+        return self.key_controls.where(F.col("domain").isin(*quality.LOGISTICS_DOMAINS))
 
     @cached_property
     def controls(self) -> DataFrame:
         """All controls over the role tables, stored once: health, summary and trust read them."""
-        rules = quality.TableRules
-        ordered = self.stored_shipments.join(self.orders.select("order_id", "order_ts"), "order_id", "left")
+        ordered = self.stored_shipments.join(self.order_heads.select("order_id", "order_ts"), "order_id", "left")
         steps = ["order_ts", "shipment_created_ts", "delivery_ts"]
         frames = [
-            quality.table_controls(self.orders, "orders", rules(["order_id"], ORDER_FIELDS, ORDER_FIELDS)),
-            quality.table_controls(self.order_items, "order_items", rules(["order_item_id"], ITEM_FIELDS, ITEM_FIELDS)),
-            quality.table_controls(self.payments, "payments", rules(["payment_id"], PAYMENT_FIELDS, PAYMENT_FIELDS)),
-            quality.table_controls(self.cases, "support_cases", rules(["case_id"], CASE_FIELDS, CASE_FIELDS)),
-            quality.table_controls(self.app_events, "app_events", rules(["event_id"], EVENT_FIELDS, EVENT_FIELDS)),
-            self.references.where(~F.col("domain").isin("shipments", "tracking_events")),
-            quality.amount_control(self.orders, self.payments),
-            quality.chronology_control(self.cases, ["created_ts", "first_response_ts", "resolved_ts"]),
+            self.key_controls,
+            quality.amount_control(self.order_heads, self.payments),
             quality.chronology_control(ordered, steps, "SHIPMENT_CHRONOLOGY", "orders"),
             reconciliation.reconciliation_control(self.reconciliation),
-            self.logistics_controls,
         ]
         return self._stored(quality.union_controls(frames), "controls")
 

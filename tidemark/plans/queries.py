@@ -18,7 +18,7 @@ from tidemark.operators import rootcause
 from tidemark.operators.ranking import rank_in_buckets
 from tidemark.operators.touches import incident_days, incident_shipments
 from tidemark.plans import gold, staging
-from tidemark.plans.bindings import RULES, SCHEMAS, Tables
+from tidemark.plans.bindings import RULES, SCHEMAS, Tables, hub_id
 from tidemark.session import snapshot
 from tidemark.sources import readers, schemas, writers
 
@@ -297,11 +297,11 @@ def column_tests(t: Tables) -> DataFrame:
 @query
 def source_assertions(t: Tables) -> DataFrame:
     frames = {
-        "customers": t.customers,
-        "orders": t.orders,
+        "customers": t.customer_heads,
+        "orders": t.order_heads,
         "order_items": t.order_items,
         "payments": t.payments,
-        "warehouses": t.hubs,
+        "warehouses": t.raw("nation").select(hub_id("n_nationkey").alias("warehouse_id")),
         "carriers": t.carriers,
         "shipments": t.stored_shipments,
         "tracking_events": t.tracking,
