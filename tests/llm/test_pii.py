@@ -1,9 +1,11 @@
 import hashlib
+import math
 import random
 import re
 
 import pytest
 
+from tidemark.llm import pii
 from tidemark.llm.pii import KINDS, base_spans, personal_data
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -98,3 +100,86 @@ def test_edge_rows(documents):
     got = sorted((str(r.doc_id), r.spans) for r in personal_data(df).collect())
     assert got == sorted([("1", ""), ("2", ""), ("3", "email:0:5"), ("3", "email:0:5"), ("None", "email:0:5"), ("4", "ip:200000:200007")])
     assert personal_data(documents([])).count() == 0
+
+
+def test_grouped_and_spelled_identifiers_are_found_by_their_contexts(documents):
+    rng = random.Random(2)
+    noise = lambda: " ".join(rng.choices(["alpha", "beta", "gamma", "delta", "epsilon"], k=6))
+    rows = [(i, f"{noise()} call me at +49 (0) {170 + i} 55{i:05d} {noise()}") for i in range(60)]
+    rows += [(100 + i, f"{noise()} mail to user{i}@mail{i}.example.com {noise()}") for i in range(60)]
+    planted = {200 + i: f"({500 + i}) {100 + i}-{4000 + i}" for i in range(10)} | {300 + i: f"{500 + i} {100 + i} {4000 + i}" for i in range(10)}
+    rows += [(i, f"{noise()} call me at {found} {noise()}") for i, found in planted.items()]
+    spelled = {400 + i: f"name{i} (at) host{i} dot com".replace(" dot ", " [dot] ") for i in range(10)}
+    rows += [(i, f"{noise()} mail to {found} {noise()}") for i, found in spelled.items()]
+    rows += [(500 + i, f"{noise()} numbers {i} 100 2000 {noise()}") for i in range(40)]
+    got = {r.doc_id: r for r in personal_data(documents(rows)).collect()}
+    text = dict(rows)
+    for kind, cases in (("phone", planted), ("email", spelled)):
+        caught = 0
+        for i, found in cases.items():
+            start = text[i].index(found)
+            caught += got[i].spans == f"{kind}:{start}:{start + len(found)}"
+        assert caught >= 0.9 * len(cases)
+    assert all(got[500 + i].spans == "" for i in range(40))
+
+
+def brute_beliefs(links):
+    """The rounds on a small graph, by hand: patterns by Wilson's bound, instances by noisy or."""
+    pairs = {}
+    for pattern, instance, kind in links:
+        pairs[pattern, instance] = max(kind, pairs.get((pattern, instance), -1))
+    held = {}
+    for (_, instance), kind in pairs.items():
+        if kind >= 0:
+            held.setdefault(instance, []).append((kind, 1.0))
+    seeds = set(held)
+    while True:
+        masses = {}
+        for pattern, instance in pairs:
+            known = sorted(set(held.get(instance, [])), key=lambda k: (-k[1], k[0]))
+            of, belief = known[0] if known else (None, pii.UNKNOWN)
+            masses.setdefault(pattern, {}).setdefault(of, []).append(belief)
+        trusted = {}
+        for pattern, by in masses.items():
+            total = sum(map(sum, by.values()))
+            kinds = sorted(((-sum(v), k) for k, v in by.items() if k is not None))
+            if kinds:
+                p, z = -kinds[0][0] / total, 1.645
+                low = (p + z * z / (2 * total) - z * (p * (1 - p) / total + z * z / (4 * total * total)) ** 0.5) / (1 + z * z / total)
+                if low >= pii.TRUST:
+                    trusted[pattern] = (kinds[0][1], low)
+        votes = {}
+        for pattern, instance in pairs:
+            if pattern in trusted and instance not in held:
+                kind, trust = trusted[pattern]
+                votes.setdefault(instance, {}).setdefault(kind, []).append(1 - min(trust, 0.999))
+        new = {}
+        for instance, by in votes.items():
+            kind, miss = min(((k, math.prod(v)) for k, v in by.items()), key=lambda x: (x[1], x[0]))
+            if 1 - miss >= pii.BELIEF:
+                new[instance] = [(kind, 1 - miss)]
+        if not new:
+            return {i: k[0][0] for i, k in held.items() if i not in seeds}
+        held |= new
+
+
+def test_beliefs_equal_brute_force(spark):
+    rng = random.Random(9)
+    links = []
+    for chain in range(5):  # each pattern is learnt from what the one before it made believed
+        for step in range(6):
+            links += [(f"p{chain}.{step}", f"x{chain}.{step}.{i}", chain % 4 if step == 0 else -1) for i in range(30)]
+            links += [(f"p{chain}.{step}", f"x{chain}.{step + 1}.{i}", -1) for i in range(30 if step < 5 else 3) if rng.random() < 0.9]
+    links += [(f"r{rng.randrange(8)}", f"y{rng.randrange(60)}", rng.choice([-1, -1, 0, 1])) for _ in range(300)]
+    got = pii.believed_instances(spark.createDataFrame(links, "pattern string, instance string, kind int"))
+    assert {r.instance: r.kind for r in got.collect()} == brute_beliefs(links)
+
+
+def test_instances_and_contexts_are_told_apart_whole():
+    long = "9" * 300
+    one, two = (pii.seen_instances(f"{'w' * 500}{x} id {long}{x}", []) for x in "12")
+    assert one[0][3] != two[0][3]
+    words = [pii.seen_instances(f"{'w' * 500}{x} 1234567", [])[0][4] for x in "ab"]
+    assert words[0] != words[1]
+    for text in ("5 " * 100_000, "(at) " * 60_000, "a" * 300_000 + " (at) b", "1-" * 150_000, "x (dot) " * 40_000):
+        pii.seen_instances(text, base_spans(text))

@@ -106,3 +106,38 @@ def test_run_gives_the_last_stage(spark, stages):
     want = stages["packing"][1]
     assert sum(r.length for r in got.select("length").collect()) == sum(r.length for r in want.select("length").collect())
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_what_a_stage_stored_goes_when_the_next_begins(spark, documents):
+    from tidemark.llm.common import stage_of, store
+
+    df = documents([(1, "a"), (2, "b")])
+    with stage_of(spark, "line"):
+        first = store(df, "first")
+    with stage_of(spark, "another line"):
+        other = store(df, "first")
+    with stage_of(spark, "line"):
+        second = store(df, "second")
+    outside = store(df, "outside")
+    with stage_of(spark, "line"):
+        pass
+    assert other.count() == outside.count() == 2
+    for gone in (first, second):
+        with pytest.raises(Exception, match="(?i)not.?exist|not found"):
+            gone.count()
+
+
+def test_pipeline_with_nulls_repeats_clashes_and_empty_tables(spark, documents, tmp_path):
+    import corpus_pipeline
+
+    rows = [(1, None), (1, None), (None, "a b c d e f"), (None, "a b c d e f"), (2, ""), (3, "word " * 3000)]
+    rows += [(10 + i, f"some clean text of number {i} with words", "en", None if i % 2 else "s") for i in range(30)]
+    marks = spark.createDataFrame([(10 + i, 1, 0) for i in range(30)], "doc_id bigint, quality int, toxic int")
+    for name, df in (("full", documents(rows)), ("none", documents([]))):
+        folder = str(tmp_path / name)
+        clashing = df.withColumn("row", df.doc_id).withColumn("_row", df.text).withColumn("ids", df.doc_id).withColumn("copies", df.text)
+        clashing.write.parquet(f"{folder}/documents.parquet")
+        marks.write.parquet(f"{folder}/labels.parquet")
+        got = corpus_pipeline.run(spark, folder).collect()
+        assert bool(got) == (name == "full")
+        assert {r.doc_id for r in got} <= {r[0] for r in rows}

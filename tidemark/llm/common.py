@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import ctypes
+import threading
+import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
+from tidemark.session import materialize, remove_stored
 
 # White space and words are ASCII conventions throughout; other characters belong to words.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -20,9 +24,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_SCOPE: ContextVar[str] = ContextVar("scope", default="")
+_LINES: dict[tuple, str] = {}
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
-    return materialize(df, f"llm/{name}")
+    return materialize(df, f"llm/{_SCOPE.get()}{name}")
+
+
+@contextmanager
+def stage_of(spark: SparkSession, line: str) -> Iterator[None]:
+    """What is stored inside belongs to one stage of a line of stages, and is deleted when the line's next stage begins.
+
+    By then the stage's own result has been written. Lines are told apart by their name, the session and the thread.
+    """
+    key = (spark.sparkContext.applicationId, threading.get_ident(), line)
+    if last := _LINES.pop(key, None):
+        remove_stored(spark, f"llm/{last}")
+    _LINES[key] = uuid.uuid4().hex
+    token = _SCOPE.set(f"{_LINES[key]}/")
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
 
 
 def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:

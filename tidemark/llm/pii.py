@@ -3,13 +3,18 @@
 Emails, IPs, cards and phones have fixed shapes (the base). They are the seeds of a bootstrap over a graph of lexical
 patterns (words beside a token) and instances (tokens that look like identifiers): a pattern is trusted for a kind if, by
 the lower bound of its success rate, its instances are of that kind; an instance is believed by the trusted patterns it
-occurs in; believed instances count for further patterns. Tokens believed at the end are spans as well.
+occurs in; believed instances count for further patterns. This goes on until nothing new is believed; what is believed stays
+so, and thus the rounds end. What is believed at the end are spans as well.
+
+Instances are tokens, digits in groups (``555 123 4567``, a card that fails its check) and addresses with ``(at)`` and
+``(dot)``. They are told apart by a hash of their whole text, contexts by whole words.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,7 +29,6 @@ KINDS = ("email", "ip", "card", "phone")
 TRUST = 0.75
 #: A token is marked if it is believed at least this much.
 BELIEF = 0.8
-ROUNDS = 3
 #: What an unknown instance weighs against a pattern, next to 1 for one of another kind.
 UNKNOWN = 0.25
 _BATCH_BYTES = 4 << 20
@@ -82,51 +86,96 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+_EDGE = ".,;:!?()[]{}\"'|"
+#: Digits in groups with one or two marks or blanks between them.
+_GROUPED = re.compile(r"\(?[0-9]++(?:[\x20()./-]{1,2}[0-9]++)++")
+_AT = re.compile(r"\x20?[(\[{]\x20?at\x20?[)\]}]\x20?(?=[A-Za-z0-9-])", re.I)
+_DOTTED = re.compile(r"[A-Za-z0-9-]++(?:\x20?[(\[{]\x20?dot\x20?[)\]}]\x20?[A-Za-z0-9-]++)+", re.I)
+_LONG_WORD = 40
+
+
 def _identifier(token: str) -> bool:
     """Looks like an identifier: at least 6 characters with 4 digits or more, or with an @ inside."""
     return len(token) >= 6 and (sum("0" <= c <= "9" for c in token) >= 4 or "@" in token[1:-1])
 
 
+def _digest(text: str) -> str:
+    return hashlib.blake2b(text.encode(), digest_size=16).hexdigest()
+
+
 def _word(text: str) -> str:
-    """A context word: lower case, without marks at its ends, digits as #."""
-    return re.sub(r"[0-9]", "#", text.lower().strip(".,;:!?()[]{}\"'|"))[:40]
+    """A context word: lower case, without marks at its ends, digits as #; a long one by a hash of the whole word."""
+    word = re.sub(r"[0-9]", "#", text.lower().strip(_EDGE))
+    return word if len(word) <= _LONG_WORD else f"#{_digest(word)}"
+
+
+def _apart(found: Iterator[tuple[int, int]], taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Of the ranges in order, those that overlap none of the taken ones, which are in order of their start."""
+    out, i, reach = [], 0, 0
+    for start, stop in found:
+        while i < len(taken) and taken[i][0] < stop:
+            reach = max(reach, taken[i][1])
+            i += 1
+        if reach <= start:
+            out.append((start, stop))
+    return out
+
+
+def _spelled(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses with (at) and (dot), seen from each (at)."""
+    free = 0
+    for m in _AT.finditer(text):
+        start = m.start()
+        while start > free and text[start - 1] in _LOCAL_CHARS:
+            start -= 1
+        if start < m.start() and (domain := _DOTTED.match(text, m.end())):
+            yield start, domain.end()
+            free = domain.end()
+
+
+def _grouped(text: str) -> Iterator[tuple[int, int]]:
+    for m in _GROUPED.finditer(text):
+        if sum("0" <= c <= "9" for c in m[0]) >= 7:
+            yield m.start(), m.end()
 
 
 def seen_instances(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
-    """Base spans, and other tokens that look like identifiers, with the patterns of words beside them."""
-    if not spans and not _ANY.search(text):
+    """Base spans, and other ranges that look like identifiers, with the patterns of the words beside them."""
+    if not spans and not _ANY.search(text) and not _AT.search(text):
         return []
     places = [(a, k, b) for a, k, b in spans]
-    ends = [(a, b) for a, _, b in spans]
-    i = 0
-    reach = 0
-    for m in _TOKEN.finditer(text):
-        token = m[0].strip(".,;:!?()[]{}\"'|")
-        if not _identifier(token):
-            continue
-        start = m.start() + m[0].index(token)
-        stop = start + len(token)
-        while i < len(ends) and ends[i][0] < stop:
-            reach = max(reach, ends[i][1])
-            i += 1
-        # Spans are sorted by start: one that begins before this token's end and reaches into it overlaps.
-        if reach > start:
-            continue
-        places.append((start, -1, stop))
+    taken = [(a, b) for a, _, b in spans]
+    more = _apart(_spelled(text), taken)
+    taken = sorted([*taken, *more])
+    groups = _apart(_grouped(text), taken)
+    taken = sorted([*taken, *groups])
+    words = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
+
+    def tokens() -> Iterator[tuple[int, int]]:
+        for a, b in words:
+            token = text[a:b].strip(_EDGE)
+            if _identifier(token):
+                start = a + text[a:b].index(token)
+                yield start, start + len(token)
+
+    places += [(a, -1, b) for a, b in sorted([*more, *groups, *_apart(tokens(), taken)])]
+    starts, ends = [a for a, _ in words], [b for _, b in words]
     out = []
     for start, kind, stop in sorted(places):
-        left = text[max(0, start - 120) : start].split()[-2:]
-        right = text[stop : stop + 60].split()[:1]
-        before = [_word(w) for w in left]
-        after = _word(right[0]) if right else ""
+        # The word that the range begins or ends in counts with what lies outside the range.
+        first, last = bisect_right(starts, start) - 1, bisect_left(ends, stop)
+        left = [text[max(a, 0) : min(b, start)] for a, b in words[max(0, first - 2) : first + 1]]
+        before = [w for w in map(_word, left) if w][-2:]
+        right = [text[max(a, stop) : b] for a, b in words[last : last + 2]]
+        after = next((w for w in map(_word, right) if w), "")
         patterns = []
-        if before and before[-1]:
-            if len(before) == 2 and before[0]:
+        if before:
+            if len(before) == 2:
                 patterns.append(f"{before[0]} {before[1]} _")
             if after:
                 patterns.append(f"{before[-1]} _ {after}")
             patterns.append(f"{before[-1]} _")
-        out.append((start, kind, stop, text[start:stop][:200].lower(), patterns))
+        out.append((start, kind, stop, _digest(text[start:stop].lower()), patterns))
     return out
 
 
@@ -160,16 +209,17 @@ def _lower_bound(hits: str, n: str):
     return (p + z * z / (2 * F.col(n)) - z * F.sqrt(p * (1 - p) / F.col(n) + z * z / (4 * F.col(n) * F.col(n)))) / (1 + z * z / F.col(n))
 
 
-def believed_instances(links: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def believed_instances(links: DataFrame) -> DataFrame:
     """``instance``, ``kind``: unknown instances that trusted patterns give a kind.
 
     ``links`` has ``pattern``, ``instance`` and ``kind`` (-1 for unknown). An instance that is a seed anywhere keeps its
-    kinds. Every step is a grouping or a join on the pattern or the instance, pre-aggregated to distinct pairs.
+    kinds. Every step is a grouping or a join on the pattern or the instance, pre-aggregated to distinct pairs. An instance
+    once believed stays so with its first kind; the rounds end when none is added.
     """
     pairs = store(links.groupBy("pattern", "instance").agg(F.max("kind").alias("kind")), "pairs")
     seeds = pairs.filter("kind >= 0").select("instance", "kind").distinct().withColumn("belief", F.lit(1.0))
-    held = store(seeds, "belief")
-    for _ in range(rounds):
+    held, size = store(seeds, "belief"), -1
+    while size < (size := held.count()):
         # A pattern's instances: those believed to be of a kind, and the others, which weigh less while unknown.
         known = held.groupBy("instance").agg(F.max_by("kind", F.struct("belief", -F.col("kind"))).alias("of"), F.max("belief").alias("belief"))
         voted = pairs.select("pattern", "instance").join(known, "instance", "left")
@@ -186,12 +236,12 @@ def believed_instances(links: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             .groupBy("instance", "kind")
             .agg((1 - F.exp(F.sum(F.log(1 - F.least("trust", F.lit(0.999))).cast("decimal(20,9)")).cast("double"))).alias("belief"))
             .filter(F.col("belief") >= BELIEF)
-            .join(seeds.select("instance").distinct(), "instance", "left_anti")
+            .groupBy("instance").agg(F.max_by(F.struct("kind", "belief"), F.struct("belief", -F.col("kind"))).alias("m"))
+            .join(held.select("instance").distinct(), "instance", "left_anti")
+            .select("instance", "m.kind", "m.belief")
         )
-        held = store(seeds.unionByName(found), "belief")
-    return held.join(seeds.select("instance").distinct(), "instance", "left_anti").groupBy("instance").agg(
-        F.max_by("kind", F.struct("belief", -F.col("kind"))).alias("kind")
-    )
+        held = store(held.unionByName(found), "belief")
+    return held.join(seeds.select("instance").distinct(), "instance", "left_anti").select("instance", "kind")
 
 
 def personal_data(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
