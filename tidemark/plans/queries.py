@@ -7,20 +7,23 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.functions import distinct_sets
 from tidemark.functions.measures import measures
 from tidemark.functions.numeric import exact_avg, exact_sum, round_to
 from tidemark.functions.text import join_list
-from tidemark.operators import anomaly, briefs, contracts, derive, grounding, joins, profile, quality
+from tidemark.operators import anomaly, briefs, contracts, derive, grounding, intervals, joins, profile, quality
 from tidemark.operators import reconciliation as recon
 from tidemark.operators import registry as reg
 from tidemark.operators import rootcause
 from tidemark.operators.ranking import rank_in_buckets
-from tidemark.operators.touches import incident_days, incident_shipments
+from tidemark.operators.touches import HUB, hub_touches, incident_days, incident_shipments
 from tidemark.plans import gold, staging
 from tidemark.plans.bindings import RULES, SCHEMAS, Tables, hub_id
-from tidemark.session import snapshot
-from tidemark.sources import readers, schemas, writers
+from tidemark.session import materialize, snapshot
+from tidemark.sources import layers, ordered, readers, schemas, writers
+from tidemark.sources import run_log as run_log_file
 
 Query = Callable[[Tables], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -49,14 +52,23 @@ def tables_for(spark: SparkSession, folder: str) -> Tables:
     return _TABLES[key]
 
 
-_UNTRUSTED: dict[int, Tables] = {}
+_UNTRUSTED: dict[tuple[str, str], Tables] = {}
 
 
 def _untrusted(t: Tables) -> Tables:
     """The same tables as if the logistics controls had failed."""
-    if id(t) not in _UNTRUSTED:
-        _UNTRUSTED[id(t)] = t.judged(False)
-    return _UNTRUSTED[id(t)]
+    key = (t.spark.sparkContext.applicationId, f"{t.folder}@{t.label}")
+    if key not in _UNTRUSTED:
+        _UNTRUSTED[key] = t.judged(False)
+    return _UNTRUSTED[key]
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all stored layers of the session and forget them."""
+    own = spark.sparkContext.applicationId
+    for held in (_UNTRUSTED, _TABLES):
+        for key in [k for k in held if k[0] == own]:
+            held.pop(key).release()
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
@@ -256,6 +268,22 @@ def orphan_lines(t: Tables) -> DataFrame:
     )
 
 
+@query
+def events_without_orders(t: Tables) -> DataFrame:
+    """Order keys of purchase events that no order has, with their rows."""
+    linked = t.app_events.where(F.col("order_id").isNotNull())
+    return joins.missing_keys(linked, "order_id", t.order_heads, "order_id").select(F.col("key").alias("order_id"), "child_rows")
+
+
+@query
+def distinct_customers_by_month(t: Tables) -> DataFrame:
+    """Different customers per month and case type, united from a mart of customer sets per day, segment and case type."""
+    cases = t.cases.select(F.to_date("created_ts").alias("day"), "customer_segment", "case_type", "customer_id")
+    mart = materialize(distinct_sets.distinct_sets(cases, ["day", "customer_segment", "case_type"], "customer_id"), f"{t.label}/customer_sets")
+    months = mart.withColumn("month", F.date_format("day", "yyyy-MM"))
+    return distinct_sets.distinct_counts(months, ["month", "case_type"], "customers")
+
+
 @query
 def orders_without_lines(t: Tables) -> DataFrame:
     """Orders that no line, and so no payment, belongs to."""
@@ -379,6 +407,16 @@ def incident_shipment_pairs(t: Tables) -> DataFrame:
     return incident_shipments(t.stored_shipments, days, ["candidate_incident_id", "anomaly_score"])
 
 
+@query
+def incident_pairs_by_blocks(t: Tables) -> DataFrame:
+    """The same pairs, with windows cut into aligned blocks instead of days."""
+    windows = t.incidents.select(HUB, "candidate_incident_id", "anomaly_score", "start_date", "end_date")
+    touches = hub_touches(t.stored_shipments, ["shipment_id", F.col("shipment_date").alias("day")], once=True)
+    near = touches.select(HUB, "shipment_id", "day").join(windows.select(HUB).distinct(), HUB, "left_semi")
+    pairs = intervals.points_in_intervals(near, "day", windows, "start_date", "end_date", [HUB])
+    return pairs.select("shipment_id", "candidate_incident_id", "anomaly_score").distinct()
+
+
 # --- root causes -----------------------------------------------------------------------------------
 
 
@@ -597,8 +635,89 @@ def run_log(t: Tables) -> DataFrame:
 
 @query
 def row_count_contract(t: Tables) -> DataFrame:
-    """Fixed row counts of the two tables that never grow."""
-    return contracts.row_count_contract({n: t.raw(n) for n in ("region", "nation")}, {"region": 5, "nation": 25})
+    """Row counts of derived tables against what their parent tables say, and of the two tables that never grow."""
+    n = F.count(F.lit(1))
+    lines = t.lines.select("l_orderkey", "l_returnflag")
+    wanted = {
+        "shipments": n, "tracking": 3 * n, "payments": F.count_distinct("l_orderkey"),
+        "cases": F.count_if(F.col("l_returnflag") == "R"),
+    }
+    tables = {"shipments": t.stored_shipments, "tracking": t.tracking, "payments": t.payments, "cases": t.cases}
+    sides = [contracts.expected(lines, wanted), *[contracts.observed(df, {name: n}) for name, df in tables.items()]]
+    fixed = {"region": 5, "nation": 25}
+    sides += [contracts.observed(t.raw(name), {name: n}) for name in fixed] + [contracts.must_be(t.raw("region"), fixed)]
+    return contracts.contract("row_counts", sides)
+
+
+@query
+def run_log_retried(t: Tables) -> DataFrame:
+    """The run log after a run that failed and was written again, and a second run."""
+    inventory = profile.table_inventory({name: t.raw(name) for name in SCHEMAS}, "bronze")
+    row = materialize(writers.run_row(inventory).drop("run_id", "run_ts"), f"{t.label}/run_row")
+    path = t.scratch("run_log")
+    for run, status in (("RUN-1", "FAILED"), ("RUN-1", "SUCCESS"), ("RUN-2", "SUCCESS")):
+        run_log_file.append_keyed(row.withColumns({"run_id": F.lit(run), "status": F.lit(status)}), path)
+    return run_log_file.read_keyed(t.spark, path, "run_id")
+
+
+@query
+def export_order(t: Tables) -> DataFrame:
+    """Whether exports of a mart are in global order: one written by ranges of the day, one with its rows dealt out."""
+    mart = commerce_performance(t)
+    paths = {name: t.scratch(name) for name in ("ordered", "dealt")}
+    ordered.write_ordered(mart, paths["ordered"], ["report_date"])
+    mart.repartition(4, F.xxhash64("report_date", "sales_channel")).write.parquet(paths["dealt"])
+    found = [ordered.verify_order(t.spark, path, ["report_date"]).select(F.lit(name).alias("export"), "rows", "sorted") for name, path in paths.items()]
+    return found[0].unionByName(found[1])
+
+
+@query
+def json_records(t: Tables) -> DataFrame:
+    """Cases written as files of JSON arrays, some records broken, and how many came through or why not."""
+    fields = ["case_id", "priority", "csat_score"]
+    text = (
+        F.when(F.col("shipment_damaged_flag") == 1, F.to_json(F.struct("case_id", "priority", F.lit("n/a").alias("csat_score"))))
+        .when(F.col("escalated_flag") == 1, F.to_json(F.struct("priority", "csat_score")))
+        .when(F.col("reopened_flag") == 1, F.to_json(F.array("case_id")))
+        .otherwise(F.to_json(F.struct(*fields)))
+    )
+    files = t.cases.count() // 5000 + 1
+    told = t.cases.select(F.pmod(F.xxhash64("case_id"), F.lit(files)).alias("file"), text.alias("record"))
+    arrays = told.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("record"), ","), F.lit("]")).alias("value"))
+    path = t.scratch("case_records")
+    arrays.select("value").repartition(int(files), "value").write.option("lineSep", "\n").text(path)
+    schema = T.StructType.fromDDL("case_id string, priority string, csat_score int")
+    fit, rejected = readers.read_records(t.spark, path, schema, required=["case_id"])
+    outcomes = fit.select(F.lit("fit").alias("outcome")).unionByName(rejected.select(F.col("reason").alias("outcome")))
+    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query
+def monthly_refresh(t: Tables) -> DataFrame:
+    """A layer of order lines by month after one month's lines changed: its rows, and which months were written anew.
+
+    The source's files hold a quarter each, so a change in one month writes three months anew and no others.
+    """
+    root, source = t.scratch("monthly_lines"), t.scratch("line_files")
+    quarter = F.concat_ws("Q", F.year("day"), F.quarter("day"))
+    lines = t.lines.select("l_quantity", "l_returnflag", F.to_date("l_shipdate").alias("day")).withColumn("quarter", quarter)
+    lines.repartition("quarter").write.partitionBy("quarter").parquet(source)
+
+    def by_month(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(layers.month_of("day").alias("month")).agg(
+            F.count(F.lit(1)).alias("lines"), exact_sum("l_quantity").alias("quantity"), F.count_if(F.col("l_returnflag") == "R").alias("returned")
+        )
+
+    layer = layers.MonthlyLayer(t.spark, f"tidemark_layers.lines_{root.rpartition('-')[2]}", root, source, "day", by_month)
+    layer.refresh()
+    before = materialize(layer.file_times(), f"{t.label}/times_before").withColumnRenamed("written_at", "was_at")
+    doubled = F.when(layers.month_of("day") == "1996-03", F.col("l_quantity") * 2).otherwise(F.col("l_quantity"))
+    changed = lines.where(F.col("quarter") == "1996Q1").withColumn("l_quantity", doubled)
+    changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("quarter").parquet(source)
+    layer.refresh()
+    times = layer.file_times().join(before, "month", "left")
+    anew = times.select("month", F.coalesce(F.col("written_at") > F.col("was_at"), F.lit(True)).cast("int").alias("rewritten"))
+    return layer.read().join(anew, "month")
 
 
 # --- measures --------------------------------------------------------------------------------------

@@ -102,3 +102,35 @@ def read_csv(
 def read_json(spark: SparkSession, path: str, schema: T.StructType, array: bool = False) -> DataFrame:
     """JSON lines, or with ``array=True`` one JSON array of records per file."""
     return spark.read.schema(schema).option("multiLine", array).json(path)
+
+
+def read_records(
+    spark: SparkSession, path: str, schema: T.StructType, required: Iterable[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Files that hold one JSON array of records each: the records that fit, and the rejected ones.
+
+    Records that fit have the schema's columns, ``file`` and ``position`` (from 0). Rejected ones have ``file``, ``position``,
+    ``reason`` and the record's ``text``: not an object, a field of another type, or a required field that is missing or null.
+    A file that is no array is rejected whole, at position -1. A file is read by one task.
+    """
+    files = spark.read.option("wholetext", True).text(path)
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    held = files.select(name.alias("file"), F.col("value").alias("whole"), F.from_json("value", "array<string>").alias("items"))
+    whole = F.col("items").isNull() | ~F.ltrim("whole").startswith("[")
+    split = held.where(~whole).select("file", F.posexplode("items").alias("position", "text"))
+    marked = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    options = {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}
+    parsed = split.withColumn("record", F.from_json("text", marked, options))
+    absent = F.filter(
+        F.array(*[F.when(F.col(f"record.`{c}`").isNull(), F.lit(c)) for c in required], F.lit(None).cast("string")), lambda c: c.isNotNull()
+    )
+    reason = (
+        F.when(F.col("text").isNull() | ~F.ltrim("text").startswith("{"), "not an object")
+        .when(F.col("record").isNull() | F.col("record._corrupt").isNotNull(), "a field does not fit")
+        .when(F.size(absent) > 0, F.concat(F.lit("missing "), F.array_join(absent, ", ")))
+    )
+    judged = parsed.withColumn("reason", reason)
+    fit = judged.where(F.col("reason").isNull()).select(*[F.col(f"record.`{f.name}`").alias(f.name) for f in schema], "file", "position")
+    rejected = judged.where(F.col("reason").isNotNull()).select("file", "position", "reason", "text")
+    broken = held.where(whole).select("file", F.lit(-1).alias("position"), F.lit("not an array").alias("reason"), F.col("whole").alias("text"))
+    return fit, rejected.unionByName(broken)
