@@ -101,3 +101,35 @@ def test_gradients_follow_the_loss():
         return aq._sigmoid(z @ model.weights["c"] + model.weights["d"][0])
 
     assert np.mean([(score(b) >= 0.5) == bool(t) for b, t in zip(bags, y, strict=True)]) > 0.95
+
+
+def test_words_are_told_apart_by_all_their_bytes():
+    for a, b in (("abcdefgh" * 5 + "x", "abcdefgh" * 5 + "y"), ("x" + "q" * 50, "y" + "q" * 50)):
+        same, _ = aq.encode_block([f"{a} one {a}".encode()])
+        other, _ = aq.encode_block([f"{a} one {b}".encode()])
+        assert same[0, aq.PAIRS + 9] > 0.6 and other[0, aq.PAIRS + 9] == 0
+    long = b"z" * 300_000
+    x, _ = aq.encode_block([long + b" " + long, b"  " + long, b""])
+    assert np.isfinite(x).all() and x[0, aq.PAIRS + 9] == 1
+
+
+def test_sample_takes_labelled_documents_that_are_there(spark, documents):
+    rows, labels = corpus(n=200)
+    gone = [(10_000 + i, i % 2) for i in range(3 * aq.SAMPLE_DOCS)]
+    marks = spark.createDataFrame([*labels, *gone], "doc_id bigint, quality int")
+    repeated = documents([*rows, *[rows[0]] * 50])
+    assert isinstance(aq.fit(repeated, marks), aq.Model)
+
+
+def test_query_on_whole_table(spark):
+    from tests.llm.conftest import FOLDER
+    from tidemark.llm.queries import QUERIES
+
+    marks = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    got = QUERIES["op7_attention_quality"](spark, FOLDER).collect()
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    assert all(r.held_out == held(r.doc_id) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+    own = [(r.score, marks[r.doc_id]) for r in got if r.held_out and marks.get(r.doc_id) is not None]
+    good, bad = [s for s, q in own if q], [s for s, q in own if not q]
+    assert np.mean([g > b for g in good for b in bad]) > 0.97

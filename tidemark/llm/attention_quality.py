@@ -13,19 +13,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import batches_of, settled, text_of, utf8
+from tidemark.llm.common import batches_of, settled, store, text_of, utf8
 
 PASSAGE_WORDS = 64
 PAIRS = 256
 MEASURES = 12
 WIDTH = PAIRS + MEASURES
-#: Bounds of the training sample: labelled documents, and passages of each (evenly spread).
+#: Bounds of the training sample: labelled documents, and their characters together; of each, all passages are learnt from.
 SAMPLE_DOCS = 6000
-SAMPLE_PASSAGES = 48
+SAMPLE_CHARS = 24 << 20
 #: Bytes that are encoded at once; a longer text is cut at white space into blocks of this size.
 BLOCK_BYTES = 1 << 19
 HIDDEN, ATTENTION, EPOCHS, BATCH, SEED = 24, 16, 30, 128, 7
@@ -98,13 +98,15 @@ def encode_block(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     x[:, :PAIRS] = np.sqrt(pairs / spans[:, None])
     for i, kind in enumerate(_KINDS):
         x[:, PAIRS + i] = np.add.reduceat(kind[own], edges) / spans
-    # Words as hashes of their bytes; repetition is seen per text of the block.
+    # Words as hashes of all their bytes; repetition is seen per text of the block.
     weights = np.cumprod(np.full(64, _ODD), dtype=np.uint64)
     lengths = ends - starts
-    code = np.zeros(len(starts), np.uint64)
-    for i in range(int(min(16, lengths.max()))):
-        live = lengths > i
-        code[live] += (data[starts[live] + i].astype(np.uint64) + np.uint64(1)) * weights[i]
+    begun = np.zeros(len(data), np.int64)
+    begun[starts] = starts
+    place = np.arange(len(data)) - np.maximum.accumulate(begun)
+    powers = np.cumprod(np.full(int(lengths.max()) + 1, _ODD), dtype=np.uint64)
+    worth = np.where(space, np.uint64(0), (data.astype(np.uint64) + np.uint64(1)) * powers[np.minimum(place, len(powers) - 1)])
+    code = np.add.reduceat(worth, starts)
     code += lengths.astype(np.uint64) * weights[20] + of_text.astype(np.uint64) * weights[40]
     code ^= code >> np.uint64(29)
     windows = code.copy()
@@ -223,17 +225,29 @@ def held_out(key: str = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> Model | float:
-    """A model from at most ``SAMPLE_DOCS`` labelled documents outside the held-out third, by order of a hash of the id.
+    """A model from labelled documents outside the held-out third, by order of a hash of the id.
 
-    A document with several labels has the lowest. With labels of one class or none it is that class's share (or 0.5).
+    Documents that have a label, up to ``SAMPLE_DOCS``, as long as their characters together stay within ``SAMPLE_CHARS``.
+    A document with several labels has the lowest, an id with several texts has its first by a hash. With labels of one class or none it is that class's share (or 0.5).
     """
     known = (
         labels.filter("doc_id is not null and quality is not null").filter(~held_out("doc_id"))
         .groupBy(F.col("doc_id").cast("bigint").alias("label_id")).agg(F.min("quality").alias("quality"))
-        .orderBy(F.xxhash64("label_id"), "label_id").limit(SAMPLE_DOCS)
     )
     rows = docs.select(F.col(key).cast("bigint").alias("label_id"), text_of(text).alias("text"))
-    sample = rows.join(F.broadcast(known), "label_id").select("label_id", "quality", "text")  # at most SAMPLE_DOCS rows
+    order = [F.xxhash64("label_id"), F.col("label_id")]
+    # The sample is chosen on ids, sizes and hashes; only the chosen texts are encoded, one of each id.
+    sizes = rows.select("label_id", F.length("text").alias("size"), F.xxhash64("text").alias("digest")).join(known, "label_id")
+    one = sizes.groupBy("label_id", "quality").agg(F.min(F.struct("digest", "size")).alias("m"))
+    first = one.select("label_id", "quality", "m.digest", "m.size").orderBy(*order).limit(SAMPLE_DOCS)
+    held = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)  # over at most SAMPLE_DOCS rows
+    chosen = first.withColumn("reached", F.sum("size").over(held)).filter(F.col("reached") <= SAMPLE_CHARS).select("label_id", "quality", "digest")
+    chosen = store(chosen, "quality_sample")
+    sample = (
+        rows.join(F.broadcast(chosen), "label_id")  # at most SAMPLE_DOCS small rows
+        .filter(F.xxhash64("text") == F.col("digest"))
+        .groupBy("label_id", "quality").agg(F.min("text").alias("text"))
+    )
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches, BLOCK_BYTES):
@@ -244,12 +258,11 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
                     own[place].append(x[owner == place].astype(np.float16))
             made = []
             for parts in own:
-                x = np.concatenate(parts)
-                made.append(x[np.unique(np.linspace(0, len(x) - 1, SAMPLE_PASSAGES).astype(int))].tobytes())
+                made.append(np.concatenate(parts).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.int32()), pa.array(made, pa.binary())], names=["label_id", "quality", "bag"])
 
     found = sample.mapInArrow(bags, "label_id bigint, quality int, bag binary").collect()
-    found = sorted(found, key=lambda r: (r.label_id, bytes(r.bag)))[:SAMPLE_DOCS]
+    found = sorted(found, key=lambda r: r.label_id)
     y = np.array([float(r.quality > 0) for r in found], np.float32)
     if len(set(y.tolist())) < 2:
         return float(y[0]) if len(y) else 0.5
