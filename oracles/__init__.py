@@ -45,11 +45,11 @@ def oracle(name: str, instead: dict[str, str] | None = None) -> str:
     return f"WITH {ctes}\n{result}" if ctes else result
 
 
-# Queries under a given verdict on the logistics data.
+# Queries under a given verdict on the logistics data, or over other texts.
 VARIANTS = {
     f"{name}_untrusted": (name, {"dq_domain_trust": "r_untrusted"})
     for name in ("rca_verdict", "decision_briefs", "incident_command_center")
-}
+} | {"named_report_validation": ("report_validation", {"r_texts": "r_named"})}
 
 
 def load_oracles() -> dict[str, str]:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.banding import first_match, lookup
 from tidemark.functions.calendar import shift_hours
 from tidemark.functions.numeric import clip, exact_sum, flag, round_to
-from tidemark.operators import anomaly, briefs, quality, reconciliation, registry, rootcause
+from tidemark.operators import anomaly, briefs, grounding, quality, reconciliation, registry, rootcause
 from tidemark.operators.derive import case_times, case_triage, route_distance, sla_evaluation, sla_hours
 from tidemark.plans import silver
 from tidemark.session import materialize, new_folder, remove_stored
@@ -463,7 +463,10 @@ class Tables:
 
     @cached_property
     def orders_enriched(self) -> DataFrame:
-        return silver.orders_enriched(self.orders, self.customers, self.order_facts)
+        own = ["customer_segment", "acquisition_channel", "signup_date", "account_status"]
+        places = [F.col("country").alias(c) for c in ("destination_country", "customer_country")]
+        wide = self.order_heads.join(self.customers.select("customer_id", *own, *places), "customer_id", "left")
+        return silver.orders_enriched(wide, None, self.order_facts)
 
     @cached_property
     def stored_orders(self) -> DataFrame:
@@ -625,6 +628,27 @@ class Tables:
         every = ends[0].unionByName(ends[1]).unionByName(ends[2]).unionByName(ends[3])
         return every.agg(F.min("a").alias("start_date"), F.max("b").alias("end_date"))
 
+    @cached_property
+    def named_texts(self) -> DataFrame:
+        """Conversation turns that name one or two incidents by their ids, and turns that name none; some ids are unknown."""
+        def named(column: Column) -> Column:
+            return F.format_string("INC-%03d", F.pmod(column, F.lit(130)) + 1)
+
+        conv, turn = F.col("conv_id"), F.col("turn")
+        second = F.when(turn % 2 == 1, F.concat(F.lit("and "), named(conv + turn * 7)))
+        told = F.concat_ws(" ", "text", F.lit("We looked at"), named(conv * 3 + turn * 5), second, F.lit("while data trust passed."))
+        report = F.when(turn % 5 == 4, F.col("text")).otherwise(told)
+        return self.raw("conversations").select("conv_id", "turn", report.alias("report"))
+
+    @cached_property
+    def named_checks(self) -> DataFrame:
+        """Those turns next to every incident they name."""
+        evidence = self.registry.select(
+            "incident_id", "classification", F.col("detected_start_date").alias("start_date"), F.col("detected_end_date").alias("end_date"),
+            "confidence_score", "primary_cause", "data_trust_status",
+        )
+        return grounding.validate_named(self.named_texts, evidence)
+
     @cached_property
     def reports(self) -> DataFrame:
         """Conversation turns as report texts about the leading incident of a class.

@@ -567,6 +567,19 @@ def report_validation(t: Tables) -> DataFrame:
     return _validated(t).select(*columns)
 
 
+@query
+def named_report_validation(t: Tables) -> DataFrame:
+    """Every turn against every incident that it names."""
+    columns = ["conv_id", "turn", "incident_id", "checked", join_list("warnings").alias("warnings"), "warning_count"]
+    return t.named_checks.select(*columns)
+
+
+@query
+def named_incident_ids(t: Tables) -> DataFrame:
+    """Which incidents turns name, where in the text, and whether there is such an incident."""
+    return t.named_checks.where(F.col("incident_id").isNotNull()).select("conv_id", "turn", "incident_id", "start", "known", "unknown_id")
+
+
 @query
 def report_concepts(t: Tables) -> DataFrame:
     found = grounding.concept_warnings(F.col("report"))

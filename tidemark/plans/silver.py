@@ -50,18 +50,20 @@ def order_facts(payments: DataFrame, items: DataFrame) -> DataFrame:
     return payments.select("order_id", *PAYMENT_COLUMNS).join(item_summary(items), "order_id", "full")
 
 
-def orders_enriched(orders: DataFrame, customers: DataFrame, facts: DataFrame) -> DataFrame:
+def orders_enriched(orders: DataFrame, customers: DataFrame | None, facts: DataFrame) -> DataFrame:
     """One row per order with customer, payment and line facts, flags and the payment difference.
 
     ``facts`` has one row per order with payment and line columns, as from ``order_facts`` or from one grouping of
-    lines that carry both.
+    lines that carry both. Without ``customers`` the orders bring the customer columns along.
     """
-    people = customers.select(
-        "customer_id",
-        F.col("country").alias("customer_country"),
-        *[c for c in CUSTOMER_COLUMNS if c in customers.columns],
-    )
-    joined = orders.join(facts, "order_id", "left").join(people, "customer_id", "left")
+    joined = orders.join(facts, "order_id", "left")
+    if customers is not None:
+        people = customers.select(
+            "customer_id",
+            F.col("country").alias("customer_country"),
+            *[c for c in CUSTOMER_COLUMNS if c in customers.columns],
+        )
+        joined = joined.join(people, "customer_id", "left")
     return joined.withColumns(
         {
             "order_date": F.to_date("order_ts"),
