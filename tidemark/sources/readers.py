@@ -113,7 +113,7 @@ def read_records(
     ``reason`` and the record's ``text``: not an object, a field of another type, or a required field that is missing or null.
     A file that is no array is rejected whole, at position -1. A file is read by one task.
     """
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
     held = files.select(name.alias("file"), F.col("value").alias("whole"), F.from_json("value", "array<string>").alias("items"))
     whole = F.col("items").isNull() | ~F.ltrim("whole").startswith("[")
