@@ -79,20 +79,41 @@ def test_cutoffs_limit_the_rejected_good_documents(spark):
     rows += [(9000 + i, "en" if i % 2 else "fr", 28 + i % 8) for i in range(400)]
     marks = [(i, 1) for i in range(6100)] + [(9000 + i, 0) for i in range(400)]
     labels = spark.createDataFrame([*marks, (None, 1), (0, 1), (1, None)], "doc_id bigint, quality int")
-    got = {(r.stratum, r.rule): r for r in certified(measured(spark, rows), labels).collect()}
-    # A hundred documents certify nothing, and no other measure tells junk from good documents.
-    assert set(got) == {("en", "symbols")}
-    own = got["en", "symbols"]
-    good = [sym / 100 for i, s, sym in rows if s == "en" and i < 9000]
-    junk = [sym / 100 for i, s, sym in rows if s == "en" and i >= 9000]
-    level = 0.05 / (2 * len(MEASURES))
-    certain = [
-        c for c in cutoffs("symbols")
-        if tail(sum(g > c for g in good), len(good), quality_rules.RISK / len(MEASURES)) <= level
-    ]
-    gain = lambda c: sum(j > c for j in junk) / len(junk) - 5 * sum(g > c for g in good) / len(good)
-    assert own.cutoff == max(certain, key=lambda c: (gain(c), c))
-    assert (own.n, own.rejected) == (6000, sum(g > own.cutoff for g in good))
+    got = {r.stratum: r for r in certified(measured(spark, rows), labels).collect()}
+    # A hundred documents certify nothing.
+    assert set(got) == {"en"}
+    own = got["en"]
+
+    def joint(sym):  # the other measures are those of ``measured``, the same for all
+        values = {"symbols": sym / 100, "repeats": 0, "dup_lines": 0, "long_words": 5, "short_words": 0.2, "capitals": 0.004, "shouts": 0}
+        return max(sum(values[rule] > c for c in cutoffs(rule)) for rule in MEASURES)
+
+    good = [joint(sym) for i, s, sym in rows if s == "en" and i < 9000]
+    junk = [joint(sym) for i, s, sym in rows if s == "en" and i >= 9000]
+    certain = [i for i in range(quality_rules.STEPS) if tail(sum(g > i for g in good), len(good), quality_rules.RISK) <= 0.05 / 2]
+    gain = lambda i: sum(j > i for j in junk) / len(junk) - 5 * sum(g > i for g in good) / len(good)
+    assert own.step == max(certain, key=lambda i: (gain(i), i))
+    assert (own.n, own.rejected) == (6000, sum(g > own.step for g in good))
+
+
+def test_four_strata_of_three_hundred_labels_are_certified(spark, documents):
+    """Planted junk goes in every stratum, also where few documents are labelled; a stratum with too few is told apart."""
+    rows, marks = [], []
+    for s, lang in enumerate(["en", "de", "fr", "es", "it"]):
+        for i in range(300 if lang != "it" else 60):
+            key, bad = 1000 * s + i, i % 10 == 0
+            mark = "###" if bad else ""
+            rows.append((key, " ".join(f"wort{(key * 7 + k * k) % 997}{mark}" for k in range(60)), lang, "s"))
+            marks.append((key, int(not bad)))
+        rows += [(1000 * s + 500 + i, " ".join(f"w{(i + k * k) % 499}$$$" for k in range(60)), lang, "s") for i in range(20)]
+    got = {r.doc_id: r for r in judged(documents(rows), spark.createDataFrame(marks, "doc_id bigint, quality int")).collect()}
+    quality = dict(marks)
+    for key, r in got.items():
+        if r.stratum == "it":
+            assert not r.certified and r.kept
+        else:
+            assert r.certified and r.kept == bool(quality.get(key, 0))
+            assert r.kept or "symbols" in r.rejected_by
 
 
 def test_no_labels_and_edge_rows(spark, documents):

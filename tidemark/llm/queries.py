@@ -40,7 +40,7 @@ def op1_entropy_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op2_certified_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "certified"
     )
 
 
