@@ -92,11 +92,12 @@ def test_records_that_do_not_fit_are_kept_apart(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.json").write_text('[{"k": "x", "n": 1, "tags": ["a", "b"]},\n {"k": "y", "n": "no"}, {"n": 3}, 7, null, {"k": "z"}]')
     (tmp_path / "in/b.json").write_text('{"k": "whole"}')
-    (tmp_path / "in/c.json").write_text("[]")
+    (tmp_path / "in/c.json").write_text(" []\n")
+    (tmp_path / "in/d.json").write_text('[{"k": "a"}]\n[{"k": "b"}]')
     schema = T.StructType.fromDDL("k string, n int, tags array<string>")
     fit, rejected = readers.read_records(spark, str(tmp_path / "in"), schema, ["k"])
     assert sorted((r.k, r.n, r.tags, r.file, r.position) for r in fit.collect()) == [("x", 1, ["a", "b"], "a.json", 0), ("z", None, None, "a.json", 5)]
     assert sorted((r.file, r.position, r.reason) for r in rejected.collect()) == [
         ("a.json", 1, "a field does not fit"), ("a.json", 2, "missing k"), ("a.json", 3, "not an object"), ("a.json", 4, "not an object"),
-        ("b.json", -1, "not an array"),
+        ("b.json", -1, "not an array"), ("d.json", -1, "not an array"),
     ]

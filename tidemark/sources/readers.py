@@ -115,11 +115,14 @@ def read_records(
     """
     files = spark.read.text(path, wholetext=True)
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    held = files.select(name.alias("file"), F.col("value").alias("whole"), F.from_json("value", "array<string>").alias("items"))
-    whole = F.col("items").isNull() | ~F.ltrim("whole").startswith("[")
+    # As a field of an object, an array with anything behind it does not parse; alone, what is behind it would be passed over.
+    options = {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}
+    wrapped = F.from_json(F.concat(F.lit('{"items":'), "value", F.lit("}")), "items array<string>, _corrupt string", options)
+    held = files.select(name.alias("file"), F.col("value").alias("whole"), wrapped.alias("w")).select("file", "whole", "w.*")
+    bare = F.regexp_replace("whole", r"^\s+|\s+$", "")
+    whole = F.col("items").isNull() | F.col("_corrupt").isNotNull() | ~bare.startswith("[") | ~bare.endswith("]")
     split = held.where(~whole).select("file", F.posexplode("items").alias("position", "text"))
     marked = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    options = {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}
     parsed = split.withColumn("record", F.from_json("text", marked, options))
     absent = F.filter(
         F.array(*[F.when(F.col(f"record.`{c}`").isNull(), F.lit(c)) for c in required], F.lit(None).cast("string")), lambda c: c.isNotNull()
