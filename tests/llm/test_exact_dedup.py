@@ -2,7 +2,9 @@ import hashlib
 import random
 import re
 
-from tidemark.llm.exact_dedup import duplicate_groups, keep_first
+import pyarrow as pa
+
+from tidemark.llm.exact_dedup import _neighbours, duplicate_groups, keep_first
 
 
 def brute(rows):
@@ -68,3 +70,42 @@ def test_one_row_of_each_text_stays(documents):
     assert got == sorted([(1, "a"), (None, "b"), (3, "c"), (1, "d"), (0, "e"), (5, "")], key=str)
     many = [(None, "hot")] * 400 + [(7, "hotter")] * 400
     assert sorted(r.text for r in keep_first(documents(many).repartition(5)).collect()) == ["hot", "hotter"]
+
+
+def test_a_long_run_keeps_ids_but_no_texts():
+    peak = 0
+
+    def batches(body, count, rows=100):
+        """Batches as a task reads them: all columns of one lie in one buffer."""
+        nonlocal peak
+        for k in range(count):
+            sink = pa.BufferOutputStream()
+            digest = hashlib.sha256(body.encode()).hexdigest()
+            columns = [pa.array(range(k * rows, (k + 1) * rows), pa.int64()), pa.array([digest] * rows), pa.array([body] * rows)]
+            batch = pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_sha256", "body"])
+            with pa.ipc.new_stream(sink, batch.schema) as out:
+                out.write_batch(batch)
+            del columns, batch
+            yield pa.ipc.open_stream(sink.getvalue()).read_next_batch()
+            del sink
+            peak = max(peak, pa.total_allocated_bytes() - began)
+
+    began = pa.total_allocated_bytes()
+    runs = list(_neighbours(batches("x" * 10_000, 40)))
+    got = pa.Table.from_batches(runs).to_pylist()
+    assert [r["doc_id"] for r in got] == list(range(4000)) and {r["head_id"] for r in got} == {0}
+    assert {r["run_size"] for r in got} == {4000} and [r["doc_id"] for r in got if r["run_first"]] == [0]
+    assert {r["text_sha256"] for r in got} == {hashlib.sha256(b"x" * 10_000).hexdigest()}
+    assert peak < 8 << 20  # a batch has 1 MB, all have 40
+
+
+def test_runs_over_many_batches(spark, documents):
+    rng = random.Random(11)
+    rows = [(i, rng.choice(["hot", "hot  text", None, "", f"text {rng.randrange(60)}"])) for i in range(900)]
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "7")
+    try:
+        assert found(duplicate_groups(documents(rows))) == brute(rows)
+    finally:
+        spark.conf.set(size, before)

@@ -4,7 +4,7 @@ Sampled splitters range-partition the normalised texts, an external sort makes e
 each sorted partition compares every text with the whole text before it. The range key is a head of the text, the digest
 of the whole text, and the document's id: a group of copies of any size is spread over as many partitions as its rows
 need, and the splitters that reach the driver have a fixed size. A run of equal texts that is cut by a partition border is
-put together from at most two records per partition.
+put together from at most two records per partition. Of a run a task keeps the ids, and the texts of one batch.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ _RUNS = "doc_id {0}, text_sha256 string, head_id {0}, run_size bigint, run_first
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in sort order to rows with the first id and the size of their run of equal texts in this partition."""
     names = ["doc_id", "text_sha256", "head_id", "run_size", "run_first", "edge"]
-    held: list[tuple[pa.Array, pa.Array]] = []  # ids and digests of the run that is still open
+    held: list[pa.Array] = []  # ids of the run that is still open, by batch
+    held_digest = None
     before = None
     first = True
 
@@ -48,10 +49,19 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=names,
         )
 
-    def close(edge: bool) -> pa.RecordBatch:
-        ids = pa.concat_arrays([x for x, _ in held])
-        digests = pa.concat_arrays([x for _, x in held])
-        return rows(ids, digests, np.array([0]), np.array([edge]))
+    def hold(ids: pa.Array) -> None:
+        # A copy: a slice would keep its whole batch, with all texts, as long as the run is open.
+        held.append(ids.take(pa.array(np.arange(len(ids)))))
+
+    def close(edge: bool) -> Iterator[pa.RecordBatch]:
+        size, head = sum(len(x) for x in held), held[0].slice(0, 1)
+        for i, ids in enumerate(held):
+            n = len(ids)
+            heads = head.take(pa.array(np.zeros(n, np.int64)))
+            firsts = pa.array(np.arange(n) + i == 0)
+            sizes, edges = pa.array(np.full(n, size), pa.int64()), pa.array(np.full(n, edge))
+            yield pa.RecordBatch.from_arrays([ids, pa.repeat(held_digest, n), heads, sizes, firsts, edges], names=names)
+        held.clear()
 
     for batch in batches:
         if not batch.num_rows:
@@ -64,21 +74,22 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = body[len(body) - 1].as_py()
         starts = np.flatnonzero(~same)
         if not len(starts):
-            held.append((ids, digests))
+            hold(ids)
             continue
         if starts[0] > 0:
-            held.append((ids.slice(0, starts[0]), digests.slice(0, starts[0])))
+            hold(ids.slice(0, starts[0]))
         if held:
-            yield close(first)
+            yield from close(first)
             first = False
         if len(starts) > 1:
             a, b = int(starts[0]), int(starts[-1])
             edge = np.zeros(len(starts) - 1, bool)
             edge[0], first = first, False
             yield rows(ids.slice(a, b - a), digests.slice(a, b - a), starts[:-1] - a, edge)
-        held = [(ids.slice(int(starts[-1])), digests.slice(int(starts[-1])))]
+        hold(ids.slice(int(starts[-1])))
+        held_digest = pa.scalar(digests[int(starts[-1])].as_py(), digests.type)
     if held:
-        yield close(True)
+        yield from close(True)
 
 
 def duplicate_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
