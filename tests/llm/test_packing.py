@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -6,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidemark.llm.packing import CAPACITY, cuts, pack
+from tidemark.llm.packing import CAPACITY, WordTokenizer, cuts, pack
 
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
@@ -102,3 +103,15 @@ def test_query_gives_the_checksum_of_the_ids(spark):
     for p in QUERIES["op10_harmonic_packing"](spark, SMALL).collect():
         part = texts[p.doc_id][p.start : p.start + p.length]
         assert p.ids_crc32 == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in part))
+
+
+def test_words_of_a_batch_are_not_held_at_once():
+    tokens = WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [b"ab cd " * 20_000] * 35  # 4 MB of two words
+    list(tokens.ids(texts[:1]))
+    tracemalloc.start()
+    try:
+        assert len(set(tokens.ids(texts))) == 1
+        assert tracemalloc.get_traced_memory()[1] < 16 << 20
+    finally:
+        tracemalloc.stop()

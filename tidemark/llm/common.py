@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,7 +96,7 @@ def settled(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
 def batches_of(batches: Iterator[pa.RecordBatch], limit: int, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``limit`` bytes of text each, or a single row."""
     for batch in batches:
-        sizes = [len(x) for x in utf8(batch.column(batch.schema.get_field_index(column)))]
+        sizes = pc.binary_length(batch.column(batch.schema.get_field_index(column))).to_pylist()
         start = total = 0
         for i, n in enumerate(sizes):
             if i > start and total + n > limit:

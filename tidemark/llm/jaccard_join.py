@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import exchange
-from tidemark.llm.common import batches_of, numbered, store, text_of, utf8
+from tidemark.llm.common import batches_of, numbered, settled, store, text_of, utf8
 from tidemark.llm.components import components
 
 WORDS = 5
@@ -348,7 +348,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     """
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), text_of(text).alias("text"))
     kinds = "doc_id bigint, n_shingles bigint, digest binary, n_bytes int"
-    profile = store(rows.select("*", F.octet_length("text").alias("n_bytes")).mapInArrow(_profile, kinds), "profile")
+    profile = store(rows.select("*", F.octet_length("text").alias("n_bytes")).mapInArrow(settled(_profile), kinds), "profile")
     total = profile.agg(F.sum("n_bytes").alias("n")).first().n or 0
     first = profile.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "n_bytes")).alias("m"))
     classes = store(first.select("digest", F.col("m.doc_id").alias("rep"), F.col("m.n_bytes").alias("n_bytes")), "classes")

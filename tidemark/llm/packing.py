@@ -99,15 +99,23 @@ class WordTokenizer:
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text, with the end id."""
-        rows = [(text if b"\xcc" in text or b"\xcd" in text else text.lower()).split() for text in texts]
         if self.held > CACHE_BYTES:
             self.forget()
-        new = set().union(*rows).difference(self.known)
+        # Each text is split twice: the words of all texts at once, repeats and all, would need ten times their bytes.
+        new = set()
+        for text in texts:
+            new.update(_words(text))
+        new.difference_update(self.known)
         if new:
             self.learn(list(new))
+        del new
         end, known = _packed([END_ID]), self.known
-        for row in rows:
-            yield b"".join(map(known.__getitem__, row)) + end
+        for text in texts:
+            yield b"".join(map(known.__getitem__, _words(text))) + end
+
+
+def _words(text: bytes) -> list[bytes]:
+    return (text if b"\xcc" in text or b"\xcd" in text else text.lower()).split()
 
 
 def _packed(ids: list[int]) -> bytes:
