@@ -115,3 +115,27 @@ def test_words_of_a_batch_are_not_held_at_once():
         assert tracemalloc.get_traced_memory()[1] < 16 << 20
     finally:
         tracemalloc.stop()
+
+
+def test_new_words_of_letters_pass_only_the_model(monkeypatch):
+    tokens, rng, seen = WordTokenizer(public_tokenizers.path("word_bpe_49k.json")), random.Random(11), []
+    encode = tokens._encode
+    monkeypatch.setattr(tokens, "_encode", lambda text: seen.append(text) or encode(text))
+    small = [c for c in map(chr, [*range(97, 123), *range(0xC0, 0x100)]) if c.isalpha()]
+    words = ["".join(rng.choices(small, k=rng.randrange(1, 12))) for _ in range(3000)]
+    words += [up for w in words if max(up := w.upper()) <= "ÿ"] + [w + rng.choice(",.;!)") for w in words] + small
+    text = " ".join(words + ["q" * 5000, "é" * 5000])
+    assert list(memoryview(next(tokens.ids([text.encode()]))).cast("I")) == whole(text)
+    assert set(seen) <= {*",.;!)", "q" * 5000, "é" * 5000}
+
+
+def test_memory_is_bounded_within_a_batch(monkeypatch):
+    from tidemark.llm import packing
+
+    tokens, rng, held = WordTokenizer(public_tokenizers.path("word_bpe_49k.json")), random.Random(12), []
+    monkeypatch.setattr(packing, "CACHE_BYTES", 100_000)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=8)) for _ in range(100)) for _ in range(40)]
+    for text, ids in zip(texts, tokens.ids([t.encode() for t in texts]), strict=True):
+        assert list(memoryview(ids).cast("I")) == whole(text)
+        held.append(tokens.held)
+    assert max(held) < 100_000 + 100 * 300

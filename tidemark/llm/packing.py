@@ -11,11 +11,10 @@ from __future__ import annotations
 import os
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import islice
 
-import numpy as np
 import pyarrow as pa
 import public_tokenizers
 from pyspark import TaskContext
@@ -33,6 +32,8 @@ CACHE_BYTES = 96 << 20
 #: What Python needs for an entry besides its characters.
 _ENTRY = 176
 _BATCH_BYTES = 8 << 20
+#: Longer words are not taken from the model, whose tokens are objects of their own.
+_LONG = 1 << 10
 #: Letters that are one character each in any normal form, and marks that stand together as one token group.
 _PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?|#$%&*()\"-]*)")
 _MARKS = b'.,;:!?|#$%&*()"-'
@@ -41,13 +42,26 @@ _PIECES = (
 )
 
 
+class _Words(dict):
+    """Ids by word; those of a word not yet here are made when it is asked for."""
+
+    def __init__(self, learn: Callable[[bytes], bytes]):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self.learn(word)
+        return ids
+
+
 class WordTokenizer:
     """Ids of whole texts through a memory of words, bounded in bytes.
 
     The tokenizer splits at white space before anything else can join, so the ids of a text are those of its words in
     a row. ASCII capitals do not matter, except before a combining mark: only small letters join with some of them. A word
-    of Latin letters and marks splits again between the two, so most new words need only the ids of their letters; those
-    are encoded many at a time and parted after each token that ends a word. Other words are encoded one by one.
+    of Latin letters and marks splits again between the two, so most new words need only the ids of their letters. Small
+    letters pass the normalizer as they are and the splitting as one token group, so they go to the tokenizer's model at
+    once, accented ones as the characters that stand for their bytes. All else goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -55,63 +69,50 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
-        self.held = 0
+        self.model = self.tokenizer.model
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        letters = "abcdefghijklmnopqrstuvwxyz" + "".join(filter(str.isalpha, map(chr, range(0xC0, 0x100))))
+        self.spelled = {ord(c): split(c)[0][0] for c in letters}
+        self.packed = [_packed([i]) for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
+        self.forget()
 
     def forget(self) -> None:
-        self.known = {}
+        self.known = _Words(self._learn)
         self.held = 0
 
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _remember(self, words: list[bytes], ids: list[bytes]) -> None:
-        self.known.update(zip(words, ids, strict=True))
-        self.held += _ENTRY * len(words) + sum(map(len, words)) + sum(map(len, ids))
-
-    def _learn_letters(self, words: list[bytes]) -> None:
-        for i in range(0, len(words), 1024):
-            part = words[i : i + 1024]
-            ids = np.array(self._encode(b" ".join(part).decode()), "<u4")
-            stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-            packed = ids.tobytes()
-            self._remember(part, [packed[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)])
-
-    def learn(self, words: list[bytes]) -> None:
-        """Remember the ids of new words: letters first, then what is made of them."""
-        plain, marked, other = [], [], []
-        for word in words:
-            if word.isalpha():  # ASCII
-                plain.append(word)
-            elif (letters := word.rstrip(_MARKS)).isalpha():
-                marked.append((word, letters, word[len(letters) :]))
-            elif match := _PLAIN.fullmatch(text := word.decode()):
-                marked.append((word, match[1].lower().encode(), match[2].encode()))
+    def _letters(self, text: str) -> bytes:
+        """Ids of small letters."""
+        if len(text) > _LONG:
+            return _packed(self._encode(text))
+        spelled = text if text.isascii() else text.translate(self.spelled)
+        return b"".join([self.packed[token.id] for token in self.model.tokenize(spelled)])
+
+    def _learn(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII
+            ids = self._letters(word.lower().decode())
+        elif (letters := word.rstrip(_MARKS)).isalpha():
+            ids = self.known[letters] + self.known[word[len(letters) :]]
+        elif match := _PLAIN.fullmatch(text := word.decode()):
+            small = match[1].lower()
+            if small == text:
+                ids = self._letters(text)
             else:
-                other.append(word)
-        self._learn_letters(list({*plain, *(letters for _, letters, _ in marked)}.difference(self.known)))
-        self._remember(other, [_packed(self._encode(word.decode())) for word in other])
-        marks = {tail: _packed(self._encode(tail.decode())) if tail else b"" for tail in {tail for _, _, tail in marked}}
-        self._remember([word for word, _, _ in marked], [self.known[letters] + marks[tail] for _, letters, tail in marked])
+                ids = self.known[small.encode()] + (self.known[match[2].encode()] if match[2] else b"")
+        else:
+            ids = _packed(self._encode(text))
+        self.held += _ENTRY + len(word) + len(ids)
+        return ids
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text, with the end id."""
-        if self.held > CACHE_BYTES:
-            self.forget()
-        # Each text is split twice: the words of all texts at once, repeats and all, would need ten times their bytes.
-        new = set()
-        for text in texts:
-            new.update(_words(text))
-        new.difference_update(self.known)
-        if new:
-            self.learn(list(new))
-        del new
-        end, known = _packed([END_ID]), self.known
+        end = _packed([END_ID])
         for text in texts:
-            yield b"".join(map(known.__getitem__, _words(text))) + end
+            if self.held > CACHE_BYTES:
+                self.forget()
+            yield b"".join(map(self.known.__getitem__, _words(text))) + end
 
 
 def _words(text: bytes) -> list[bytes]:
