@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.operators import anomaly, census, quality
+from tidemark.operators import anomaly, census, quality, rootcause
 from tidemark.operators.census import Census, Source, Use
 from tidemark.plans import bindings
 from tidemark.plans.bindings import SCHEMAS, Tables
@@ -84,7 +84,7 @@ def rows_of(df):
 
 def test_small_and_large_tables_give_the_same(spark, folder, monkeypatch):
     whole = Tables(spark, folder, "whole")
-    names = ["stored_shipments", "cases", "controls", "support_cells", "incidents", "support_periods", "registry"]
+    names = ["stored_shipments", "cases", "controls", "support_cells", "incidents", "carrier_facts", "support_periods", "registry"]
     want = {name: rows_of(getattr(whole, name)) for name in names}
     monkeypatch.setattr(bindings, "LARGE", -1)
     monkeypatch.setattr(census, "LARGE", -1)
@@ -183,6 +183,18 @@ def test_cells_of_shares_add_up(spark, folder):
     assert rows_of(anomaly.joined_cells(every).select(*whole.columns)) == rows_of(whole)
 
 
+def test_carrier_facts_of_shares_add_up(spark, folder):
+    tables = Tables(spark, folder, "carriers")
+    days = spark.sql(
+        "select 'a' candidate_incident_id, 'HUB-3' warehouse_id, 'incident' period, explode(sequence(date'2024-05-20', date'2024-06-20')) report_date"
+        " union all select 'b', 'HUB-9', 'baseline', date'2024-05-21'"  # a hub without shipments keeps a row of NULLs
+    )
+    whole = rootcause.carrier_periods(tables.stored_shipments, days)
+    shares = rootcause.carrier_shares(tables.stored_shipments, days, 3)
+    every = rootcause.joined_periods(shares[0].unionByName(shares[1]).unionByName(shares[2]))
+    assert rows_of(every.select(*whole.columns)) == rows_of(whole) and whole.count() > 5
+
+
 def test_controls_of_empty_tables_in_passes(spark, large):
     orders = spark.createDataFrame([], "order_id bigint")
     lines = spark.createDataFrame([], "line_id string, order_id bigint")
