@@ -109,6 +109,32 @@ def test_case_in_two_incidents(spark):
     assert contracts.customer_contract(mart, full, repeated).first().status == "PASS"
 
 
+def case_rows(spark, rows):
+    """Cases of one day that differ in id, shipment, customer and priority only."""
+    cases = spark.createDataFrame([(*r, D(2024, 1, 5)) for r in rows], "case_id string, shipment_id string, customer_id bigint, priority string, case_date date")
+    names = [c for c in gold.CASE_DIMENSIONS if c not in cases.columns]
+    flags = ["support_sla_met", "escalated_flag", "csat_score", "response_sla_met", "resolution_sla_met", "reopened_flag"]
+    flags += [f"shipment_{f}_flag" for f in ("delayed", "no_scan", "damaged", "lost")]
+    return cases.withColumns(
+        {**{c: F.lit(None).cast("string") if c == "carrier_name" else F.lit("v") for c in names}, **{c: F.lit(0) for c in flags}}
+        | {c: F.lit(1.0) for c in ("first_response_minutes", "resolution_hours", "network_load_factor")}
+    )
+
+
+def test_customers_and_shipments_of_cases_are_distinct_counts(spark):
+    rows = [("x1", "s1", 1, "Low"), ("x1", "s1", 1, "Low"), ("x2", "s1", 2, "Low"), ("x3", "s9", 2, "Low"), ("x4", None, 2, "Low"), ("x5", None, None, "Low"),
+            ("x6", "s1", 1, None), ("x7", None, None, None), ("x8", "s3", 1, "High"), ("x9", "s3", 1, "High")]
+    mart = gold.customer_experience(case_rows(spark, rows), logistics_rows(spark), incidents(spark)).collect()
+    got = {(r.priority, r.candidate_incident_id): (r.support_cases, r.customers_contacting, r.shipments_with_cases) for r in mart}
+    assert got == {("Low", None): (6, 2, 2), (None, None): (2, 1, 1), ("High", "i1"): (2, 1, 1), ("High", "i2"): (2, 1, 1)}
+    assert gold.customer_experience(case_rows(spark, []), logistics_rows(spark), incidents(spark)).count() == 0
+
+
+def test_customer_mart_sends_each_case_once(spark):
+    mart = gold.customer_experience(case_rows(spark, [("x1", "s1", 1, "Low")]), logistics_rows(spark), incidents(spark))
+    assert "Expand" not in mart._jdf.queryExecution().executedPlan().toString()
+
+
 def test_executive_days_without_rows(spark, frame):
     bounds = frame([("2024-01-01", "2024-01-04")], "start_date date, end_date date")
     orders = spark.createDataFrame(
