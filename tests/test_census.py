@@ -73,6 +73,34 @@ def test_each_table_is_read_once_in_two_exchanges(spark, sides):
     assert len(re.findall(r"Scan ", plan)) == 2
 
 
+def test_unique_keys_are_not_summed_before_their_shuffle(spark, sides):
+    census = build(spark, *sides)
+    census.surplus("line", "line"), census.surplus("thing", "up")
+
+    def first_sum_is_after_the_shuffle(kind):
+        plan = census._pass(kind, 0, 2)._jdf.queryExecution().executedPlan().toString()
+        return plan.rindex("HashAggregate") < plan.rindex("Exchange ")
+
+    assert first_sum_is_after_the_shuffle("line")
+    assert not first_sum_is_after_the_shuffle("thing")
+
+
+def test_passes_count_repeated_and_missing_keys_like_one_grouping(spark, sides):
+    parents, children = sides
+    children = [*children, *[("hot", 7, 9)] * 300, *[(None, None, 1)] * 5, ("", 3, 2), ("", 3, 2)]
+
+    def found(children, shares):
+        census = build(spark, parents, children)
+        census._shares = shares
+        wanted = {"lines": census.surplus("line", "line"), "many": census.keys_where("line", census.count("line", "line") > 1),
+                  "up": census.surplus("thing", "up"), "orphans": census.orphans("thing", "down", "up")}
+        return census.totals(wanted).first().asDict()
+
+    assert found(children, 5) == found(children, 1)
+    assert found(children, 5)["lines"] == len(children) - len({c[0] for c in children})
+    assert found([], 5) == found([], 1)
+
+
 def test_controls_equal_those_taken_one_by_one(spark, frame):
     orders = frame([(1, "2024-01-01"), (1, None), (2, "2024-01-02"), (None, None)], "order_id bigint, order_ts date")
     shipments = frame([("a", 1, 0), ("a", 9, 1), ("b", None, 0), (None, 2, 1), ("c", 2, None)], "shipment_id string, order_id bigint, lost_flag int")
