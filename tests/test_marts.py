@@ -109,6 +109,36 @@ def test_case_in_two_incidents(spark):
     assert contracts.customer_contract(mart, full, repeated).first().status == "PASS"
 
 
+def enriched(spark):
+    """Shipments with known, unknown and missing keys; one carrier is there twice."""
+    flags = ["delayed_flag", "no_scan_flag", "damaged_flag", "lost_flag"]
+    rows = [("s1", 1, 10, "A", "B"), ("s2", 1, 11, "A", "A"), ("s3", None, 12, None, "Z"), ("s4", 9, None, "B", None)]
+    shipments = spark.createDataFrame(rows, "shipment_id string, order_id bigint, carrier_id bigint, origin_warehouse_id string, destination_warehouse_id string")
+    shipments = shipments.withColumns({c: F.lit(0) for c in [*flags, "cross_border"]} | {c: F.lit("c") for c in ("origin_city", "destination_city")})
+    shipments = shipments.withColumns({"network_load_factor": F.lit(0.5), "shipment_created_ts": F.lit("2024-01-02").cast("timestamp_ntz")})
+    orders = spark.createDataFrame([(1, 7, "x", "w", "Completed", 2.5, "Paid")], "order_id bigint, customer_id bigint, customer_segment string, sales_channel string, order_status string, order_total_eur double, payment_status string")
+    hubs = spark.createDataFrame([("A", "Gateway", 5), ("B", "Regional", 6)], "warehouse_id string, warehouse_type string, daily_capacity int")
+    carriers = spark.createDataFrame([(10, 0.9), (10, 0.8), (12, 0.7)], "carrier_id bigint, reliability_score double")
+    return silver.shipments_enriched(shipments, orders, hubs, carriers)
+
+
+def test_enriched_shipments_with_unknown_and_repeated_keys(spark):
+    df = enriched(spark)
+    columns = ["shipment_id", "customer_id", "origin_warehouse_type", "destination_daily_capacity", "carrier_reliability_score"]
+    assert sorted(map(str, (tuple(r) for r in df.select(*columns).collect()))) == sorted(map(str, [
+        ("s1", 7, "Gateway", 6, 0.8), ("s1", 7, "Gateway", 6, 0.9), ("s2", 7, "Gateway", 5, None), ("s3", None, None, None, 0.7), ("s4", None, "Regional", None, None),
+    ]))
+    assert df.columns[:4] == ["carrier_id", "destination_warehouse_id", "origin_warehouse_id", "order_id"]
+    assert df.columns.index("carrier_reliability_score") == df.columns.index("destination_daily_capacity") + 1
+
+
+def test_enriched_shipments_meet_hubs_after_the_joins_that_may_shuffle(spark):
+    plan = enriched(spark)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert len(joins) == 4
+    assert ["warehouse_id" in line for line in joins] == [True, True, False, False]
+
+
 def case_rows(spark, rows):
     """Cases of one day that differ in id, shipment, customer and priority only."""
     cases = spark.createDataFrame([(*r, D(2024, 1, 5)) for r in rows], "case_id string, shipment_id string, customer_id bigint, priority string, case_date date")
